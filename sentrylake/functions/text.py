@@ -46,6 +46,15 @@ def anomaly_reasons(
     )
 
 
+def _decimal(x: Column, pattern: str) -> Column:
+    """A number by a decimal pattern. It rounds the exact binary value, half to even, as C and Python do."""
+    return F.call_function("format_number", x, F.lit(pattern))
+
+
+def _two(x: Column) -> Column:
+    return _decimal(F.coalesce(x, F.lit(0.0)), "0.00")
+
+
 def short_number(x: ColumnOrName) -> Column:
     """A number with up to six significant digits and no trailing zeros (C's ``%g``), for 0 <= x < 1e6."""
     x = _col(x)
@@ -53,11 +62,8 @@ def short_number(x: ColumnOrName) -> Column:
     # Decimals that leave six significant digits, by magnitude.
     for lower, decimals in [(1e5, 0), (1e4, 1), (1e3, 2), (1e2, 3), (10.0, 4), (1.0, 5),
                             (0.1, 6), (0.01, 7), (0.001, 8), (0.0001, 9)]:
-        chain = chain.when(x >= lower, F.format_string(f"%.{decimals}f", x))
-    plain = chain.otherwise(F.regexp_replace(F.format_string("%.5e", x), r"\.?0*e", "e"))
-    return F.when(plain.contains("e"), plain).when(
-        plain.contains("."), F.regexp_replace(plain, r"\.?0+$", "")
-    ).otherwise(plain)
+        chain = chain.when(x >= lower, _decimal(x, "0." + "#" * decimals if decimals else "0"))
+    return chain.otherwise(F.lower(_decimal(x, "0.#####E00")))
 
 
 def _optional(label: str, name: str, end: str) -> Column:
@@ -238,7 +244,7 @@ def event_line(position: Column, e: Column) -> Column:
         F.lit(", Severity: "),
         F.coalesce(e["severity"], F.lit("MEDIUM")),
         F.lit(", Threat Score: "),
-        F.format_string("%.2f", F.coalesce(e["threat_score"], F.lit(0.0))),
+        _two(e["threat_score"]),
     )
 
 
@@ -263,7 +269,7 @@ def format_intel(top: ColumnOrName) -> Column:
             F.lit(". ["),
             F.coalesce(m["source"], F.lit("unknown")),
             F.lit("] (Relevance: "),
-            F.format_string("%.2f", F.coalesce(m["relevance_score"], F.lit(0.0))),
+            _two(m["relevance_score"]),
             F.lit(")\n   "),
             F.coalesce(m["summary"], F.lit("No summary available")),
         ),
@@ -279,12 +285,11 @@ def format_anomalies(
 ) -> Column:
     """The anomaly block of both layers; ``batch`` is a struct of the batch row or null."""
     realtime, b = _col(realtime_score), _col(batch)
-    two = lambda c: F.format_string("%.2f", F.coalesce(c, F.lit(0.0)))
     speed_block = F.when(
         realtime.isNotNull(),
         F.concat(
             F.lit("**Real-time Anomaly Detection** (Speed Layer):\n  Anomaly Score: "),
-            two(realtime),
+            _two(realtime),
             F.lit(scale_note + "\n  Baseline Deviation: N/A\n  User Baseline Events: N/A"),
         ),
     )
@@ -292,16 +297,16 @@ def format_anomalies(
         b.isNotNull(),
         F.concat(
             F.lit("**Batch ML Anomaly Detection** (Spark ML Pipeline):\n  Anomaly Score: "),
-            two(b["anomaly_score_normalized"]),
+            _two(b["anomaly_score_normalized"]),
             F.lit(scale_note + "\n  Total Events Analyzed: "),
             F.coalesce(b["total_events"], F.lit(0)).cast("string"),
             F.lit("\n  Average Threat Score: "),
-            two(b["avg_threat_score"]),
+            _two(b["avg_threat_score"]),
             F.lit("\n  Unique IPs: "),
             F.coalesce(b["unique_ips"], F.lit(0)).cast("string"),
             F.lit("\n  Failed Auth Rate: "),
-            F.format_string("%.2f%%", F.coalesce(b["failed_auth_rate"], F.lit(0.0)) * 100),
-            F.lit("\n  Note: Batch analysis provides comprehensive historical behavior patterns"),
+            _two(b["failed_auth_rate"] * 100),
+            F.lit("%\n  Note: Batch analysis provides comprehensive historical behavior patterns"),
         ),
     )
     return F.when(
