@@ -23,7 +23,7 @@ from sentrylake.functions.scalar import (
 )
 from sentrylake.functions.text import anomaly_reasons
 from sentrylake.operators.skew import attach_by_key
-from sentrylake.session import checkpoint_root
+from sentrylake.session import materialize
 
 # Weights of the parts of the score and the rule for rare failures.
 WEIGHTS = {"time": 0.25, "ip": 0.30, "location": 0.20, "type": 0.15, "failure": 0.10}
@@ -90,8 +90,7 @@ def learning_phase_split(events: DataFrame, n: int = MIN_EVENTS, **split) -> Dat
         F.max(_position()).alias("_cutoff")
     )
     sizes = events.groupBy("user").agg(F.count("*").alias("_events"))
-    table = sizes.join(last, "user")
-    rows = attach_by_key(events, table, ["user"], "_events", spread="event_id", **split)
+    rows = attach_by_key(events, sizes.join(last, "user"), ["user"], "_events", "event_id", sizes=sizes, **split)
     return rows.select(
         *events.columns, F.when(_position() <= F.col("_cutoff"), "train").otherwise("score").alias("phase")
     )
@@ -139,8 +138,8 @@ def frozen_baseline_detector(
     threshold = min(1.0, max(0.0, threshold))
     facts = _facts(events)
     sizes = events.groupBy("user").agg(F.count("*").alias("_events"))
-    baseline = sizes.where(F.col("_events") > n).join(frozen_baseline(events, n), "user")
-    rows = attach_by_key(facts, baseline, ["user"], "_events", spread="event_id", **split)
+    baseline = sizes.join(frozen_baseline(events, n), "user")
+    rows = attach_by_key(facts, baseline, ["user"], "_events", "event_id", sizes=sizes, **split)
 
     def p(dimension: str, **kw) -> Column:
         seen = F.try_element_at(F.col(f"{dimension}_counts"), F.col(dimension))
@@ -379,11 +378,11 @@ def _settled_start(rows: DataFrame, min_events: int, threshold: float) -> DataFr
     each round makes at least one more part right, so when two rounds agree they equal the result
     of one pass in order. Every round is written out, which also cuts the lineage.
     """
-    touched = _additions(rows).checkpoint()
-    start = _carried(touched, touched).checkpoint()
+    touched = materialize(_additions(rows), "additions")
+    start = materialize(_carried(touched, touched), "start")
     while True:
         gains = _ordered(rows, start).mapInArrow(_accepting(min_events, threshold), _ACCEPTED)
-        following = _carried(touched, gains).checkpoint()
+        following = materialize(_carried(touched, gains), "start")
         if following.exceptAll(start).isEmpty():
             return start
         start = following
@@ -408,15 +407,14 @@ def baseline_anomaly_detector(
     threshold = min(1.0, max(0.0, threshold))
     facts = _facts(events)
     # At most (all events / single_task_rows) users, a short list by construction.
-    large = facts.groupBy("user").count().where(F.col("count") > single_task_rows).select("user")
-    checkpoint_root(events.sparkSession)
-    large_users = large.checkpoint()
+    sizes = facts.groupBy("user").agg(F.count("*").alias("n"))
+    large_users = materialize(sizes.where(F.col("n") > single_task_rows).select("user"), "large-users")
     fold = _flagging(min_events, threshold)
     if large_users.isEmpty():
         flagged = _ordered(facts.withColumn("part", F.lit(0))).mapInArrow(fold, _FLAGGED)
         return flagged.select(*_anomaly_row())
     ordinary = facts.join(F.broadcast(large_users), "user", "left_anti").withColumn("part", F.lit(0))
-    cut = _parts(facts, large_users, part_rows).checkpoint()
+    cut = materialize(_parts(facts, large_users, part_rows), "parts")
     start = _settled_start(cut, min_events, threshold)
     flagged = _ordered(ordinary.unionByName(cut), start).mapInArrow(fold, _FLAGGED)
     return flagged.select(*_anomaly_row())

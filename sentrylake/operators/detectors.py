@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from sentrylake.functions.scalar import minmax_scaled
 from sentrylake.operators.skew import exact_quantile
-from sentrylake.session import checkpoint_root
+from sentrylake.session import materialize
 
 # Defaults of the detectors.
 TREES = 100
@@ -154,9 +154,8 @@ def isolation_forest(
     The raw features are used. The share ``contamination`` with the highest scores is flagged.
     """
     spark = features.sparkSession
-    checkpoint_root(spark)
-    # Sampling, scoring and the cut-off all read the feature rows; the events are read once.
-    rows = _usable(features, columns).checkpoint()
+    # Sampling and scoring both read the feature rows; the events are read once.
+    rows = materialize(_usable(features, columns), "feature-rows")
     n = rows.count()
     if n == 0:
         raise ValueError("no complete feature rows")
@@ -174,7 +173,7 @@ def isolation_forest(
             yield pd.Series(np.power(2.0, -_mean_path(x, shared.value, depth) / usual))
 
     vector = F.array(*[F.col(c).cast("double") for c in columns])
-    scored = rows.withColumn("anomaly_score", score(vector)).checkpoint()
+    scored = materialize(rows.withColumn("anomaly_score", score(vector)), "scored-rows")
     cut_off = exact_quantile(scored, "anomaly_score", 1.0 - contamination)
     flagged = scored.withColumn("is_anomaly", (F.col("anomaly_score") > cut_off).cast("int"))
     return minmax_normalise(flagged, "anomaly_score", "anomaly_score_normalized")
@@ -182,17 +181,14 @@ def isolation_forest(
 
 def kmeans_anomaly(features: DataFrame, columns: list[str], k: int = CLUSTERS, seed: int = SEED) -> DataFrame:
     """Feature rows with their cluster, the scaled distance to its centre, and a flag for the far ones."""
-    checkpoint_root(features.sparkSession)
-    prepared, vector = prepare_features(features.checkpoint(), columns)
+    prepared, vector = prepare_features(materialize(features, "feature-rows"), columns)
     model = KMeans(k=k, seed=seed, featuresCol=vector).fit(prepared)
     centers = F.array(*[F.lit([float(x) for x in c]) for c in model.clusterCenters()])
     squares = F.zip_with(
         vector_to_array(vector), F.get(centers, F.col("prediction")), lambda x, c: (x - c) * (x - c)
     )
     distance = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, s: acc + s))
-    placed = (
-        model.transform(prepared).withColumn("distance_to_center", distance).drop("features_raw", "features").checkpoint()
-    )
+    placed = model.transform(prepared).withColumn("distance_to_center", distance).drop("features_raw", "features")
     scaled = minmax_normalise(placed, "distance_to_center", "anomaly_score_normalized")
     return scaled.withColumn("is_anomaly", (F.col("anomaly_score_normalized") > FAR_FROM_CENTER).cast("int"))
 

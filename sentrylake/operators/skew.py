@@ -22,16 +22,19 @@ def attach_by_key(
     weight: str,
     spread: str,
     how: str = "inner",
+    sizes: DataFrame | None = None,
     shares: int = SHARES,
     min_split_rows: int = MIN_SPLIT_ROWS,
 ) -> DataFrame:
     """Join ``rows`` with ``table``, which has one row per key, splitting the heavy keys.
 
-    ``weight`` is the table's count of rows per key. A heavy key's rows are spread by a hash of
+    ``weight`` is the table's count of rows per key; where the table costs more to compute than the
+    counts, ``sizes`` gives them by themselves. A heavy key's rows are spread by a hash of
     ``spread`` over as many parts as its share asks for, and its table row is repeated once per
     part. Nulls match nulls. All rows meet their table row; nothing is sampled or dropped.
     """
-    share = F.col(weight) * shares / table.agg(F.sum(weight)).scalar()
+    sizes = table if sizes is None else sizes
+    share = F.col(weight) * shares / sizes.agg(F.sum(weight)).scalar()
     part_count = F.when((F.col(weight) > min_split_rows) & (share > 1), F.ceil(share).cast("int")).otherwise(1)
     values = [c for c in table.columns if c not in keys]
     names = {k: f"_key{i}" for i, k in enumerate(keys)}
@@ -39,8 +42,8 @@ def attach_by_key(
     def matches(other: DataFrame, *extra: Column) -> Column:
         return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(other[n]) for k, n in names.items()] + list(extra))
 
-    renamed = table.select(*[F.col(k).alias(n) for k, n in names.items()], *values, part_count.alias("_parts"))
-    parts = renamed.where("_parts > 1").select(*names.values(), "_parts")
+    renamed = [F.col(k).alias(n) for k, n in names.items()]
+    parts = sizes.select(*renamed, part_count.alias("_parts")).where("_parts > 1")
     salted_rows = rows.join(F.broadcast(parts), matches(parts), "left").select(
         *rows.columns,
         F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(spread), F.col("_parts")))
@@ -48,7 +51,9 @@ def attach_by_key(
         .cast("int")
         .alias("_part"),
     )
-    salted_table = renamed.withColumn("_table_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    salted_table = table.select(
+        *renamed, *values, F.explode(F.sequence(F.lit(0), part_count - 1)).alias("_table_part")
+    )
     joined = salted_rows.join(
         salted_table, matches(salted_table, F.col("_part") == F.col("_table_part")), how
     )

@@ -401,6 +401,11 @@ _simple(
     f"(SELECT * FROM ev WHERE threat_score >= 0.5 {_NEW} LIMIT 100) WHERE event_type LIKE '%auth%'",
     lambda e: lookups.failed_logins(e, 100, order="time"),
 )
+_simple(
+    "failed_logins_key_order",
+    f"(SELECT * FROM ev WHERE threat_score >= 0.5 {_KEY} LIMIT 10) WHERE event_type LIKE '%auth%'",
+    lookups.failed_logins,
+)
 _simple(
     "failed_logins_by_status",
     f"ev WHERE event_type LIKE '%auth%' AND status = 'failed' {_NEW} LIMIT 10",
@@ -855,13 +860,14 @@ def _view_ctes(tail: str) -> str:
     return f"""{o.EV}, {o.AN}, {o.LABELLED}, rt AS (SELECT * FROM ({tail})
       QUALIFY row_number() OVER (PARTITION BY "user" ORDER BY anomaly_score DESC, ts_ms DESC, event_id DESC) = 1),
     bt AS (SELECT * FROM lb WHERE is_anomaly = 1),
-    lv AS (SELECT coalesce(rt."user", bt."user") AS "user", rt.event_id AS realtime_event_id, round(anomaly_score, 9) AS realtime_score,
-      round(anomaly_score_normalized, 9) AS batch_score, total_events, round(avg_threat_score, 9) AS avg_threat_score, unique_ips,
-      round(failed_auth_rate, 9) AS failed_auth_rate FROM rt FULL JOIN bt ON rt."user" = bt."user")"""
+    lv AS (SELECT coalesce(rt."user", bt."user") AS "user", rt.event_id AS realtime_event_id, anomaly_score AS realtime_score,
+      anomaly_score_normalized AS batch_score, total_events, avg_threat_score, unique_ips, failed_auth_rate FROM rt FULL JOIN bt ON rt."user" = bt."user")"""
 
 
 def _lambda_sql(tail: str) -> str:
-    return f"WITH {_view_ctes(tail)} SELECT * FROM lv"
+    return f"""WITH {_view_ctes(tail)} SELECT "user", realtime_event_id, round(realtime_score, 9) AS realtime_score,
+      round(batch_score, 9) AS batch_score, total_events, round(avg_threat_score, 9) AS avg_threat_score, unique_ips,
+      round(failed_auth_rate, 9) AS failed_auth_rate FROM lv"""
 
 
 @query("lambda_view", _lambda_sql(f"SELECT * FROM an WHERE anomaly_score >= 0.7 {_NEW} LIMIT 10"))
