@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sentrylake.functions.scalar import ratio
 from sentrylake.operators.lookups import HIGH_THREAT
 from sentrylake.operators.skew import exact_quantile
+from sentrylake.session import materialize
 
 TOP_ANOMALIES = 10
 
@@ -122,7 +123,12 @@ def normal_users(report: DataFrame) -> DataFrame:
 
 
 def population_baseline(features: DataFrame, percentile: float = 0.95) -> DataFrame:
-    """What is usual in the population, as one configuration row for detectors."""
+    """What is usual in the population, as one configuration row for detectors.
+
+    The features are written out first, as the exact percentile takes passes of its own.
+    """
+    used = features.select("events_per_day", "unique_ips", "unusual_hour_rate")
+    features = materialize(used, "population")
     return features.agg(
         F.avg("events_per_day").alias("avg_events_per_day"),
         F.stddev_samp("events_per_day").alias("stddev_events_per_day"),

@@ -718,6 +718,11 @@ def _(spark, d):
     return metrics.event_counters(fixtures.events(spark, d), _anomalies(spark, d), fixtures.analyses(spark, d))
 
 
+@query("storage_errors", f"WITH {o.EV} SELECT count(*) FILTER (WHERE status = 'blocked') AS storage_errors FROM ev")
+def _(spark, d):
+    return metrics.storage_errors(fixtures.events(spark, d), F.col("status") == "blocked")
+
+
 def _histogram_sql(source: str, value: str, bounds: tuple, tail: str = "observed") -> str:
     limits = ", ".join(f"({float(b)}::DOUBLE, '{float(b):g}')" for b in bounds)
     return f"""SELECT le, cumulative, observed_sum, observed_count FROM
@@ -1172,12 +1177,20 @@ def _event_stream(spark: SparkSession, d: str) -> DataFrame:
     return fixtures.map_events(raw).drop("k", "seq")
 
 
+def _cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 def _run_stream(stream: DataFrame) -> DataFrame:
     """All of a stream's output so far, written per micro-batch and read back."""
-    path = scratch_path(stream.sparkSession, "stream")
+    spark = stream.sparkSession
+    path = scratch_path(spark, "stream")
     write = lambda batch, batch_id: jobs.write_batch(batch, path, batch_id)
-    jobs.micro_batch_hook(stream, write, scratch_path(stream.sparkSession, "progress"), available_now=True).awaitTermination()
-    return stream.sparkSession.read.parquet(path).drop("batch_id")
+    run = jobs.micro_batch_hook(
+        stream, write, scratch_path(spark, "progress"), available_now=True, state_partitions=_cores(spark)
+    )
+    run.awaitTermination()
+    return spark.read.parquet(path).drop("batch_id")
 
 
 @query("baseline_anomaly_detector", o.FOLD)
@@ -1206,8 +1219,9 @@ def _(spark, d):
 def _(spark, d):
     path = scratch_path(spark, "job")
     job = jobs.event_stream_job(
-        _event_stream(spark, d), path, scratch_path(spark, "progress"), LEARN, CUT, available_now=True
-    )
+        _event_stream(spark, d), path, scratch_path(spark, "progress"), LEARN, CUT, available_now=True,
+        state_partitions=_cores(spark),
+    )
     job.awaitTermination()
     stored = jobs.read_latest(spark, f"{path}/events", writers.EVENT_KEY).select("event_id", "event_type")
     found = jobs.read_latest(spark, f"{path}/anomalies", writers.ANOMALY_KEY).select("event_id", F.lit(1).alias("anomaly"))

@@ -76,7 +76,7 @@ def test_upsert_keeps_the_last_of_many_copies(spark, events_of):
     )
     path = writers.upsert_events(rows, scratch_path(spark, "upsert"), "arrival")
     stored = spark.read.parquet(path).orderBy("ts").collect()
-    assert [r.threat_score for r in stored] == [4999 / 5000, 0.0]
+    assert [r.threat_score for r in stored] == [4999 / 5000, 0.1]
     assert [str(r.event_date) for r in stored] == ["2024-01-01", "2024-01-02"]
     plan = writers.latest_per_key(rows, writers.EVENT_KEY, "arrival")._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
