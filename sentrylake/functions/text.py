@@ -66,6 +66,19 @@ def short_number(x: ColumnOrName) -> Column:
     return chain.otherwise(F.lower(_decimal(x, "0.#####E00")))
 
 
+# Labels of the one-line event text, in order; the first four are always there.
+TEXT_TYPE = "Security Event: "
+TEXT_USER = "User: "
+TEXT_SOURCE = "Source IP: "
+TEXT_SCORE = "Threat Score: "
+TEXT_OPTIONAL = {
+    "destination_ip": "Destination IP: ",
+    "file_path": "File: ",
+    "domain": "Domain: ",
+    "process_name": "Process: ",
+}
+
+
 def _optional(label: str, name: str, end: str) -> Column:
     """``label`` + value + ``end``, or null for an absent or empty value."""
     return F.when(F.col(name) != "", F.concat(F.lit(label), F.col(name), F.lit(end)))
@@ -73,16 +86,14 @@ def _optional(label: str, name: str, end: str) -> Column:
 
 def event_text(score: ColumnOrName = "threat_score") -> Column:
     """One-line description of an event, the text that similarity search works on."""
+    sentence = lambda label, name: F.concat(F.lit(label), F.col(name), F.lit("."))
     return F.concat_ws(
         " ",
-        F.concat(F.lit("Security Event: "), F.col("event_type"), F.lit(".")),
-        F.concat(F.lit("User: "), F.col("user"), F.lit(".")),
-        F.concat(F.lit("Source IP: "), F.col("source_ip"), F.lit(".")),
-        _optional("Destination IP: ", "destination_ip", "."),
-        _optional("File: ", "file_path", "."),
-        _optional("Domain: ", "domain", "."),
-        _optional("Process: ", "process_name", "."),
-        F.concat(F.lit("Threat Score: "), short_number(score)),
+        sentence(TEXT_TYPE, "event_type"),
+        sentence(TEXT_USER, "user"),
+        sentence(TEXT_SOURCE, "source_ip"),
+        *[_optional(label, name, ".") for name, label in TEXT_OPTIONAL.items()],
+        F.concat(F.lit(TEXT_SCORE), short_number(score)),
     )
 
 
@@ -102,23 +113,32 @@ Provide your analysis in the following JSON format:
 Consider MITRE ATT&CK tactics and techniques in your analysis. Be specific and actionable."""
 
 
+# The detail lines of the prompt, in order; the first four are always there.
+PROMPT_HEADING = "EVENT DETAILS:"
+PROMPT_LINES = {
+    "event_id": "- Event ID: ",
+    "event_type": "- Type: ",
+    "user": "- User: ",
+    "source_ip": "- Source IP: ",
+    "destination_ip": "- Destination IP: ",
+    "file_path": "- File Path: ",
+    "domain": "- Domain: ",
+    "process_name": "- Process: ",
+}
+PROMPT_SCORE = "- Threat Score: "
+PROMPT_SCALE = " (0.0-1.0)"
+PROMPT_TIME = "- Timestamp: "
+
+
 def analysis_prompt() -> Column:
     """The multi-line prompt that asks for an assessment of the event."""
-    line = lambda label, value: F.concat(F.lit(f"- {label}: "), value)
     return F.concat_ws(
         "\n",
         F.lit(PROMPT_OPENING),
-        F.lit("EVENT DETAILS:"),
-        line("Event ID", F.col("event_id")),
-        line("Type", F.col("event_type")),
-        line("User", F.col("user")),
-        line("Source IP", F.col("source_ip")),
-        _optional("- Destination IP: ", "destination_ip", ""),
-        _optional("- File Path: ", "file_path", ""),
-        _optional("- Domain: ", "domain", ""),
-        _optional("- Process: ", "process_name", ""),
-        F.concat(F.lit("- Threat Score: "), short_number("threat_score"), F.lit(" (0.0-1.0)")),
-        line("Timestamp", F.col("ts_ms").cast("string")),
+        F.lit(PROMPT_HEADING),
+        *[_optional(label, name, "") for name, label in PROMPT_LINES.items()],
+        F.concat(F.lit(PROMPT_SCORE), short_number("threat_score"), F.lit(PROMPT_SCALE)),
+        F.concat(F.lit(PROMPT_TIME), F.col("ts_ms").cast("string")),
         F.lit(PROMPT_CLOSING),
     )
 
@@ -190,6 +210,16 @@ def extract_recommendations(answer: ColumnOrName) -> Column:
     return F.slice(F.filter(items, lambda item: F.length(item) > MIN_ITEM_CHARS), 1, MAX_ITEMS)
 
 
+# How much each kind of context adds to the confidence in an answer.
+BASE_CONFIDENCE = 0.5
+PER_EVENT, MOST_FROM_EVENTS = 0.02, 0.2
+FROM_RELEVANCE = 0.2
+FROM_REALTIME, FROM_BATCH = 0.05, 0.1
+MOST_CONFIDENCE = 0.99
+# Names of the sources of an answer, beside the model provider.
+SOURCE_EVENTS, SOURCE_INTEL, SOURCE_BATCH = "java_api", "rag_service", "batch-ml"
+
+
 def answer_confidence(
     n_events: ColumnOrName,
     avg_relevance: ColumnOrName,
@@ -198,12 +228,12 @@ def answer_confidence(
 ) -> Column:
     """Confidence in an answer from how much context it had; ``avg_relevance`` is null without intelligence."""
     return F.least(
-        F.lit(0.99),
-        F.lit(0.5)
-        + F.least(F.lit(0.2), _col(n_events) * 0.02)
-        + F.coalesce(_col(avg_relevance) * 0.2, F.lit(0.0))
-        + F.when(_col(has_realtime), 0.05).otherwise(0.0)
-        + F.when(_col(has_batch), 0.1).otherwise(0.0),
+        F.lit(MOST_CONFIDENCE),
+        F.lit(BASE_CONFIDENCE)
+        + F.least(F.lit(MOST_FROM_EVENTS), _col(n_events) * PER_EVENT)
+        + F.coalesce(_col(avg_relevance) * FROM_RELEVANCE, F.lit(0.0))
+        + F.when(_col(has_realtime), FROM_REALTIME).otherwise(0.0)
+        + F.when(_col(has_batch), FROM_BATCH).otherwise(0.0),
     )
 
 
@@ -214,9 +244,9 @@ def sources_used(
     return F.array_compact(
         F.array(
             F.lit(provider),
-            F.when(_col(n_events) > 0, "java_api"),
-            F.when(_col(n_intel) > 0, "rag_service"),
-            F.when(_col(has_batch), "batch-ml"),
+            F.when(_col(n_events) > 0, SOURCE_EVENTS),
+            F.when(_col(n_intel) > 0, SOURCE_INTEL),
+            F.when(_col(has_batch), SOURCE_BATCH),
         )
     )
 
@@ -229,86 +259,95 @@ def relevance(distance: ColumnOrName) -> Column:
     return clamp01(1.0 - _col(distance))
 
 
+# Texts of the context listings. "{}" marks a value.
+EVENT_LINE = "{}. [{}] {} - User: {}, IP: {}, Severity: {}, Threat Score: {}"
+MORE_EVENTS = "\n\n... and {} more events"
+NO_EVENTS = "No events found in the specified time window."
+INTEL_LINE = "{}. [{}] (Relevance: {})\n   {}"
+NO_INTEL = "No matching threat intelligence found in knowledge base."
+NO_SUMMARY = "No summary available"
+NO_ANOMALIES = "No anomaly analysis available for this query."
+REALTIME_BLOCK = (
+    "**Real-time Anomaly Detection** (Speed Layer):\n"
+    "  Anomaly Score: {} (0.0 = normal, 1.0 = highly anomalous)\n"
+    "  Baseline Deviation: N/A\n"
+    "  User Baseline Events: N/A"
+)
+BATCH_BLOCK = (
+    "**Batch ML Anomaly Detection** (Spark ML Pipeline):\n"
+    "  Anomaly Score: {} (0.0 = normal, 1.0 = highly anomalous)\n"
+    "  Total Events Analyzed: {}\n"
+    "  Average Threat Score: {}\n"
+    "  Unique IPs: {}\n"
+    "  Failed Auth Rate: {}%\n"
+    "  Note: Batch analysis provides comprehensive historical behavior patterns"
+)
+LISTED_EVENTS, LISTED_INTEL = 10, 5
+
+
+def _filled(template: str, *values: Column) -> Column:
+    """The template with its ``{}`` marks replaced by the values, as one concatenation."""
+    first, *rest = template.split("{}")
+    parts = [F.lit(first)]
+    for value, fixed in zip(values, rest, strict=True):
+        parts += [value, F.lit(fixed)]
+    return F.concat(*parts)
+
+
 def event_line(position: Column, e: Column) -> Column:
     """One numbered line of an event listing; ``e`` is a struct."""
-    return F.concat(
+    known = lambda c: F.coalesce(c, F.lit("unknown"))
+    return _filled(
+        EVENT_LINE,
         position.cast("string"),
-        F.lit(". ["),
-        F.coalesce(e["ts_ms"].cast("string"), F.lit("unknown")),
-        F.lit("] "),
-        F.coalesce(e["event_type"], F.lit("unknown")),
-        F.lit(" - User: "),
-        F.coalesce(e["user"], F.lit("unknown")),
-        F.lit(", IP: "),
-        F.coalesce(e["source_ip"], F.lit("unknown")),
-        F.lit(", Severity: "),
+        known(e["ts_ms"].cast("string")),
+        known(e["event_type"]),
+        known(e["user"]),
+        known(e["source_ip"]),
         F.coalesce(e["severity"], F.lit("MEDIUM")),
-        F.lit(", Threat Score: "),
         _two(e["threat_score"]),
     )
 
 
 def format_events(top: ColumnOrName, total: ColumnOrName) -> Column:
     """Event listing from the (at most ten) newest events and the count of all."""
+    n = F.coalesce(_col(total), F.lit(0))
     lines = F.array_join(F.transform(_col(top), lambda e, i: event_line(i + 1, e)), "\n")
-    more = F.when(
-        _col(total) > 10,
-        F.concat(F.lit("\n\n... and "), (_col(total) - 10).cast("string"), F.lit(" more events")),
-    ).otherwise("")
-    return F.when(
-        F.coalesce(_col(total), F.lit(0)) == 0, "No events found in the specified time window."
-    ).otherwise(F.concat(lines, more))
+    more = F.when(n > LISTED_EVENTS, _filled(MORE_EVENTS, (n - LISTED_EVENTS).cast("string"))).otherwise("")
+    return F.when(n == 0, NO_EVENTS).otherwise(F.concat(lines, more))
 
 
 def format_intel(top: ColumnOrName) -> Column:
     """Listing of up to five matches; each is a struct of source, summary and relevance_score."""
+    matches = _col(top)
     lines = F.transform(
-        F.slice(_col(top), 1, 5),
-        lambda m, i: F.concat(
+        F.slice(matches, 1, LISTED_INTEL),
+        lambda m, i: _filled(
+            INTEL_LINE,
             (i + 1).cast("string"),
-            F.lit(". ["),
             F.coalesce(m["source"], F.lit("unknown")),
-            F.lit("] (Relevance: "),
             _two(m["relevance_score"]),
-            F.lit(")\n   "),
-            F.coalesce(m["summary"], F.lit("No summary available")),
+            F.coalesce(m["summary"], F.lit(NO_SUMMARY)),
         ),
     )
-    return F.when(
-        F.coalesce(F.size(_col(top)), F.lit(0)) <= 0,
-        "No matching threat intelligence found in knowledge base.",
-    ).otherwise(F.array_join(lines, "\n"))
+    return F.when(F.coalesce(F.size(matches), F.lit(0)) <= 0, NO_INTEL).otherwise(F.array_join(lines, "\n"))
 
 
-def format_anomalies(
-    realtime_score: ColumnOrName, batch: ColumnOrName, scale_note: str = " (0.0 = normal, 1.0 = highly anomalous)"
-) -> Column:
+def format_anomalies(realtime_score: ColumnOrName, batch: ColumnOrName) -> Column:
     """The anomaly block of both layers; ``batch`` is a struct of the batch row or null."""
     realtime, b = _col(realtime_score), _col(batch)
-    speed_block = F.when(
-        realtime.isNotNull(),
-        F.concat(
-            F.lit("**Real-time Anomaly Detection** (Speed Layer):\n  Anomaly Score: "),
-            _two(realtime),
-            F.lit(scale_note + "\n  Baseline Deviation: N/A\n  User Baseline Events: N/A"),
-        ),
+    number = lambda c: F.coalesce(c, F.lit(0)).cast("string")
+    batch_text = _filled(
+        BATCH_BLOCK,
+        _two(b["anomaly_score_normalized"]),
+        number(b["total_events"]),
+        _two(b["avg_threat_score"]),
+        number(b["unique_ips"]),
+        _two(b["failed_auth_rate"] * 100),
     )
-    batch_block = F.when(
-        b.isNotNull(),
-        F.concat(
-            F.lit("**Batch ML Anomaly Detection** (Spark ML Pipeline):\n  Anomaly Score: "),
-            _two(b["anomaly_score_normalized"]),
-            F.lit(scale_note + "\n  Total Events Analyzed: "),
-            F.coalesce(b["total_events"], F.lit(0)).cast("string"),
-            F.lit("\n  Average Threat Score: "),
-            _two(b["avg_threat_score"]),
-            F.lit("\n  Unique IPs: "),
-            F.coalesce(b["unique_ips"], F.lit(0)).cast("string"),
-            F.lit("\n  Failed Auth Rate: "),
-            _two(b["failed_auth_rate"] * 100),
-            F.lit("%\n  Note: Batch analysis provides comprehensive historical behavior patterns"),
-        ),
+    blocks = F.concat_ws(
+        "\n\n",
+        F.when(realtime.isNotNull(), _filled(REALTIME_BLOCK, _two(realtime))),
+        F.when(b.isNotNull(), batch_text),
     )
-    return F.when(
-        realtime.isNull() & b.isNull(), "No anomaly analysis available for this query."
-    ).otherwise(F.concat_ws("\n\n", speed_block, batch_block))
+    return F.when(realtime.isNull() & b.isNull(), NO_ANOMALIES).otherwise(blocks)

@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sentrylake.functions.text import answer_confidence, format_anomalies, format_events, sources_used
+from sentrylake.functions.text import (
+    LISTED_EVENTS,
+    answer_confidence,
+    format_anomalies,
+    format_events,
+    sources_used,
+)
 from sentrylake.operators.lookups import HIGH_THREAT, high_score_anomalies, top_anomaly_per_user
 
 RECENT_ANOMALIES = 10
-LISTED_EVENTS = 10
 
 
 def event_context(events: DataFrame, anomalies: DataFrame, analyses: DataFrame, event_id: str | None = None) -> DataFrame:

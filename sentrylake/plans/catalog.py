@@ -551,18 +551,21 @@ def _(spark, d):
     return counts.unpivot([], names, "feature", "users")
 
 
+_NUMERIC = [c for c in features.FEATURE_COLUMNS if c not in features.NOT_FEATURES]
+
+
 @query(
     "user_incident_slice",
-    f"""WITH {o.EV}, {o.USERS}, long AS (SELECT "user", unnest(['total_events', 'unique_ips', 'avg_threat_score', 'failed_auth_rate']) AS feature,
-      unnest([CAST(total_events AS DOUBLE), CAST(unique_ips AS DOUBLE), avg_threat_score, failed_auth_rate]) AS value FROM uf),
+    f"""WITH {o.EV}, {o.FEATURES}, ft AS (SELECT uf."user" AS "user", * EXCLUDE ("user")
+      FROM uf JOIN pv ON uf."user" = pv."user" JOIN hf ON uf."user" = hf."user" JOIN ips ON uf."user" = ips."user" JOIN sf ON uf."user" = sf."user"),
+    long AS (SELECT "user", unnest([{", ".join(f"'{c}'" for c in _NUMERIC)}]) AS feature,
+      unnest([{", ".join(f"coalesce(CAST({c} AS DOUBLE), 0)" for c in _NUMERIC)}]) AS value FROM ft),
     st AS (SELECT feature, max(value) FILTER (WHERE "user" = '{USER}') AS value, avg(value) AS m, stddev_samp(value) AS s FROM long GROUP BY feature)
-    SELECT feature, round(value, 9) AS value, round(m, 9) AS population_mean, round(s, 9) AS population_stddev,
-      round((value - m) / s, 6) AS z_score FROM st""",
+    SELECT feature, round(value, 6) AS value, round(m, 6) AS population_mean, round(s, 6) AS population_stddev,
+      round((value - m) / nullif(s, 0), 6) AS z_score FROM st WHERE value IS NOT NULL""",
 )
 def _(spark, d):
-    compared = features.user_incident_slice(fixtures.events(spark, d), USER)
-    shown = compared.where(F.col("feature").isin("total_events", "unique_ips", "avg_threat_score", "failed_auth_rate"))
-    return rounded(shown, z_score=6)
+    return rounded(features.user_incident_slice(fixtures.events(spark, d), USER), 6)
 
 
 # --- C: aggregations ---------------------------------------------------------------------------
