@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -78,6 +80,17 @@ def cosine_similarity(a: ColumnOrName, b: ColumnOrName) -> Column:
     return F.when(comparable, F.coalesce(value, F.lit(0.0))).otherwise(0.0)
 
 
+def cosine_to(a: ColumnOrName, query: list[float]) -> Column:
+    """Cosine of an array to one given vector, whose norm is taken once and not per row."""
+    a = _col(a)
+    norm = math.sqrt(math.fsum(float(x) * float(x) for x in query))
+    if norm == 0.0:
+        return F.lit(0.0)
+    unit = F.lit([float(x) / norm for x in query])
+    value = F.try_divide(_dot(a, unit), F.sqrt(_dot(a, a)))
+    return F.when(F.size(a) == len(query), F.coalesce(value, F.lit(0.0))).otherwise(0.0)
+
+
 # Probability of something no history says anything about, and of something new.
 NEUTRAL_PROBABILITY = 0.5
 UNSEEN_PROBABILITY = 0.01

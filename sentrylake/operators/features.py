@@ -119,7 +119,8 @@ def event_interval(events: DataFrame, slice_minutes: int = SLICE_MINUTES) -> Dat
     """Every event with the whole seconds since its user's previous event (null for the first).
 
     One task orders at most one slice of one user; a slice's first event takes its predecessor from
-    the last second of the user's slice before. Events without a time come out with null.
+    the last second of the user's slice before. Events without a time come out with null, and so do
+    those without a user that open a slice.
     """
     sliced = _sliced(events, slice_minutes, "ts", "event_id")
     ends = events.groupBy("user", F.floor(F.unix_seconds("ts") / (slice_minutes * 60)).alias("_slice")).agg(

@@ -13,7 +13,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentrylake.functions.scalar import clamp01, cosine_similarity
+from sentrylake.functions.scalar import clamp01, cosine_to
 from sentrylake.functions.text import truncate_summary
 
 # Default and largest number of matches.
@@ -27,8 +27,7 @@ def similar_events(
     vectors: DataFrame, query: list[float], k: int = 10, key: str = "event_id", vector: str = "embedding"
 ) -> DataFrame:
     """The ``k`` vectors most similar to the query by cosine, the query's own row included."""
-    wanted = F.lit([float(x) for x in query])
-    scored = vectors.select(key, cosine_similarity(vector, wanted).alias("similarity"))
+    scored = vectors.select(key, cosine_to(vector, query).alias("similarity"))
     return scored.orderBy(F.desc("similarity"), F.asc(key)).limit(k)
 
 

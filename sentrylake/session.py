@@ -14,6 +14,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rank limits up to this size are applied in every task before the shuffle.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
+    # Recording the Python call site of every column expression costs more than planning does.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -77,7 +77,11 @@ class _BaselineProcessor(StatefulProcessor):
 def score_stream(
     events: DataFrame, min_events: int = MIN_EVENTS, threshold: float = THRESHOLD, only_anomalies: bool = False
 ) -> DataFrame:
-    """Every event with its scores, null unless it is an anomaly."""
+    """Every event with its scores, null unless it is an anomaly.
+
+    State is keyed by user, so one user's events of a micro-batch are scored by one task; the
+    source's limit per trigger (offsets or files) is what bounds that task.
+    """
     spark = events.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     facts = events.select(
@@ -291,16 +295,15 @@ def late_data(
     marks = f"{path}/newest"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        newest = None
-        if batch_id > 0:
-            seen = spark.read.parquet(marks).where(F.col("batch_id") < batch_id)
-            newest = seen.agg(F.max("ts_ms")).first()[0]
+        # One row per micro-batch: the newest time up to and including it.
+        newest = spark.read.parquet(f"{marks}/batch_id={batch_id - 1}").first()[0] if batch_id else None
         is_late = F.lit(False) if newest is None else F.coalesce(F.col("ts_ms") < newest - delay_ms, F.lit(False))
         batch = batch.withColumn("_late", is_late).persist()
         try:
             write_batch(batch.where("not _late").drop("_late"), f"{path}/on_time", batch_id)
             write_batch(batch.where("_late").drop("_late"), f"{path}/late", batch_id)
-            write_batch(batch.agg(F.max("ts_ms").alias("ts_ms")), marks, batch_id)
+            upto = F.greatest(F.max("ts_ms"), F.lit(newest).cast("bigint")).alias("ts_ms")
+            write_batch(batch.agg(upto), marks, batch_id)
         finally:
             batch.unpersist()
 

@@ -104,3 +104,8 @@ def test_frozen_detector_splits_heavy_users(spark, sf):
     split = frozen_baseline_detector(ev, 20, 0.6, shares=40, min_split_rows=10)
     assert plain.count() == split.count() > 0
     assert plain.exceptAll(split).isEmpty()
+
+
+def test_learning_phase_is_cut_before_the_shuffle(spark, sf):
+    plan = frozen_baseline_detector(fixtures.events(spark, sf), 20, 0.6)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
