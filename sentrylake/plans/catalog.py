@@ -30,7 +30,7 @@ ORACLES: dict[str, str] = {}
 
 LEARN, CUT = o.LEARN, o.CUT
 USER = "user_3"
-EVENT = "evt_000000000042"
+EVENT, ANALYSED, ANOMALOUS = "evt_000000000042", "evt_000000000009", "evt_000000002166"
 TYPE = "auth_attempt"
 # 10 to 20 January 2024.
 START_MS, END_MS = 1_704_844_800_000, 1_705_708_800_000
@@ -433,7 +433,9 @@ def _analysis_query(name: str, tail: str, fn: Callable[[DataFrame], DataFrame])
     )
 
 
-_analysis_query("analysis_by_event", f"al WHERE event_id = '{EVENT}'", lambda a: lookups.analysis_by_event(a, EVENT))
+_analysis_query(
+    "analysis_by_event", f"al WHERE event_id = '{ANALYSED}'", lambda a: lookups.analysis_by_event(a, ANALYSED)
+)
 _analysis_query(
     "analyses_by_time_range",
     f"al WHERE ts_s BETWEEN {START_MS // 1000} AND {END_MS // 1000} ORDER BY event_id LIMIT 50",
@@ -460,8 +462,8 @@ def _anomaly_query(name: str, tail: str, fn: Callable[[DataFrame], DataFrame]) -
 
 _anomaly_query(
     "anomaly_by_event",
-    "an WHERE event_id = 'evt_000000004321'",
-    lambda a: lookups.anomaly_by_event(a, "evt_000000004321"),
+    f"an WHERE event_id = '{ANOMALOUS}'",
+    lambda a: lookups.anomaly_by_event(a, ANOMALOUS),
 )
 _anomaly_query(
     "anomalies_by_time_range",
@@ -494,9 +496,9 @@ def _(spark, d):
     return _batch(lookups.batch_anomalies(_flagged(spark, d)))
 
 
-@query("batch_anomaly_for_user", f"WITH {o.EV}, {o.LABELLED} SELECT {B} FROM lb WHERE is_anomaly = 1 AND \"user\" = 'user_38'")
+@query("batch_anomaly_for_user", f"WITH {o.EV}, {o.LABELLED} SELECT {B} FROM lb WHERE is_anomaly = 1 AND \"user\" = 'user_11'")
 def _(spark, d):
-    return _batch(lookups.batch_anomaly_for_user(_flagged(spark, d), "user_38"))
+    return _batch(lookups.batch_anomaly_for_user(_flagged(spark, d), "user_11"))
 
 
 @query(

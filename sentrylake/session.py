@@ -40,6 +40,16 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, shuffled_bytes: int, bytes_per_task: int = 128 << 20) -> int:
+    """Set the number of shuffle partitions so that one task gets about ``bytes_per_task``.
+
+    Partitions that turn out small are merged at run time, so it is better to guess high.
+    """
+    wanted = max(spark.sparkContext.defaultParallelism, -(-shuffled_bytes // bytes_per_task))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

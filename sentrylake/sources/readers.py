@@ -43,6 +43,22 @@ def watermarks(records: DataFrame) -> DataFrame:
     )
 
 
+def kafka_watermarks(spark: SparkSession, topic: Topic, seconds: int = 10) -> DataFrame | None:
+    """First and next offset per partition asked from the brokers; None where no client is installed."""
+    try:
+        from confluent_kafka import Consumer, TopicPartition
+    except ImportError:
+        return None
+    settings = {k.removeprefix("kafka."): v for k, v in topic.options.items() if k.startswith("kafka.")}
+    client = Consumer({"group.id": "sentrylake-watermarks", "enable.auto.commit": False, **settings})
+    try:
+        known = client.list_topics(topic.name, timeout=seconds).topics[topic.name].partitions
+        rows = [(p, *client.get_watermark_offsets(TopicPartition(topic.name, p), timeout=seconds)) for p in known]
+    finally:
+        client.close()
+    return spark.createDataFrame(rows, "partition int, low bigint, high bigint")
+
+
 def bounded_read(
     marks: DataFrame, start_offset: str = "earliest", max_events: int = 1000, topic: str = "security-events"
 ) -> str | None:
@@ -114,11 +130,12 @@ def read_events_batch(
     """Bounded read of events, with partition and offset.
 
     With ``max_events`` the read itself is cut short by end offsets (from ``marks``, the
-    partitions' first and next offsets) and then limited in (partition, offset) order.
+    partitions' first and next offsets, looked up if not given) and then limited in
+    (partition, offset) order. Where they cannot be looked up, the topic is read in full.
     """
     if max_events and not end_offset:
-        if marks is None and not topic.is_kafka:
-            marks = watermarks(read_records(spark, topic))
+        if marks is None:
+            marks = kafka_watermarks(spark, topic) if topic.is_kafka else watermarks(read_records(spark, topic))
         if marks is not None:
             end_offset = bounded_read(marks, start_offset, max_events, topic.name)
     events = project_events(read_records(spark, topic, start_offset, end_offset), "partition", "offset")

@@ -2,6 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from sentrylake.operators.skew import attach_by_key, exact_quantile, sample_std
+from sentrylake.session import size_shuffles
 
 
 def test_heavy_keys_are_split_and_no_row_is_lost(spark):
@@ -49,3 +50,13 @@ def test_sample_std_does_not_cancel(spark):
     got = df.agg(sample_std(F.count("v"), F.sum(whole).cast("decimal(30,0)"), F.sum(whole * whole))).first()[0]
     assert np.isclose(got, np.std(data, ddof=1), atol=1e-12)
     assert df.limit(1).agg(sample_std(F.count("v"), F.sum(whole).cast("decimal(30,0)"), F.sum(whole * whole))).first()[0] is None
+
+
+def test_shuffle_sizing(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 0) == spark.sparkContext.defaultParallelism
+        assert size_shuffles(spark, 100 << 40) == 819_200
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "819200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
