@@ -109,3 +109,18 @@ def test_frozen_detector_splits_heavy_users(spark, sf):
 def test_learning_phase_is_cut_before_the_shuffle(spark, sf):
     plan = frozen_baseline_detector(fixtures.events(spark, sf), 20, 0.6)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_task_code_needs_no_package_on_the_executor(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from sentrylake.operators.baseline import _flagging
+
+    code = "import pickle, sys; fold = pickle.load(sys.stdin.buffer); assert list(fold(iter([]))) == []"
+    done = subprocess.run(
+        [sys.executable, "-c", code], input=cloudpickle.dumps(_flagging(20, 0.7)), cwd=tmp_path, capture_output=True
+    )
+    assert done.returncode == 0, done.stderr
