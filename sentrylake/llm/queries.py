@@ -13,6 +13,7 @@ from sentrylake.llm.minhash import near_duplicates
 from sentrylake.llm.packing import pack_documents
 from sentrylake.llm.quality import quality_rules
 from sentrylake.llm.tokens import vocabulary_path
+from sentrylake.llm.toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,3 +46,9 @@ def op8_minhash_near_dedup(spark, d):
 @query
 def op10_best_fit_packing(spark, d):
     return pack_documents(table(spark, d, "documents"), vocabulary_path("word_bpe_49k.json"), capacity=2048)
+
+
+@query
+def op9_toxicity(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return toxicity_scores(docs, table(spark, d, "labels")).select("doc_id", "held_out", "score", "predicted")
