@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sentrylake.llm.common import table
 from sentrylake.llm.linededup import line_dedup
+from sentrylake.llm.lm import lm_scores
 from sentrylake.llm.minhash import near_duplicates
 from sentrylake.llm.packing import pack_documents
 from sentrylake.llm.quality import quality_rules
@@ -52,3 +53,11 @@ def op10_best_fit_packing(spark, d):
 def op9_toxicity(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     return toxicity_scores(docs, table(spark, d, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op1_lm_scores(spark, d):
+    """Held-out rows are those whose id's checksum leaves 1 when divided by 5; a null id is learned from."""
+    out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
+    scores = lm_scores(table(spark, d, "documents"), ~out)
+    return scores.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
