@@ -12,7 +12,9 @@ from sentrylake.llm.linededup import line_dedup
 from sentrylake.llm.lm import lm_scores
 from sentrylake.llm.minhash import near_duplicates
 from sentrylake.llm.packing import pack_documents
+from sentrylake.llm.pieces import round_trips
 from sentrylake.llm.quality import quality_rules
+from sentrylake.llm.tokencounts import token_counts
 from sentrylake.llm.tokens import vocabulary_path
 from sentrylake.llm.toxicity import toxicity_scores
 
@@ -61,3 +63,13 @@ def op1_lm_scores(spark, d):
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
     scores = lm_scores(table(spark, d, "documents"), ~out)
     return scores.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op5_token_counts(spark, d):
+    return token_counts(table(spark, d, "documents"), vocabulary_path("byte_bpe_50k.json"), limit=1024)
+
+
+@query
+def op7_sentencepiece(spark, d):
+    return round_trips(table(spark, d, "documents"), vocabulary_path("piece_bpe_32k.model"))
