@@ -17,6 +17,7 @@ from sentrylake.llm.quality import quality_rules
 from sentrylake.llm.tokencounts import token_counts
 from sentrylake.llm.tokens import vocabulary_path
 from sentrylake.llm.toxicity import toxicity_scores
+from sentrylake.llm.vectors import near_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,3 +74,8 @@ def op5_token_counts(spark, d):
 @query
 def op7_sentencepiece(spark, d):
     return round_trips(table(spark, d, "documents"), vocabulary_path("piece_bpe_32k.model"))
+
+
+@query
+def op6_embedding_near_dedup(spark, d):
+    return near_vectors(table(spark, d, "embeddings"))
