@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentrylake.llm.common import table
+from sentrylake.llm.html import main_text
 from sentrylake.llm.linededup import line_dedup
 from sentrylake.llm.lm import lm_scores
 from sentrylake.llm.minhash import near_duplicates
@@ -79,3 +80,8 @@ def op7_sentencepiece(spark, d):
 @query
 def op6_embedding_near_dedup(spark, d):
     return near_vectors(table(spark, d, "embeddings"))
+
+
+@query
+def op3_html_main_text(spark, d):
+    return main_text(table(spark, d, "pages"))
