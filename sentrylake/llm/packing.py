@@ -169,7 +169,8 @@ def plan(lengths: dict[int, int], capacity: int, groups: int = 96, large: int |
     small = {n: c for n, c in lengths.items() if n <= large}
     runs: list[Run] = [(lengths[capacity], (capacity,))] if lengths.get(capacity) else []
     if big:
-        grouped = groups_of(big, groups)
+        # Patterns are used a whole number of times, so groups of few items would lose much in rounding.
+        grouped = groups_of(big, max(4, min(groups, sum(big.values()) // 50)))
         # Groups that round to one size are one size.
         sizes: list[int] = []
         items: list[list[list[int]]] = []
@@ -191,7 +192,16 @@ def plan(lengths: dict[int, int], capacity: int, groups: int = 96, large: int |
         for _, own in named:  # what the rounding left over is fitted with the small ones
             for length, count in own:
                 small[length] = small.get(length, 0) + count
-    return best_fit(runs, small, capacity)
+    runs = best_fit(runs, small, capacity)
+    # Where few items leave the patterns much rounding, the bins that are not full are fitted anew if that takes fewer.
+    full = [run for run in runs if sum(run[1]) == capacity]
+    loose: Counter = Counter()
+    for n, lengths_in in runs:
+        if sum(lengths_in) < capacity:
+            for length in lengths_in:
+                loose[length] += n
+    again = best_fit(full, loose, capacity)
+    return min(runs, again, key=lambda rs: sum(n for n, _ in rs))
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int, end: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
