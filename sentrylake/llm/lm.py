@@ -36,101 +36,127 @@ def look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndar
     return np.where(keys[at] == wanted, values[at], values.dtype.type(0))
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
+class Reader(dict):
+    """Texts as numbers of their tokens, given in order of appearance; ``hashes`` has the hash of each number.
 
-class Reader:
-    """Texts as hashes of their tokens: words between white space, A to Z in lower case, then the end."""
+    Tokens are words between white space, A to Z in lower case, then the end, whose number is 0.
+    """
 
     def __init__(self):
-        self.known = _Hashes()
+        super().__init__()
+        self.found = [int(END)]
+        self._hashes = np.zeros(0, np.uint64)
+
+    def __missing__(self, word: bytes) -> int:
+        self.found.append(xxhash.xxh64_intdigest(word))
+        n = self[word] = len(self.found) - 1
+        return n
 
     def __call__(self, text: str | None) -> np.ndarray:
         # Bytes are lowered in A-Z alone, and split at the blank and the characters 9 to 13.
         tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        out = np.empty(len(tokens) + 1, np.uint64)
-        out[:-1] = np.fromiter(map(self.known.__getitem__, tokens), np.uint64, len(tokens))
-        out[-1] = END
+        out = np.zeros(len(tokens) + 1, np.int32)
+        out[:-1] = np.fromiter(map(self.__getitem__, tokens), np.int32, len(tokens))
         return out
 
+    @property
+    def hashes(self) -> np.ndarray:
+        have = len(self._hashes)
+        if have < len(self.found):
+            self._hashes = np.concatenate([self._hashes, np.array(self.found[have:], np.uint64)])
+        return self._hashes
+
 
-def states_of(tokens: np.ndarray, starts: np.ndarray, states: np.ndarray) -> np.ndarray:
-    """The state before each token: the token before it (or the beginning) if that is a state, else 0, the root."""
+def found_arcs(tokens: np.ndarray, starts: np.ndarray, hashes: np.ndarray, states: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of texts where the automaton may have an arc, and the state and word there, as numbers; -1 is the
+    state at a beginning. Only states follow states; the end follows too, but nothing follows it."""
+    is_state = look_up(states, np.ones(len(states), bool), hashes)
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
-    before[starts] = BEGIN
-    known = look_up(states, np.ones(len(states), bool), before)
-    return np.where(known, before, np.uint64(0))
+    before[starts] = -1
+    inside = np.flatnonzero(((before < 0) | (is_state[before] & (before > 0))) & is_state[tokens])
+    return inside, before[inside], tokens[inside]
+
+
+def state_hash(hashes: np.ndarray, state: np.ndarray) -> np.ndarray:
+    return np.where(state < 0, BEGIN, hashes[state])
 
 
-def counted_arcs(tokens: np.ndarray, starts: np.ndarray, learned: np.ndarray, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Arcs of the automaton found in texts, and their counts in those to learn from; with each state's total."""
-    state = states_of(tokens, starts, states)
-    is_arc = (state != 0) & look_up(states, np.ones(len(states), bool), tokens)
-    own, weight = state[is_arc], learned[is_arc].astype(np.int64)
-    names = np.concatenate([arc(own, tokens[is_arc]), arc(own, np.full(len(own), TOTAL))])
-    keys, at = np.unique(names, return_inverse=True)
-    return keys, np.bincount(at, np.concatenate([weight, weight]), len(keys)).astype(np.int64)
+def counted_arcs(tokens: np.ndarray, starts: np.ndarray, learned: np.ndarray, hashes: np.ndarray, states: np.ndarray):
+    """Arcs found in texts and each state's sum of them: names, counts in the texts to learn from, and whether
+    another text has them."""
+    inside, state, word = found_arcs(tokens, starts, hashes, states)
+    n = len(hashes)
+    codes, at = np.unique((state.astype(np.int64) + 1) * n + word, return_inverse=True)
+    taught = learned[inside]
+    counts = np.bincount(at, taught, len(codes)).astype(np.int64)
+    other = np.bincount(at, ~taught, len(codes)) > 0
+    own, which = np.unique(codes // n - 1, return_inverse=True)
+    sums = np.bincount(which, counts, len(own)).astype(np.int64)
+    of_state = state_hash(hashes, own)
+    names = np.concatenate([arc(of_state[which], hashes[codes % n]), arc(of_state, np.full(len(own), TOTAL))])
+    return names, np.concatenate([counts, sums]), np.concatenate([other, np.ones(len(own), bool)])
 
 
 def _counting(buckets: int, states: np.ndarray | None):
-    """Per task: keys (tokens, or arcs) with counts, as a row of packed numbers for each bucket of keys."""
+    """Per task: keys (tokens, or arcs) with counts, as a row of packed numbers for each bucket of keys. A count
+    is doubled, and odd if a text that is not learned from has the key."""
     schema = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, reader = TaskContext.get().partitionId(), Reader()
+        block = TaskContext.get().partitionId()
 
-        def flush(parts, flags):
+        def flush(reader, parts, flags):
             tokens, sizes = np.concatenate(parts), np.array([len(p) for p in parts])
             learned = np.repeat(np.array(flags), sizes)
             if states is None:
-                keys, at = np.unique(tokens, return_inverse=True)
-                counts = np.bincount(at, learned, len(keys)).astype(np.int64)
+                keys = reader.hashes
+                counts = np.bincount(tokens[learned], minlength=len(keys))
+                other = np.bincount(tokens[~learned], minlength=len(keys)) > 0
             else:
-                keys, counts = counted_arcs(tokens, np.cumsum(sizes) - sizes, learned, states)
+                keys, counts, other = counted_arcs(tokens, np.cumsum(sizes) - sizes, learned, reader.hashes, states)
             bucket = (keys % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")  # keys stay sorted within a bucket
+            order = np.lexsort((keys, bucket))
             ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
             rows = [(j, order[a:b]) for j, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if b > a]
-            small = counts.max() < 2**16
-            pack = lambda x: (x.astype("<u2") if small else x.astype("<u4")).tobytes()
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([j for j, _ in rows], pa.int32()),
                     pa.array([block] * len(rows), pa.int32()),
                     pa.array([keys[i].tobytes() for _, i in rows], pa.binary()),
-                    pa.array([pack(counts[i]) for _, i in rows], pa.binary()),
+                    pa.array([packed(2 * counts[i] + other[i]) for _, i in rows], pa.binary()),
                 ],
                 schema=schema,
             )
 
-        parts, flags, held = [], [], 0
+        reader, parts, flags, held = Reader(), [], [], 0
         for batch in batches:
             for text, learn in zip(batch["text"], batch["learn"].to_pylist(), strict=True):
                 parts.append(reader(text.as_py()))
                 flags.append(learn)
                 held += len(parts[-1])
                 if held > CHUNK:
-                    yield flush(parts, flags)
-                    parts, flags, held = [], [], 0
+                    yield flush(reader, parts, flags)
+                    reader, parts, flags, held = Reader(), [], [], 0
         if parts:
-            yield flush(parts, flags)
+            yield flush(reader, parts, flags)
 
     return run, "bucket int, block int, keys binary, counts binary"
 
 
+def packed(counts: np.ndarray) -> bytes:
+    top = counts.max(initial=0)
+    return counts.astype("<u1" if top < 2**8 else "<u2" if top < 2**16 else "<u4" if top < 2**32 else "<u8").tobytes()
+
+
 def unpack(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
     k = np.frombuffer(keys, np.uint64)
-    return k, np.frombuffer(counts, "<u2" if len(counts) == 2 * len(k) else "<u4").astype(np.int64)
+    return k, np.frombuffer(counts, f"<u{len(counts) // max(len(k), 1) or 1}").astype(np.int64)
 
 
 def _totals(top: int):
-    """Per bucket: sums the counts of all blocks and answers each block with the sums of its keys.
+    """Per bucket: sums the counts of all blocks and answers each block with the sums of its keys. A sum of 1 is
+    left out where only a text that is learned from has the key: the reader knows that it was seen, so it is 1.
 
     A key is found once for each block that has it, whatever its frequency, so buckets are even. A row of
     block -1 has the bucket's sum, number of distinct keys, and its ``top`` most frequent keys.
@@ -140,13 +166,13 @@ def _totals(top: int):
         def answer(blocks, keys, counts):
             sizes = np.array([len(k) for k in keys])
             distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-            sums = np.bincount(at, np.concatenate(counts), len(distinct)).astype(np.int64)
+            flat = np.concatenate(counts)
+            sums = np.bincount(at, flat >> 1, len(distinct)).astype(np.int64)
             replies = []
-            for block, k, own in zip(blocks, keys, np.split(at, np.cumsum(sizes)[:-1]), strict=True):
+            for block, k, c, own in zip(blocks, keys, counts, np.split(at, np.cumsum(sizes)[:-1]), strict=True):
                 found = sums[own]
-                some = found > 0
-                small = found.max() < 2**16
-                replies.append((block, k[some].tobytes(), found[some].astype("<u2" if small else "<u4").tobytes()))
+                some = (found > 1) | ((found == 1) & (c & 1 == 1))
+                replies.append((block, k[some].tobytes(), packed(found[some])))
             best = np.lexsort((distinct, -sums))[:top]
             best = best[sums[best] > 0]
             head = [(int(k), int(s)) for k, s in zip(distinct[best].view(np.int64), sums[best], strict=True)]
@@ -194,30 +220,38 @@ class Automaton:
         self.total, self.distinct, self.strength = total, distinct, strength
         self.texts = int(look_up(*words, np.array([END]))[0])
 
-    def base(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        c = look_up(*self.words, tokens)
-        return c, (c + 0.5) / (self.total + 0.5 * (self.distinct + 1))
-
-    def score(self, tokens: np.ndarray) -> tuple[int, float, float]:
-        """Known tokens, base score and score of one text.
+    def score(self, tokens: np.ndarray, starts: np.ndarray, learned: np.ndarray, hashes: np.ndarray):
+        """Known tokens, base score and score of each of some texts.
 
         The traversal goes from left to right; the state it carries is given by the token before, so the
-        states of a text are written down first and the weights of its arcs added up in order.
+        states of the texts are written down first and the weights of their arcs added up in order.
         """
-        c, p = self.base(tokens)
-        state = states_of(tokens, np.zeros(1, np.int64), self.states)
-        inner = state != 0
-        s, w, base = state[inner], tokens[inner], p[inner]
-        n = np.where(s == BEGIN, self.texts, look_up(*self.words, s))
-        rest = n - look_up(*self.arcs, arc(s, np.full(len(s), TOTAL)))
-        k = look_up(*self.arcs, arc(s, w))
-        failure = (self.strength + rest) / (n + self.strength)
+        c = look_up(*self.words, hashes)[tokens]
+        c = np.maximum(c, learned)  # a text learned from has seen its own words
+        p = (c + 0.5) / (self.total + 0.5 * (self.distinct + 1))
         q = p.copy()
-        q[inner] = k / (n + self.strength) + failure * base
-        return int((c > 0).sum()), float(np.log10(p).sum()), float(np.log10(q).sum())
-
-
-def _scoring(states: np.ndarray, total: int, distinct: int, strength: float):
+        # Every token after a state or a beginning: an arc, or the failure arc and the root's.
+        is_state = look_up(self.states, np.ones(len(self.states), bool), hashes)
+        is_state[0] = False
+        before = np.empty_like(tokens)
+        before[1:] = tokens[:-1]
+        before[starts] = -1
+        after = np.flatnonzero((before < 0) | is_state[before])
+        kinds, at = np.unique(before[after], return_inverse=True)
+        of_state = state_hash(hashes, kinds)
+        n = np.where(kinds < 0, self.texts, look_up(*self.words, of_state))
+        own = look_up(*self.arcs, arc(of_state, np.full(len(kinds), TOTAL)))
+        inside, state, word = found_arcs(tokens, starts, hashes, self.states)
+        k = np.zeros(len(tokens), np.int64)
+        k[inside] = np.maximum(look_up(*self.arcs, arc(state_hash(hashes, state), hashes[word])), learned[inside])
+        n = np.maximum(n[at], learned[after])
+        rest = n - own[at]
+        q[after] = (k[after] + (self.strength + rest) * p[after]) / (n + self.strength)
+        add = lambda x: np.add.reduceat(x, starts)
+        return add((c > 0).astype(np.int64)), add(np.log10(p)), add(np.log10(q))
+
+
+def _scoring(states: np.ndarray, total: int, distinct: int, strength: float, held: int = 400_000):
     def table(parts):
         if not parts:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -225,27 +259,41 @@ def _scoring(states: np.ndarray, total: int, distinct: int, strength: float):
         k, first = np.unique(k, return_index=True)
         return k, c[first]
 
+    names = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, block, parts, model = Reader(), None, ([], []), None
+        reader, block, tables, model, texts, size = Reader(), None, ([], []), None, [], 0
+
+        def scored(model, reader, texts):
+            sizes = np.array([len(t) for _, _, t in texts])
+            starts = np.cumsum(sizes) - sizes
+            learned = np.repeat(np.array([flag for _, flag, _ in texts]), sizes)
+            out = model.score(np.concatenate([t for _, _, t in texts]), starts, learned, reader.hashes)
+            cols = ([doc for doc, _, _ in texts], sizes, *out)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+
         for batch in batches:  # by block: tables first, then its texts
-            rows = []
-            for b, kind, doc, text, keys, counts in zip(*(batch[n] for n in ("block", "kind", "doc_id", "text", "keys", "counts")), strict=True):
+            columns = (batch[n] for n in ("block", "kind", "doc_id", "learn", "text", "keys", "counts"))
+            for b, kind, doc, learn, text, keys, counts in zip(*columns, strict=True):
                 if b.as_py() != block:
-                    block, parts, model = b.as_py(), ([], []), None
+                    if texts:
+                        yield scored(model, reader, texts)
+                    reader, block, tables, model, texts, size = Reader(), b.as_py(), ([], []), None, [], 0
                 kind = kind.as_py()
                 if kind < 2:
-                    parts[kind].append(unpack(keys.as_py(), counts.as_py()))
+                    tables[kind].append(unpack(keys.as_py(), counts.as_py()))
                     continue
                 if model is None:
-                    model = Automaton(table(parts[0]), table(parts[1]), states, total, distinct, strength)
-                    parts = ([], [])
-                tokens = reader(text.as_py())
-                rows.append((doc.as_py(), len(tokens), *model.score(tokens)))
-            if rows:
-                cols = zip(*rows, strict=True)
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-                names = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+                    model = Automaton(table(tables[0]), table(tables[1]), states, total, distinct, strength)
+                    tables = ([], [])
+                texts.append((doc.as_py(), learn.as_py(), reader(text.as_py())))
+                size += len(texts[-1][2])
+                if size > held:
+                    yield scored(model, reader, texts)
+                    texts, size = [], 0
+        if texts:
+            yield scored(model, reader, texts)
 
     return run
 
@@ -299,14 +347,13 @@ def lm_scores(
         total, distinct = sizes["n"] or 0, sizes["v"] or 0
         top = words.where("block = -1").select(F.explode("top").alias("x")).orderBy(F.desc("x.c"), "x.k").limit(max_states)
         states = np.array([r[0] for r in top.select("x.k").collect()] + [int(BEGIN.view(np.int64))], np.int64).view(np.uint64)
-        states = np.sort(states[states != END])
-        # The end follows words as an arc, but nothing follows it.
-        targets = np.sort(np.append(states, END))
+        # The end is the target of arcs; nothing follows it.
+        targets = np.unique(np.append(states, END))
         arcs = tally(targets, 0)
         tables = [t.where("block >= 0").select("block", F.lit(kind).alias("kind"), "keys", "counts") for kind, t in enumerate((words, arcs))]
-        texts = source.select(F.spark_partition_id().alias("block"), F.lit(2).alias("kind"), "doc_id", "text")
+        texts = source.select(F.spark_partition_id().alias("block"), F.lit(2).alias("kind"), "doc_id", "text", "learn")
         every = texts.unionByName(tables[0].unionByName(tables[1]), allowMissingColumns=True)
-        every = every.repartition(max(blocks, 1), "block").sortWithinPartitions("block", "kind")
+        every = every.repartition(3 * blocks, "block").sortWithinPartitions("block", "kind")
         run = _scoring(targets, total, distinct, strength)
         scores = every.mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
         return cut(scores.withColumn("train_tokens", F.lit(total).cast("long")), "scores")
