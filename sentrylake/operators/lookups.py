@@ -30,7 +30,7 @@ def _event_order(order: str) -> list[Column]:
 
 
 def event_by_id(events: DataFrame, event_id: str) -> DataFrame:
-    return events.where(F.col("event_id") == event_id).limit(1)
+    return events.where(F.col("event_id") == event_id).orderBy(F.desc("ts_ms")).limit(1)
 
 
 def events_by_type_time_range(
@@ -99,7 +99,7 @@ def window_hours(text: str) -> float:
 
 
 def analysis_by_event(analyses: DataFrame, event_id: str) -> DataFrame:
-    return analyses.where(F.col("event_id") == event_id).limit(1)
+    return analyses.where(F.col("event_id") == event_id).orderBy(F.desc("ts_s")).limit(1)
 
 
 def analyses_by_time_range(analyses: DataFrame, start_s: int, end_s: int, limit: int = 0) -> DataFrame:
@@ -117,7 +117,7 @@ def latest_analyses(analyses: DataFrame, limit: int = DEFAULT_LIMIT, order: str
 
 
 def anomaly_by_event(anomalies: DataFrame, event_id: str) -> DataFrame:
-    return anomalies.where(F.col("event_id") == event_id).limit(1)
+    return anomalies.where(F.col("event_id") == event_id).orderBy(F.desc("ts_ms")).limit(1)
 
 
 def anomalies_by_time_range(anomalies: DataFrame, start_ms: int, end_ms: int, limit: int = 0) -> DataFrame:
@@ -150,7 +150,7 @@ def batch_anomalies(flagged: DataFrame) -> DataFrame:
 
 
 def batch_anomaly_for_user(flagged: DataFrame, user: str) -> DataFrame:
-    return flagged.where(F.col("user") == user).limit(1)
+    return flagged.where(F.col("user") == user).orderBy(F.desc("anomaly_score_normalized")).limit(1)
 
 
 def expire_events(events: DataFrame, cutoff_ms: int) -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sentrylake.session import materialize
+
 # A key is split once it holds more than 1/SHARES of the rows, into parts of about that size.
 # At most SHARES keys can be that large and they get at most 2 * SHARES parts in all, so the
 # broadcast list of large keys is bounded whatever the data.
@@ -33,7 +35,8 @@ def attach_by_key(
     ``spread`` over as many parts as its share asks for, and its table row is repeated once per
     part. Nulls match nulls. All rows meet their table row; nothing is sampled or dropped.
     """
-    sizes = table if sizes is None else sizes
+    # Counted once and stored: both sides must see the same part numbers even if the input moves meanwhile.
+    sizes = materialize((table if sizes is None else sizes).select(*keys, weight), "sizes")
     share = F.col(weight) * shares / sizes.agg(F.sum(weight)).scalar()
     part_count = F.when((F.col(weight) > min_split_rows) & (share > 1), F.ceil(share).cast("int")).otherwise(1)
     values = [c for c in table.columns if c not in keys]
@@ -42,6 +45,7 @@ def attach_by_key(
     def matches(other: DataFrame, *extra: Column) -> Column:
         return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(other[n]) for k, n in names.items()] + list(extra))
 
+    heavy = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"{n}_heavy")) for n in names.values()])
     renamed = [F.col(k).alias(n) for k, n in names.items()]
     parts = sizes.select(*renamed, part_count.alias("_parts")).where("_parts > 1")
     salted_rows = rows.join(F.broadcast(parts), matches(parts), "left").select(
@@ -51,9 +55,10 @@ def attach_by_key(
         .cast("int")
         .alias("_part"),
     )
-    salted_table = table.select(
-        *renamed, *values, F.explode(F.sequence(F.lit(0), part_count - 1)).alias("_table_part")
-    )
+    numbered = table.select(*renamed, *values)
+    split = numbered.join(F.broadcast(parts.select(*[F.col(n).alias(f"{n}_heavy") for n in names.values()], "_parts")), heavy, "left")
+    numbers = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)).alias("_table_part")
+    salted_table = split.select(*names.values(), *values, numbers)
     joined = salted_rows.join(
         salted_table, matches(salted_table, F.col("_part") == F.col("_table_part")), how
     )

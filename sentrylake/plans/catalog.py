@@ -229,38 +229,52 @@ def _delivered_twice(df: DataFrame, score: str) -> DataFrame:
     return first.unionByName(df.withColumn(score, F.col(score) / 2).withColumn("arrival", F.lit(1)))
 
 
-@query("upsert_events", f"WITH {o.EV} SELECT {E.replace('threat_score, 9', 'threat_score / 2, 9')}, strftime(ts, '%Y-%m-%d') AS event_date FROM ev")
+# Ids that end in 0 to 6 are in the first call to a writer, those that end in 4 to 9 in the second, with a third
+# of the score: some keys are new, some known, and some only stored.
+_FIRST, _SECOND = "cast(right(event_id, 1) as int) <= 6", "cast(right(event_id, 1) as int) >= 4"
+
+
+def _merged(score: str) -> str:
+    return f"CASE WHEN CAST(right(event_id, 1) AS INT) >= 4 THEN {score} / 3 ELSE {score} / 2 END"
+
+
+def _written_twice(df: DataFrame, score: str, write, path: str) -> str:
+    """The rows written in two calls, each key twice in the first of them."""
+    write(_delivered_twice(df.where(_FIRST), score), path, "arrival")
+    write(df.where(_SECOND).withColumn(score, F.col(score) / 3).withColumn("arrival", F.lit(0)), path, "arrival")
+    return path
+
+
+@query("upsert_events", f"WITH {o.EV} SELECT {E.replace('threat_score, 9', _merged('threat_score') + ', 9')}, strftime(ts, '%Y-%m-%d') AS event_date FROM ev")
 def _(spark, d):
-    rows = _delivered_twice(fixtures.events(spark, d), "threat_score")
-    path = writers.upsert_events(rows, scratch_path(spark, "events"), "arrival")
+    path = _written_twice(fixtures.events(spark, d), "threat_score", writers.upsert_events, scratch_path(spark, "events"))
     return rounded(spark.read.parquet(path).select(*EVENT_FIELDS, F.col("event_date").cast("string").alias("event_date")))
 
 
-@query("write_anomalies", f"WITH {o.EV}, {o.AN} SELECT event_id, \"user\", ts_ms, round(anomaly_score / 2, 9) AS anomaly_score FROM an")
+@query("write_anomalies", f"WITH {o.EV}, {o.AN} SELECT event_id, \"user\", ts_ms, round({_merged('anomaly_score')}, 9) AS anomaly_score FROM an")
 def _(spark, d):
-    rows = _delivered_twice(_anomalies(spark, d), "anomaly_score")
-    path = writers.write_anomalies(rows, scratch_path(spark, "anomalies"), "arrival")
+    path = _written_twice(_anomalies(spark, d), "anomaly_score", writers.write_anomalies, scratch_path(spark, "anomalies"))
     return rounded(spark.read.parquet(path).select("event_id", "user", "ts_ms", "anomaly_score"))
 
 
-@query("write_analyses", f"WITH {o.EV}, {o.AL} SELECT event_id, severity, round(confidence / 2, 9) AS confidence, ts_s FROM al")
+@query("write_analyses", f"WITH {o.EV}, {o.AL} SELECT event_id, severity, round({_merged('confidence')}, 9) AS confidence, ts_s FROM al")
 def _(spark, d):
-    rows = _delivered_twice(fixtures.analyses(spark, d), "confidence")
-    path = writers.write_analyses(rows, scratch_path(spark, "analyses"), "arrival")
+    path = _written_twice(fixtures.analyses(spark, d), "confidence", writers.write_analyses, scratch_path(spark, "analyses"))
     return rounded(spark.read.parquet(path).select("event_id", "severity", "confidence", "ts_s"))
 
 
 @query(
     "write_embeddings",
-    "SELECT vec_id, len(embedding) AS dims, round(CAST(embedding[1] AS DOUBLE), 6) AS first_value FROM embeddings",
+    """SELECT vec_id, len(embedding) AS dims, array_to_string([
+    CAST(CAST(round(CAST(x AS DOUBLE) * CASE WHEN vec_id % 10 >= 4 THEN 2 ELSE 1 END * 1e6) AS BIGINT) AS VARCHAR) FOR x IN embedding], ' ') AS micros FROM embeddings""",
 )
 def _(spark, d):
-    rows = fixtures.table(spark, d, "embeddings")
-    path = writers.write_embeddings(rows, scratch_path(spark, "vectors"), "vec_id", "label")
-    stored = spark.read.parquet(path)
-    return stored.select(
-        "vec_id", F.size("embedding").alias("dims"), F.round(F.col("embedding")[0].cast("double"), 6).alias("first_value")
-    )
+    rows, path = fixtures.table(spark, d, "embeddings"), scratch_path(spark, "vectors")
+    writers.write_embeddings(rows.where("vec_id % 10 <= 6"), path, "vec_id", "label")
+    again = rows.where("vec_id % 10 >= 4").withColumn("embedding", F.transform("embedding", lambda x: x * F.lit(2.0).cast("float")))
+    writers.write_embeddings(again, path, "vec_id", "label")
+    micros = F.transform("embedding", lambda x: F.rint(x.cast("double") * 1e6).cast("bigint").cast("string"))
+    return spark.read.parquet(path).select("vec_id", F.size("embedding").alias("dims"), F.array_join(micros, " ").alias("micros"))
 
 
 @query("write_training_data", f"WITH {o.EV}, {o.LABELLED} SELECT {B} FROM lb")
@@ -326,12 +340,16 @@ _INTEL = """it AS (SELECT CAST(d.doc_id AS VARCHAR) AS id, text AS description,
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 
 
-@query("load_threat_intel", f"WITH {_INTEL} SELECT id, length(description) AS n_chars, category, severity, mitre_attack FROM it")
+@query(
+    "load_threat_intel",
+    f"""WITH {_INTEL} SELECT id, md5(description) AS digest, CASE WHEN CAST(id AS BIGINT) % 2 = 0 THEN 'again' ELSE category END AS category,
+    severity, mitre_attack FROM it""",
+)
 def _(spark, d):
-    path = writers.write_threat_intel(readers.load_threat_intel(fixtures.intel(spark, d)), scratch_path(spark, "intel"))
-    return spark.read.parquet(path).select(
-        "id", F.length("description").cast("bigint").alias("n_chars"), "category", "severity", "mitre_attack"
-    )
+    entries, path = readers.load_threat_intel(fixtures.intel(spark, d)), scratch_path(spark, "intel")
+    writers.write_threat_intel(entries, path)
+    writers.write_threat_intel(entries.where("cast(id as bigint) % 2 = 0").withColumn("category", F.lit("again")), path)
+    return spark.read.parquet(path).select("id", F.md5("description").alias("digest"), "category", "severity", "mitre_attack")
 
 
 @query("read_embeddings", "SELECT vec_id, len(embedding) AS dims, label FROM embeddings WHERE vec_id = 7")
@@ -421,7 +439,17 @@ _simple(
     f"(SELECT * FROM ev {_NEW} LIMIT 500) WHERE \"user\" = '{USER}' {_NEW} LIMIT 100",
     lambda e: lookups.events_by_user(e, USER, from_recent_only=True),
 )
-_simple("expire_events", f"ev WHERE ts_ms >= {END_MS}", lambda e: lookups.expire_events(e, END_MS))
+# Noon, so that one day is cut through.
+_CUTOFF_MS = END_MS + 43_200_000
+
+
+@query("expire_events", f"WITH {o.EV} SELECT {E} FROM ev WHERE ts_ms >= {_CUTOFF_MS}")
+def _(spark, d):
+    path = writers.upsert_events(fixtures.events(spark, d).drop("k", "seq"), scratch_path(spark, "events"), "threat_score")
+    writers.delete_expired(spark, path, _CUTOFF_MS)
+    return _events(spark.read.parquet(path))
+
+
 query("expired_count", f"WITH {o.EV} SELECT count(*) AS deleted FROM ev WHERE ts_ms < {END_MS}")(
     lambda spark, d: lookups.expired_count(fixtures.events(spark, d), END_MS)
 )
@@ -1247,37 +1275,50 @@ _RATE_SQL = f"""WITH {o.EV} SELECT {_bucket(60_000)} AS window_start_ms, event_t
 
 @query("tumbling_rates", _RATE_SQL.format(""))
 def _(spark, d):
-    # A closing event far ahead lets every real window end within the run.
-    stream = _event_stream(spark, d).select("ts", "event_type", "event_id")
-    path = scratch_path(spark, "windows")
-    _feed(stream, path)
-    fed = spark.readStream.schema(stream.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    return rounded(_run_stream(jobs.tumbling_rates(fed)).where("event_type <> 'end'"))
+    rows = fixtures.events(spark, d).select("ts", "event_type", "event_id")
+    return rounded(_run_closed(rows, jobs.tumbling_rates).where("event_type <> 'end'"))
 
 
-def _feed(stream: DataFrame, path: str) -> None:
-    """Store a stream's rows as one file, then an end marker a year later as a second one."""
-    spark = stream.sparkSession
-    rows = _run_stream(stream)
-    rows.coalesce(1).write.mode("append").parquet(path)
-    end = rows.agg(
-        (F.max("ts") + F.expr("interval 365 days")).alias("ts"), F.lit("end").alias("event_type"), F.lit("end").alias("event_id")
-    )
-    end.coalesce(1).write.mode("append").parquet(path)
+def _run_closed(rows: DataFrame, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A windowed stream's output once every window has ended.
 
+    One run takes all rows; an event a year ahead is added, and a second run on the same progress lets the
+    real windows end.
+    """
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "windows")
+    out, progress = scratch_path(spark, "stream"), scratch_path(spark, "progress")
+    rows.write.parquet(path)
+    write = lambda batch, batch_id: jobs.write_batch(batch, out, batch_id)
+    for last in (False, True):
+        if last:
+            end = {"ts": F.max("ts") + F.expr("interval 365 days")}
+            marks = [end.get(f.name, F.lit("end" if f.dataType.typeName() == "string" else None).cast(f.dataType)).alias(f.name) for f in rows.schema]
+            spark.read.schema(rows.schema).parquet(path).agg(*marks).write.mode("append").parquet(path)
+        stream = make(spark.readStream.schema(rows.schema).parquet(path))
+        jobs.micro_batch_hook(stream, write, progress, available_now=True, state_partitions=_cores(spark)).awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")
 
-@query(
-    "sliding_features",
+
+_SLIDING = (
     f"""WITH {o.EV}, w AS (SELECT *, (ts_ms // 3600000 - unnest(range(24))) * 3600000 AS window_start_ms FROM ev)
     SELECT window_start_ms, "user", count(*) AS total_events, count(DISTINCT source_ip) AS unique_ips, count(DISTINCT event_type) AS unique_event_types,
     round(avg(threat_score), 9) AS avg_threat_score, round(max(threat_score), 9) AS max_threat_score,
     count(*) FILTER (WHERE status = 'failed') AS failed_events, count(*) FILTER (WHERE hour(ts) BETWEEN 0 AND 6) AS unusual_hour_events
-    FROM w GROUP BY ALL""",
+    FROM w GROUP BY ALL"""
 )
+
+
+@query("sliding_features", _SLIDING)
 def _(spark, d):
     return rounded(jobs.sliding_features(fixtures.events(spark, d)))
 
 
+@query("sliding_feature_stream", _SLIDING)
+def _(spark, d):
+    rows = fixtures.events(spark, d).drop("k", "seq")
+    return rounded(_run_closed(rows, jobs.sliding_feature_stream).where("user <> 'end'").select(*QUERIES["sliding_features"](spark, d).columns))
+
+
 @query("stream_dedup", f"WITH {o.EV} SELECT event_id, ts_ms FROM ev")
 def _(spark, d):
     twice = _event_stream(spark, d).select("event_id", "ts_ms", "ts").withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
@@ -1293,10 +1334,11 @@ def _(spark, d):
     # The whole table arrives a second time, as a second micro-batch.
     path, out = scratch_path(spark, "arrivals"), scratch_path(spark, "sorted")
     rows = fixtures.events(spark, d).select("event_id", "ts", "ts_ms")
+    progress = scratch_path(spark, "progress")
     for _copy in range(2):
-        rows.coalesce(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    jobs.late_data(stream, out, scratch_path(spark, "progress"), available_now=True).awaitTermination()
+        rows.write.mode("append").parquet(path)
+        stream = spark.readStream.schema(rows.schema).parquet(path)
+        jobs.late_data(stream, out, progress, available_now=True).awaitTermination()
     parts = [spark.read.parquet(f"{out}/{name}").select(F.lit(name).alias("arrival")) for name in ("on_time", "late")]
     return parts[0].unionByName(parts[1]).groupBy("arrival").agg(F.count("*").alias("events"))
 

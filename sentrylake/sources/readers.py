@@ -206,7 +206,7 @@ def read_embeddings(vectors: DataFrame, event_id: int | str, key: str = "event_i
 
 
 def load_threat_intel(entries: DataFrame) -> DataFrame:
-    """Threat intelligence entries with defaults filled in, one row per id."""
+    """Threat intelligence entries with defaults filled in, one row per id: of several the first by its content."""
     filled = entries.select(
         "id",
         "description",
@@ -214,4 +214,5 @@ def load_threat_intel(entries: DataFrame) -> DataFrame:
         F.coalesce("severity", F.lit("medium")).alias("severity"),
         F.coalesce("mitre_attack", F.lit("")).alias("mitre_attack"),
     )
-    return filled.dropDuplicates(["id"])
+    content = F.struct("description", "category", "severity", "mitre_attack")
+    return filled.groupBy("id").agg(F.min(content).alias("entry")).select("id", "entry.*")

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import datetime as dt
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sentrylake.session import materialize
+
 from sentrylake.sources.parse import serialize_event_json
 
 # Keys under which a later row replaces an earlier one.
@@ -42,25 +47,83 @@ def _write(rows: DataFrame, path: str, *partitions: str, mode: str = "overwrite"
 _ID_BLOOM = {"parquet.bloom.filter.enabled#event_id": "true"}
 
 
-def upsert_events(rows: DataFrame, path: str, *arrival: Column | str, mode: str = "overwrite") -> str:
-    """Write events with later copies replacing earlier ones, by type and day."""
+# Tables without a day are spread over this many folders by their key.
+KEY_FOLDERS = 16
+
+
+def _stored(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
+
+
+def merge(rows: DataFrame, path: str, key: tuple[str, ...], partitions: tuple[str, ...], **options: str) -> str:
+    """Put rows into a stored table: rows of a known key replace the stored ones, all others stay.
+
+    ``rows`` has each key once. Only the partition folders that the rows fall into are read and replaced. The
+    merged rows are written beside the table first, so a table is never read while it is replaced.
+    """
+    spark = rows.sparkSession
+    stored = _stored(spark, path, rows.schema)
+    if stored is None:
+        return _write(rows, path, *partitions, **options)
+    rows = materialize(rows, "arrived")
+    touched = rows.select(*partitions).distinct()
+    kept = stored.join(touched, list(partitions), "left_semi").join(rows.select(*key), list(key), "left_anti")
+    merged = materialize(kept.select(rows.columns).unionByName(rows), "merged")
+    return _write(merged, path, *partitions, partitionOverwriteMode="dynamic", **options)
+
+
+def _key_folder(*key: str) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(KEY_FOLDERS)).cast("int")
+
+
+def upsert_events(rows: DataFrame, path: str, *arrival: Column | str) -> str:
+    """Store events by type and day; a later copy of a key replaces an earlier one, in these rows or stored."""
     kept = latest_per_key(rows, EVENT_KEY, *arrival).withColumn("event_date", _event_date())
-    return _write(kept, path, "event_type", "event_date", mode=mode, **_ID_BLOOM)
+    return merge(kept, path, EVENT_KEY, ("event_type", "event_date"), **_ID_BLOOM)
 
 
-def write_anomalies(rows: DataFrame, path: str, *arrival: Column | str, mode: str = "overwrite") -> str:
+def write_anomalies(rows: DataFrame, path: str, *arrival: Column | str) -> str:
     kept = latest_per_key(rows, ANOMALY_KEY, *arrival).withColumn("event_date", _event_date())
-    return _write(kept, path, "event_date", mode=mode, **_ID_BLOOM)
+    return merge(kept, path, ANOMALY_KEY, ("event_date",), **_ID_BLOOM)
 
 
-def write_analyses(rows: DataFrame, path: str, *arrival: Column | str, mode: str = "overwrite") -> str:
-    return _write(latest_per_key(rows, ANALYSIS_KEY, *arrival), path, mode=mode, **_ID_BLOOM)
+def write_analyses(rows: DataFrame, path: str, *arrival: Column | str) -> str:
+    kept = latest_per_key(rows, ANALYSIS_KEY, *arrival).withColumn("key_folder", _key_folder(*ANALYSIS_KEY))
+    return merge(kept, path, ANALYSIS_KEY, ("key_folder",), **_ID_BLOOM)
 
 
-def write_embeddings(rows: DataFrame, path: str, key: str, *arrival: Column | str, mode: str = "overwrite") -> str:
-    """Write vectors as arrays of float, the latest per key."""
-    kept = latest_per_key(rows, (key,), *arrival)
-    return _write(kept.withColumn("embedding", F.col("embedding").cast("array<float>")), path, mode=mode)
+def write_embeddings(rows: DataFrame, path: str, key: str, *arrival: Column | str) -> str:
+    """Store vectors as arrays of float, the latest per key."""
+    kept = latest_per_key(rows, (key,), *arrival).withColumn("key_folder", _key_folder(key))
+    return merge(kept.withColumn("embedding", F.col("embedding").cast("array<float>")), path, (key,), ("key_folder",))
+
+
+def delete_expired(spark: SparkSession, path: str, cutoff_ms: int) -> int:
+    """Delete the stored events before the cutoff and return their number.
+
+    Folders of whole days go as they are; only the day of the cutoff is rewritten. The list of folders has one
+    entry per type and day.
+    """
+    events = spark.read.parquet(path)
+    last = dt.datetime.fromtimestamp(cutoff_ms / 1000, dt.timezone.utc).date()
+    old = events.where(F.col("event_date") <= F.lit(last)).where(F.col("ts_ms") < cutoff_ms)
+    counts = {(r["event_type"], r["event_date"]): r["n"] for r in old.groupBy("event_type", "event_date").agg(F.count("*").alias("n")).collect()}
+    day = events.where(F.col("event_date") == F.lit(last)).where(F.col("ts_ms") >= cutoff_ms)
+    day = materialize(day, "staying")
+    staying = {r["event_type"] for r in day.select("event_type").distinct().collect()}
+    _write(day, path, "event_type", "event_date", partitionOverwriteMode="dynamic", **_ID_BLOOM)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for kind, date in counts:
+        if date < last or kind not in staying:
+            name = "__HIVE_DEFAULT_PARTITION__" if kind is None else kind
+            files.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/event_type={name}/event_date={date}"), True)
+    return sum(counts.values())
 
 
 def write_training_data(labelled: DataFrame, path: str) -> str:
@@ -74,8 +137,9 @@ def write_anomaly_report(report: DataFrame, path: str) -> str:
     return path
 
 
-def write_threat_intel(entries: DataFrame, path: str, mode: str = "append") -> str:
-    return _write(entries, path, mode=mode)
+def write_threat_intel(entries: DataFrame, path: str) -> str:
+    """Store threat intelligence entries; a known id's entry is replaced."""
+    return merge(entries.withColumn("key_folder", _key_folder("id")), path, ("id",), ("key_folder",))
 
 
 def to_records(events: DataFrame) -> DataFrame:

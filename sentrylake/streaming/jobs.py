@@ -21,7 +21,6 @@ from sentrylake.functions.text import anomaly_reasons
 from sentrylake.operators.baseline import MIN_EVENTS, SCORES, THRESHOLD, TRAITS, Baseline
 from sentrylake.operators.features import UNUSUAL_HOURS
 from sentrylake.operators.lookups import HIGH_THREAT
-from sentrylake.schema import EVENT_TYPES
 from sentrylake.session import ROCKSDB_PROVIDER
 from sentrylake.sources.writers import ANOMALY_KEY, EVENT_KEY, latest_per_key
 
@@ -35,7 +34,7 @@ EVENT_COLUMNS = [
 ]
 _SCORED = (
     "event_id string, user string, ts_ms bigint, event_type string, source_ip string, "
-    "destination_ip string, status string, threat_score double, geo_location string, hour int, "
+    "destination_ip string, status string, threat_score double, geo_location string, arrival bigint, hour int, "
     "p_hour double, p_ip double, p_geo double, p_type double, failure_anomaly double, anomaly_score double"
 )
 
@@ -60,14 +59,14 @@ class _BaselineProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # One user's share of one micro-batch; the trigger's size limit bounds it.
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["ts_ms", "event_id"])
+        batch = pd.concat(list(rows), ignore_index=True).sort_values(["ts_ms", "event_id", "arrival"])
         baseline = self._load()
         traits = [batch[c].astype(object).where(batch[c].notna(), None).tolist() for c in TRAITS]
         results = [baseline.step(t, self.min_events, self.threshold) for t in zip(*traits)]
         self.state.update((json.dumps([[*k, n] for k, n in baseline.entries().items()]),))
         none = (None,) * len(SCORES)
         scores = pd.DataFrame([r or none for r in results], columns=SCORES, index=batch.index, dtype="float64")
-        out = pd.concat([batch[[*EVENT_COLUMNS, "hour"]], scores], axis=1)
+        out = pd.concat([batch[[*EVENT_COLUMNS, "arrival", "hour"]], scores], axis=1)
         yield out[out["anomaly_score"].notna()] if self.only_anomalies else out
 
     def close(self) -> None:
@@ -82,10 +81,13 @@ def score_stream(
     State is keyed by user, so one user's events of a micro-batch are scored by one task; the
     source's limit per trigger (offsets or files) is what bounds that task.
     """
-    spark = events.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    # Copies of a key come from one partition of a topic, where the offset tells which is later. A source without
+    # positions cannot tell; of its copies in one micro-batch the one with the highest score counts as the last.
+    place = next((c for c in ("offset", "arrival") if c in events.columns), None)
+    arrival = F.col(place).cast("long") if place else F.lit(0).cast("long")
     facts = events.select(
         *EVENT_COLUMNS,
+        arrival.alias("arrival"),
         hour_of_day("ts").alias("hour"),
         F.coalesce(F.col("status") == "failed", F.lit(False)).alias("failed"),
     ).withColumn("geo_location", F.nullif("geo_location", F.lit("")))
@@ -97,8 +99,9 @@ def score_stream(
     )
 
 
-def _as_anomalies(scored: DataFrame) -> DataFrame:
+def _as_anomalies(scored: DataFrame, *more: str) -> DataFrame:
     return scored.select(
+        *more,
         "event_id",
         "user",
         "ts_ms",
@@ -140,6 +143,7 @@ def micro_batch_hook(
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)
     conf = stream.sparkSession.conf
+    conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     before = conf.get(SHUFFLE_PARTITIONS)
     try:
         conf.set(SHUFFLE_PARTITIONS, str(state_partitions or before))
@@ -180,8 +184,8 @@ def event_stream_job(
         batch = batch.persist()
         try:
             anomalous = F.col("anomaly_score").isNotNull()
-            stored = latest_per_key(batch.select(*EVENT_COLUMNS), EVENT_KEY, "threat_score")
-            found = latest_per_key(_as_anomalies(batch.where(anomalous)), ANOMALY_KEY, "anomaly_score")
+            stored = latest_per_key(batch.select(*EVENT_COLUMNS, "arrival"), EVENT_KEY, "arrival", "threat_score").drop("arrival")
+            found = latest_per_key(_as_anomalies(batch.where(anomalous), "arrival"), ANOMALY_KEY, "arrival", "anomaly_score").drop("arrival")
             chosen = batch.where((F.col("threat_score") >= min_score) | anomalous).select(
                 "event_id", "threat_score", anomalous.alias("is_anomalous")
             )
@@ -222,17 +226,13 @@ def sliding_features(events: DataFrame, window_hours: int = 24, slide_hours: int
 
     Events are first reduced to panes of one slide, so each event is counted once and only the
     much smaller pane rows are repeated for the windows that cover them. The types seen travel as
-    one bit each (types outside the fixed list share a bit), which leaves one distinct count.
+    a set, which leaves one distinct count.
     """
     slide_s = slide_hours * 3600
     pane = F.floor(F.unix_seconds("ts") / slide_s)
     hour = hour_of_day("ts")
-    kind = F.col("event_type")
-    bit = F.when(kind.isNull(), 0)
-    for i, name in enumerate(EVENT_TYPES):
-        bit = bit.when(kind == name, 1 << i)
     panes = events.groupBy("user", pane.alias("pane"), "source_ip").agg(
-        F.bit_or(bit.otherwise(1 << len(EVENT_TYPES))).alias("kinds"),
+        F.collect_set("event_type").alias("kinds"),
         F.count("*").alias("n"),
         F.sum("threat_score").alias("score"),
         F.count("threat_score").alias("scored"),
@@ -247,7 +247,7 @@ def sliding_features(events: DataFrame, window_hours: int = 24, slide_hours: int
         .agg(
             F.sum("n").alias("total_events"),
             F.countDistinct("source_ip").alias("unique_ips"),
-            F.bit_count(F.bit_or("kinds")).cast("bigint").alias("unique_event_types"),
+            F.size(F.array_distinct(F.flatten(F.collect_set("kinds")))).cast("bigint").alias("unique_event_types"),
             ratio(F.sum("score"), F.sum("scored")).alias("avg_threat_score"),
             F.max("top_score").alias("max_threat_score"),
             F.sum("failed").alias("failed_events"),
@@ -259,15 +259,15 @@ def sliding_features(events: DataFrame, window_hours: int = 24, slide_hours: int
 def sliding_feature_stream(
     stream: DataFrame, size: str = "24 hours", slide: str = "1 hour", delay: str = DEFAULT_DELAY
 ) -> DataFrame:
-    """The same windows over a stream; distinct counts are estimates, as state must stay small."""
+    """The same windows over a stream. Distinct counts are exact: the state holds a window's addresses and types."""
     score = F.col("threat_score")
     return (
         stream.withWatermark("ts", delay)
         .groupBy(F.window("ts", size, slide), "user")
         .agg(
             F.count("*").alias("total_events"),
-            F.approx_count_distinct("source_ip", 0.02).alias("unique_ips"),
-            F.approx_count_distinct("event_type", 0.02).alias("unique_event_types"),
+            F.size(F.collect_set("source_ip")).cast("bigint").alias("unique_ips"),
+            F.size(F.collect_set("event_type")).cast("bigint").alias("unique_event_types"),
             F.avg(score).alias("avg_threat_score"),
             F.max(score).alias("max_threat_score"),
             F.count_if(F.col("status") == "failed").alias("failed_events"),
