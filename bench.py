@@ -37,7 +37,10 @@ HEADLINE = [
     "match_threat_intel",
     "isolation_forest",
     "kmeans_anomaly",
-    "training_data",
+    "training_pipeline",
+    "baseline_stream",
+    "event_pipeline_stream",
+    "read_events_batch",
 ]
 REPEATS = 3
 

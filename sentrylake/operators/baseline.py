@@ -36,7 +36,6 @@ THRESHOLD = 0.5
 # A user with more events than this is scored in parts of about PART_ROWS events.
 SINGLE_TASK_ROWS = 5_000_000
 PART_ROWS = 1_000_000
-MAX_PARTS = 1000
 
 DIMENSIONS = ("hour", "source_ip", "geo_location", "event_type")
 
@@ -320,27 +319,35 @@ def _ordered(facts: DataFrame, carried: DataFrame | None = None) -> DataFrame:
     return rows.repartition("user", "part").sortWithinPartitions("user", "part", first, "ts_ms", "event_id")
 
 
+def _of_users(facts: DataFrame, users: DataFrame, how: str) -> DataFrame:
+    """Events of the listed users, or of all others; events without a user are those of one user."""
+    listed = users.select(F.col("user").alias("_user"))
+    return facts.join(F.broadcast(listed), F.col("user").eqNullSafe(F.col("_user")), how)
+
+
 def _parts(facts: DataFrame, large: DataFrame, part_rows: int) -> DataFrame:
     """Events of the large users, each with the part of its user's time line it falls in.
 
     Part borders are time quantiles from a sketch, so a border never splits equal times and the
     parts are about even whatever the user's rhythm.
     """
-    mine = facts.join(F.broadcast(large), "user")
-    permille = F.percentile_approx("ts_ms", F.lit([i / MAX_PARTS for i in range(1, MAX_PARTS)]))
-    wanted = F.least(F.lit(MAX_PARTS), F.ceil(F.col("n") / part_rows)).cast("int")
-    border = lambda i: F.element_at("permille", F.floor(i * MAX_PARTS / wanted).cast("int"))
+    mine = _of_users(facts, large, "left_semi")
+    # As many quantiles as the largest user has parts.
+    steps = max(2, -(-(large.agg(F.max("n")).first()[0] or 0) // part_rows))
+    quantiles = F.percentile_approx("ts_ms", F.lit([i / steps for i in range(1, steps)]), max(10_000, 10 * steps))
+    wanted = F.ceil(F.col("n") / part_rows).cast("int")
+    border = lambda i: F.element_at("quantiles", F.greatest(F.lit(1), F.floor(i * steps / wanted)).cast("int"))
     borders = (
         mine.groupBy("user")
-        .agg(permille.alias("permille"), F.count("*").alias("n"))
+        .agg(quantiles.alias("quantiles"), F.count("*").alias("n"))
         .select(
-            "user",
+            F.col("user").alias("_user"),
             F.when(wanted > 1, F.transform(F.sequence(F.lit(1), wanted - 1), border))
             .otherwise(F.array().cast("array<bigint>"))
             .alias("borders"),
         )
     )
-    return mine.join(F.broadcast(borders), "user").select(
+    return mine.join(F.broadcast(borders), F.col("user").eqNullSafe(F.col("_user"))).select(
         *facts.columns, F.size(F.filter("borders", lambda b: b < F.col("ts_ms"))).alias("part")
     )
 
@@ -408,12 +415,12 @@ def baseline_anomaly_detector(
     facts = _facts(events)
     # At most (all events / single_task_rows) users, a short list by construction.
     sizes = facts.groupBy("user").agg(F.count("*").alias("n"))
-    large_users = materialize(sizes.where(F.col("n") > single_task_rows).select("user"), "large-users")
+    large_users = materialize(sizes.where(F.col("n") > single_task_rows), "large-users")
     fold = _flagging(min_events, threshold)
     if large_users.isEmpty():
         flagged = _ordered(facts.withColumn("part", F.lit(0))).mapInArrow(fold, _FLAGGED)
         return flagged.select(*_anomaly_row())
-    ordinary = facts.join(F.broadcast(large_users), "user", "left_anti").withColumn("part", F.lit(0))
+    ordinary = _of_users(facts, large_users, "left_anti").withColumn("part", F.lit(0))
     cut = materialize(_parts(facts, large_users, part_rows), "parts")
     start = _settled_start(cut, min_events, threshold)
     flagged = _ordered(ordinary.unionByName(cut), start).mapInArrow(fold, _FLAGGED)

@@ -30,9 +30,6 @@ TREE_ROWS = 256
 CLUSTERS = 5
 FAR_FROM_CENTER = 0.8
 
-# Rows that trees draw their samples from; a bound, not a share of the data.
-POOL_ROWS = TREES * TREE_ROWS
-
 _NODES = "tree int, node int, feature int, threshold double, left int, right int, path double"
 
 
@@ -91,27 +88,30 @@ def _grow(tree: int, rows: np.ndarray, seed: int) -> pd.DataFrame:
     return pd.DataFrame(nodes, columns=["tree", "node", "feature", "threshold", "left", "right", "path"])
 
 
-def _sample_pool(rows: DataFrame, key: str, n: int, pool_rows: int, seed: int) -> DataFrame:
-    """About ``pool_rows`` rows picked by a hash of their key, so the choice never changes."""
-    if n <= pool_rows:
-        return rows
-    spot = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1_000_000_007))
-    return rows.where(spot < int(1_000_000_007 * pool_rows / n))
-
+def _drawn(rows: DataFrame, columns: list[str], key: str, n: int, trees: int, seed: int, wanted: int) -> DataFrame:
+    """About ``wanted`` rows for each tree out of all rows: those whose hash with the tree's number is lowest.
 
-def grow_forest(
-    rows: DataFrame, columns: list[str], key: str, n: int, trees: int, seed: int, pool_rows: int = POOL_ROWS
-) -> DataFrame:
-    """Node table of ``trees`` trees, each from its own sample of at most ``TREE_ROWS`` pool rows."""
+    Each row names the trees that it falls to, so only hits are repeated, and no tree sees less than the whole.
+    """
     vector = F.array(*[F.col(c).cast("double") for c in columns]).alias("vector")
-    pool = _sample_pool(rows.select(key, vector), key, n, pool_rows, seed)
+    draw = lambda t: F.xxhash64(F.lit(seed), t, F.col(key))
+    below = F.lit(min(2**63 - 1, -(2**63) + int(min(1.0, wanted / n) * 2.0**64)))
+    hits = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(t) <= below)
+    found = rows.select(key, vector, F.explode(hits).alias("tree"))
+    return found.withColumn("draw", draw(F.col("tree")))
+
+
+def grow_forest(rows: DataFrame, columns: list[str], key: str, n: int, trees: int, seed: int) -> DataFrame:
+    """Node table of ``trees`` trees, each from its own sample of ``TREE_ROWS`` rows out of all (all rows if fewer)."""
+    wanted = 2 * TREE_ROWS
+    while True:
+        drawn = materialize(_drawn(rows, columns, key, n, trees, seed, wanted), "draws")
+        sizes = drawn.groupBy("tree").agg(F.count("*").alias("n")).agg(F.min("n"), F.count("*")).first()
+        if wanted >= n or (sizes[1] == trees and sizes[0] >= TREE_ROWS):
+            break
+        wanted *= 2
     by_chance = Window.partitionBy("tree").orderBy("draw", key)
-    drawn = (
-        pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("draw", F.xxhash64(F.lit(seed), "tree", key))
-        .withColumn("place", F.row_number().over(by_chance))
-        .where(F.col("place") <= TREE_ROWS)
-    )
+    drawn = drawn.withColumn("place", F.row_number().over(by_chance)).where(F.col("place") <= TREE_ROWS)
 
     def grow(sample: pd.DataFrame) -> pd.DataFrame:
         sample = sample.sort_values("place")
@@ -147,7 +147,6 @@ def isolation_forest(
     trees: int = TREES,
     contamination: float = CONTAMINATION,
     seed: int = SEED,
-    pool_rows: int = POOL_ROWS,
 ) -> DataFrame:
     """Feature rows with ``anomaly_score``, ``is_anomaly`` and ``anomaly_score_normalized``.
 
@@ -161,7 +160,7 @@ def isolation_forest(
         raise ValueError("no complete feature rows")
     sample_size = min(TREE_ROWS, n)
     # The forest is at most trees * (2 * TREE_ROWS - 1) nodes.
-    nodes = grow_forest(rows, columns, key, n, trees, seed, pool_rows).toPandas()
+    nodes = grow_forest(rows, columns, key, n, trees, seed).toPandas()
     shared = spark.sparkContext.broadcast(_forest_arrays(nodes))
     depth = math.ceil(math.log2(max(sample_size, 2)))
     usual = max(average_path(sample_size), 1e-12)

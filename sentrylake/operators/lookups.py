@@ -208,11 +208,11 @@ def named_query(
 
 
 def supporting_events(events: DataFrame, limit: int = 10) -> DataFrame:
-    """The events shown beside an answer, with defaults for what they lack."""
+    """The first of the given events, in their order, as shown beside an answer, with defaults for what they lack."""
     optional = lambda name, default: (
         F.coalesce(F.col(name), F.lit(default)) if name in events.columns else F.lit(default)
     ).alias(name)
-    return latest_events(events, limit).select(
+    return events.limit(limit).select(
         optional("event_id", "unknown"),
         "ts_ms",
         optional("event_type", "unknown"),

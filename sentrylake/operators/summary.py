@@ -16,8 +16,8 @@ TOP_ANOMALIES = 10
 
 # Warnings of the status row.
 WARNINGS = {
-    "events": "No events found - stream-processor may not be running or connected",
-    "aiAnalysis": "No AI analyses found - check OPENAI_API_KEY configuration",
+    "events": "No events found - the event stream may not be running",
+    "aiAnalysis": "No analyses found - check that analyses are being stored",
     "anomalies": "No anomalies detected - may need more events or lower threshold",
 }
 

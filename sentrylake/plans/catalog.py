@@ -566,7 +566,7 @@ for _name, (_action, _tail) in _named_events.items():
     round(threat_score, 9) AS threat_score FROM ev {_NEW} LIMIT 10""",
 )
 def _(spark, d):
-    return rounded(lookups.supporting_events(fixtures.events(spark, d)))
+    return rounded(lookups.supporting_events(lookups.latest_events(fixtures.events(spark, d), 10)))
 
 
 @query(
@@ -1242,7 +1242,7 @@ def _(spark, d):
 
 
 @query(
-    "event_stream_job",
+    "event_pipeline_stream",
     o.FOLD.rsplit("SELECT event_id", 1)[0]
     + f""", hit AS (SELECT event_id FROM st WHERE rn > 0 AND n >= {LEARN} AND score >= {CUT})
     SELECT event_type, count(*) AS processed, count(hit.event_id) AS anomalies,
@@ -1251,7 +1251,7 @@ def _(spark, d):
 )
 def _(spark, d):
     path = scratch_path(spark, "job")
-    job = jobs.event_stream_job(
+    job = jobs.event_pipeline_stream(
         _event_stream(spark, d), path, scratch_path(spark, "progress"), LEARN, CUT, available_now=True,
         state_partitions=_cores(spark),
     )
@@ -1397,7 +1397,7 @@ def _(spark, d):
     return detectors.detect_anomalies(table, features.numeric_feature_columns(table), "kmeans").select(*_LABEL_COLS)
 
 
-@query("training_data")
+@query("training_pipeline")
 def _(spark, d):
     run = training.build_training_data(fixtures.events(spark, d), scratch_path(spark, "training"))
     return run.labelled.select(*_LABEL_COLS)

@@ -43,17 +43,22 @@ def watermarks(records: DataFrame) -> DataFrame:
     )
 
 
-def kafka_watermarks(spark: SparkSession, topic: Topic, seconds: int = 10) -> DataFrame | None:
-    """First and next offset per partition asked from the brokers; None where no client is installed."""
+def kafka_watermarks(spark: SparkSession, topic: Topic) -> DataFrame:
+    """First and next offset per partition, asked from the brokers by the client that Spark's own source uses."""
+    jvm = spark.sparkContext._jvm
+    settings = jvm.java.util.HashMap()
+    for option, value in topic.options.items():
+        if option.startswith("kafka."):
+            settings.put(option.removeprefix("kafka."), value)
+    for side in ("key", "value"):
+        settings.put(f"{side}.deserializer", "org.apache.kafka.common.serialization.ByteArrayDeserializer")
+    client = jvm.org.apache.kafka.clients.consumer.KafkaConsumer(settings)
     try:
-        from confluent_kafka import Consumer, TopicPartition
-    except ImportError:
-        return None
-    settings = {k.removeprefix("kafka."): v for k, v in topic.options.items() if k.startswith("kafka.")}
-    client = Consumer({"group.id": "sentrylake-watermarks", "enable.auto.commit": False, **settings})
-    try:
-        known = client.list_topics(topic.name, timeout=seconds).topics[topic.name].partitions
-        rows = [(p, *client.get_watermark_offsets(TopicPartition(topic.name, p), timeout=seconds)) for p in known]
+        parts = jvm.java.util.ArrayList()
+        for info in client.partitionsFor(topic.name):
+            parts.add(jvm.org.apache.kafka.common.TopicPartition(topic.name, info.partition()))
+        first, following = client.beginningOffsets(parts), client.endOffsets(parts)
+        rows = [(p.partition(), first.get(p), following.get(p)) for p in parts]
     finally:
         client.close()
     return spark.createDataFrame(rows, "partition int, low bigint, high bigint")
@@ -94,8 +99,13 @@ def read_records(
     start_ms: int | None = None,
     end_ms: int | None = None,
 ) -> DataFrame:
-    """Raw topic records between offsets, or between record times."""
+    """Raw topic records between offsets, or between record times.
+
+    ``latest`` starts at the end of the topic as it is now, so a batch that starts there has no rows.
+    """
     prepare(spark)
+    if start_offset == "latest":
+        return read_records(spark, topic, "earliest", end_offset, start_ms, end_ms).limit(0)
     if topic.is_kafka:
         options = {"subscribe": topic.name, "startingOffsets": start_offset, **topic.options}
         if end_offset:
@@ -108,7 +118,7 @@ def read_records(
             options["endingTimestamp"] = str(end_ms + 1)
         return spark.read.format("kafka").options(**options).load()
     records = spark.read.format(topic.format).schema(RECORD_SCHEMA).options(**topic.options).load(topic.path)
-    if start_offset not in ("earliest", "latest"):
+    if start_offset != "earliest":
         records = records.where(_within(start_offset, topic.name, below=False))
     if end_offset:
         records = records.where(_within(end_offset, topic.name))
@@ -131,13 +141,12 @@ def read_events_batch(
 
     With ``max_events`` the read itself is cut short by end offsets (from ``marks``, the
     partitions' first and next offsets, looked up if not given) and then limited in
-    (partition, offset) order. Where they cannot be looked up, the topic is read in full.
+    (partition, offset) order.
     """
     if max_events and not end_offset:
         if marks is None:
             marks = kafka_watermarks(spark, topic) if topic.is_kafka else watermarks(read_records(spark, topic))
-        if marks is not None:
-            end_offset = bounded_read(marks, start_offset, max_events, topic.name)
+        end_offset = bounded_read(marks, start_offset, max_events, topic.name)
     events = project_events(read_records(spark, topic, start_offset, end_offset), "partition", "offset")
     if max_events:
         events = events.orderBy("partition", "offset").limit(max_events)

@@ -162,7 +162,7 @@ def read_latest(spark: SparkSession, path: str, key: tuple[str, ...]) -> DataFra
     return latest_per_key(spark.read.parquet(path), key, "batch_id").drop("batch_id")
 
 
-def event_stream_job(
+def event_pipeline_stream(
     events: DataFrame,
     path: str,
     checkpoint: str,

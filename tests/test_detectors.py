@@ -32,10 +32,16 @@ def test_forest_is_the_same_for_the_same_seed_and_layout(table):
     assert first != scores(table, seed=1)
 
 
-def test_forest_from_a_pool(table):
-    # Trees may never have seen the two outliers, but every row is scored.
-    rows = {r.user: r for r in detectors.isolation_forest(table, COLUMNS, pool_rows=100).collect()}
-    assert len(rows) == 302 and rows["far1"].is_anomaly == rows["far2"].is_anomaly == 1
+@pytest.mark.parametrize("n", [200, 3_000, 40_000])
+def test_trees_draw_from_all_rows_at_any_size(spark, n):
+    rows = spark.range(n).selectExpr("cast(id as string) AS user", "cast(id as double) AS a")
+    drawn = detectors._drawn(rows, ["a"], "user", n, 50, 42, 2 * detectors.TREE_ROWS)
+    sizes = [r["n"] for r in drawn.groupBy("tree").agg(F.count("*").alias("n")).collect()]
+    expected = min(n, 2 * detectors.TREE_ROWS)
+    assert len(sizes) == 50 and abs(sum(sizes) / 50 - expected) <= 0.05 * expected
+    # Rows are as likely to be drawn at either end of the table.
+    low = drawn.where(f"vector[0] < {n / 2}").count()
+    assert abs(low / sum(sizes) - 0.5) < 0.05
 
 
 def test_kmeans_distance_and_flag(table):

@@ -34,7 +34,7 @@ def test_job_writes_all_tables_once(spark, sf):
     path = scratch_path(spark, "job")
     # The second half arrives twice; later copies replace earlier ones.
     stream = arriving(spark, first, second, second)
-    job = jobs.event_stream_job(stream, path, scratch_path(spark, "progress"), 20, 0.7, available_now=True)
+    job = jobs.event_pipeline_stream(stream, path, scratch_path(spark, "progress"), 20, 0.7, available_now=True)
     job.awaitTermination()
     assert spark.read.parquet(f"{path}/events").count() == 1000 + second.count()
     assert jobs.read_latest(spark, f"{path}/events", writers.EVENT_KEY).count() == 1000
