@@ -39,7 +39,7 @@ EVENT_SCHEMA = (
 )
 
 
-def make_event(i, user="alice", hour=10, ip="192.168.1.100", kind="auth_attempt", status="success", geo="San Francisco, CA", score=0.1):
+def make_event(i, user="alice", hour=10, ip="10.20.0.7", kind="auth_attempt", status="success", geo="harbour", score=0.1):
     """The i-th event: one per day, at the given hour."""
     ts = dt.datetime(2024, 1, 1, hour, tzinfo=dt.timezone.utc) + dt.timedelta(days=i)
     ms = int(ts.timestamp() * 1000)

@@ -10,7 +10,7 @@ from sentrylake.operators.baseline import (
 from sentrylake.plans import fixtures
 from tests.conftest import make_event
 
-TRAITS = (10, "192.168.1.100", "San Francisco, CA", "auth_attempt", False)
+TRAITS = (10, "10.20.0.7", "harbour", "auth_attempt", False)
 
 
 def trained(n=100, failures=0):
@@ -23,11 +23,11 @@ def trained(n=100, failures=0):
 @pytest.mark.parametrize(
     "traits, score",
     [
-        ((3, "45.142.120.10", "San Francisco, CA", "auth_attempt", False), 0.5445),
-        ((3, "45.142.120.10", "Moscow, Russia", "auth_attempt", False), 0.7425),
-        ((3, "45.142.120.10", "Moscow, Russia", "auth_attempt", True), 0.8225),
-        ((3, "45.142.120.10", "Moscow, Russia", "process_execution", False), 0.891),
-        ((3, "45.142.120.10", "Moscow, Russia", "process_execution", True), 0.971),
+        ((3, "198.51.100.9", "harbour", "auth_attempt", False), 0.5445),
+        ((3, "198.51.100.9", "mountain", "auth_attempt", False), 0.7425),
+        ((3, "198.51.100.9", "mountain", "auth_attempt", True), 0.8225),
+        ((3, "198.51.100.9", "mountain", "process_execution", False), 0.891),
+        ((3, "198.51.100.9", "mountain", "process_execution", True), 0.971),
     ],
 )
 def test_known_scores(traits, score):
@@ -62,7 +62,7 @@ def test_frequent_failures_are_not_rare():
 
 def test_detector_reports_with_reasons(events_of):
     rows = [make_event(i) for i in range(100)]
-    rows.append(make_event(100, hour=3, ip="45.142.120.10", geo="Moscow, Russia", status="failed"))
+    rows.append(make_event(100, hour=3, ip="198.51.100.9", geo="mountain", status="failed"))
     rows.append(make_event(101))
     for detect in (baseline_anomaly_detector, frozen_baseline_detector):
         (found,) = detect(events_of(rows)).collect()
@@ -70,8 +70,8 @@ def test_detector_reports_with_reasons(events_of):
         assert found.reasons == [
             "HIGH: Significant deviation from normal behavior",
             "Unusual login time (03:00)",
-            "New or unusual source IP: 45.142.120.10",
-            "New or unusual location: Moscow, Russia",
+            "New or unusual source IP: 198.51.100.9",
+            "New or unusual location: mountain",
             "User typically has low failure rate",
         ]
 
