@@ -14,7 +14,7 @@ from sentrylake.llm.lm import lm_scores
 from sentrylake.llm.minhash import near_duplicates
 from sentrylake.llm.packing import pack_documents
 from sentrylake.llm.pieces import round_trips
-from sentrylake.llm.quality import quality_rules
+from sentrylake.llm.quality import BOILERPLATE, NAVIGATION, SYMBOLS, quality_rules
 from sentrylake.llm.tokencounts import token_counts
 from sentrylake.llm.tokens import vocabulary_path
 from sentrylake.llm.toxicity import toxicity_scores
@@ -30,6 +30,29 @@ def query(fn: Query) -> Query:
     return fn
 
 
+# The rules of sentrylake.llm.quality in SQL.
+_WORD = "[^\\x20\\x09-\\x0D]"
+ORACLES["op2_quality_rules"] = rf"""WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}+') AS w,
+    [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '{_WORD}')] AS ls FROM documents),
+win AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS k FROM d, unnest(range(1, len(w) - 1)) AS u(i)),
+rep AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k) AS c FROM win) WHERE c > 1),
+rw AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM rep, unnest([0, 1, 2]) AS s(o) GROUP BY doc_id),
+li AS (SELECT doc_id, l, len(regexp_extract_all(l, '{_WORD}+')) AS n FROM d, unnest(ls) AS u(l)),
+lost AS (SELECT doc_id, sum(n) AS n FROM li
+  WHERE length(l) - length(translate(l, '{SYMBOLS}', '')) > n * 0.2::DOUBLE
+    OR (n > 2 AND upper(l) = l AND lower(l) <> l)
+    OR (n <= 4 AND NOT regexp_matches(l, '[.!?:;…"''”»)\]][\x20\x09\x0B-\x0D]*$'))
+    OR regexp_matches(l, '{NAVIGATION}') OR regexp_matches(l, '(?i){BOILERPLATE}')
+  GROUP BY doc_id),
+m AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    (length(t) - length(translate(t, '{SYMBOLS}', '')))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+    coalesce(rw.n, 0)::BIGINT AS n_repeat_words, coalesce(lost.n, 0)::BIGINT AS n_lost_words
+  FROM d LEFT JOIN rw ON d.doc_id = rw.doc_id LEFT JOIN lost ON d.doc_id = lost.doc_id),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT *, NOT base_failed AND n_lost_words <= n_words * 0.3::DOUBLE AS kept FROM b"""
+
+
 @query
 def op2_quality_rules(spark, d):
     measured = quality_rules(table(spark, d, "documents"))
@@ -38,6 +61,22 @@ def op2_quality_rules(spark, d):
     )
 
 
+# All shortest runs of 50 words from and to every line, compared as text.
+ORACLES["op4_line_dedup"] = rf"""WITH ls AS (
+  SELECT doc_id, j, string_split(text, chr(10))[j] AS l FROM documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS u(j)),
+nb AS (SELECT doc_id, j, l, len(regexp_extract_all(l, '{_WORD}+')) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY j) AS i
+  FROM ls WHERE regexp_matches(l, '{_WORD}')),
+c AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS c FROM nb),
+runs AS (SELECT a.doc_id, a.i AS a, min(e.i) AS e FROM c a JOIN c e ON a.doc_id = e.doc_id AND e.i >= a.i AND e.c - a.c + a.n >= 50 GROUP BY a.doc_id, a.i
+  UNION SELECT e.doc_id, max(a.i), e.i FROM c a JOIN c e ON a.doc_id = e.doc_id AND e.i >= a.i AND e.c - a.c + a.n >= 50 GROUP BY e.doc_id, e.i),
+k AS (SELECT r.doc_id, r.a, r.e, string_agg(c.l, chr(10) ORDER BY c.i) AS k FROM runs r JOIN c ON c.doc_id = r.doc_id AND c.i BETWEEN r.a AND r.e GROUP BY ALL),
+f AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, a) AS place FROM k),
+gone AS (SELECT DISTINCT c.doc_id, c.j FROM f JOIN c ON c.doc_id = f.doc_id AND c.i BETWEEN f.a AND f.e WHERE place > 1)
+SELECT ls.doc_id, coalesce(string_agg(ls.l, chr(10) ORDER BY ls.j) FILTER (WHERE gone.j IS NULL), '') AS text,
+  count(*) FILTER (WHERE regexp_matches(ls.l, '{_WORD}')) AS n_lines, count(gone.j) AS n_removed
+FROM ls LEFT JOIN gone ON ls.doc_id = gone.doc_id AND ls.j = gone.j GROUP BY ls.doc_id"""
+
+
 @query
 def op4_line_dedup(spark, d):
     return line_dedup(table(spark, d, "documents")).select("doc_id", "text", "n_lines", "n_removed")
