@@ -345,8 +345,18 @@ def lm_scores(
         words = tally(None, max_states)
         sizes = words.where("block = -1").agg(F.sum("total").alias("n"), F.sum("distinct").alias("v")).first()
         total, distinct = sizes["n"] or 0, sizes["v"] or 0
-        top = words.where("block = -1").select(F.explode("top").alias("x")).orderBy(F.desc("x.c"), "x.k").limit(max_states)
-        states = np.array([r[0] for r in top.select("x.k").collect()] + [int(BEGIN.view(np.int64))], np.int64).view(np.uint64)
+        top = words.where("block = -1").select(F.explode("top").alias("x")).select("x.k", "x.c")
+        # How many keys have a count: the driver learns the count down to which all are states.
+        least, left = None, max_states
+        for r in top.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).limit(max_states).toLocalIterator():
+            if r["n"] >= left:
+                least = r["c"]
+                break
+            left -= r["n"]
+        chosen = top.where(F.col("c") > (least or 0))
+        if least:
+            chosen = chosen.unionByName(top.where(F.col("c") == least).orderBy("k").limit(left))
+        states = np.array([r["k"] for r in chosen.collect()] + [int(BEGIN.view(np.int64))], np.int64).view(np.uint64)
         # The end is the target of arcs; nothing follows it.
         targets = np.unique(np.append(states, END))
         arcs = tally(targets, 0)
