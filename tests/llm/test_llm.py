@@ -496,7 +496,7 @@ def test_near_vectors_dense_cluster(spark):
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     want = vectors_by_hand(rows)
     # Small shards: clusters are cut into parts, and searched part by part.
-    for size in (2048, 30):
+    for size in (2048, 100):
         got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_vectors(table, shard_rows=size).collect()}
         right = sum(got[i][0] for i in got) / sum(n for n, _ in want.values())
         assert got.keys() == want.keys() and (got == want if size == 2048 else right >= 0.9)
