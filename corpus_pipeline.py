@@ -38,9 +38,14 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    """One document of each near-duplicate group, and one row of each document.
+
+    Rows without an id are told apart by their texts.
+    """
+    own = F.coalesce("doc_id", F.xxhash64("text").bitwiseOR(F.lit(-(2**63))))
+    named = docs.withColumn("_id", own)
+    kept = near_duplicates(named, doc_id="_id").where("kept").select(F.col("doc_id").alias("_id")).distinct()
+    return named.join(kept, "_id", "left_semi").dropDuplicates(["_id"]).select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
