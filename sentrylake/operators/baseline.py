@@ -427,6 +427,15 @@ def baseline_anomaly_detector(
     return flagged.select(*_anomaly_row())
 
 
+def accepted_events(events: DataFrame, min_events: int = MIN_EVENTS, threshold: float = THRESHOLD) -> DataFrame:
+    """The events that the adaptive baseline has learned from: all but the anomalies it reported.
+
+    Profiles and totals of these are the snapshot that the detector itself serves.
+    """
+    found = baseline_anomaly_detector(events, min_events, threshold).select("ts_ms", "event_id")
+    return events.join(found, ["ts_ms", "event_id"], "left_anti")
+
+
 def baseline_profiles(events: DataFrame) -> DataFrame:
     """What each user's history looks like: one row per user, dimension and value.
 

@@ -864,6 +864,20 @@ def _(spark, d):
     return baseline.baseline_profiles(fixtures.events(spark, d))
 
 
+@query(
+    "accepted_profiles",
+    o.FOLD.rsplit("SELECT event_id", 1)[0]
+    + f""", hit AS (SELECT event_id FROM st WHERE rn > 0 AND n >= {LEARN} AND score >= {CUT})
+    SELECT "user", dimension, value, count(*) AS events FROM (
+      SELECT "user", unnest(['hour', 'source_ip', 'geo_location', 'event_type']) AS dimension,
+        unnest([CAST(hour(ts) AS VARCHAR), source_ip, geo_location, event_type]) AS value
+      FROM ev WHERE event_id NOT IN (SELECT event_id FROM hit))
+    WHERE value IS NOT NULL GROUP BY ALL""",
+)
+def _(spark, d):
+    return baseline.baseline_profiles(baseline.accepted_events(fixtures.events(spark, d), LEARN, CUT))
+
+
 @query(
     "baseline_totals",
     f"""WITH {o.EV} SELECT "user", count(*) AS total_events, count(*) FILTER (WHERE status = 'failed') AS failed_events,
