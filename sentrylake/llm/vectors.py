@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from sentrylake.llm.common import components, cut
 
-DEGREE, BEAM, ALPHA, STEP = 24, 48, 1.2, 8
+DEGREE, BEAM, ALPHA, STEP = 16, 24, 1.2, 8
 
 
 def _pruned(x: np.ndarray, own: np.ndarray, candidates: np.ndarray, degree: int) -> np.ndarray:
@@ -49,7 +49,7 @@ def search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, entries: np.nd
     """
     q, n = len(queries), len(graph)
     seen, hits, todo = (np.zeros((q, n), bool) for _ in range(3))
-    ids, sims, done = np.full((q, beam), -1), np.full((q, beam), -np.inf), np.zeros((q, beam), bool)
+    ids, sims, done = np.full((q, beam), -1), np.full((q, beam), -np.inf, np.float32), np.zeros((q, beam), bool)
     active, fresh = np.arange(q), entries
     while len(active):
         k = fresh.shape[1]
@@ -63,7 +63,7 @@ def search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, entries: np.nd
         np.put_along_axis(twice, order[:, 1:], sorted_new[:, 1:] == sorted_new[:, :-1], 1)
         ok &= ~twice
         r, c = np.nonzero(ok)
-        s = np.full(ok.shape, -np.inf)
+        s = np.full(ok.shape, -np.inf, np.float32)
         s[r, c] = np.einsum("pd,pd->p", queries[active[r]], x[new[r, c]])
         seen[active[r], new[r, c]] = True
         near = s[r, c] >= least
@@ -96,25 +96,28 @@ def search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, entries: np.nd
     return ids, hits
 
 
-def _reachable(x: np.ndarray, graph: np.ndarray, room: int = 8) -> np.ndarray:
-    """Pruning can leave a node without an edge from those near it, in dense clusters above all: all of a cluster
-    keep its centre, and the centre keeps few. So each node is added to the list of its nearest neighbour
-    unless that has it; where the ``room`` there is used up, to the list of the node added last, and so on."""
+def _reachable(x: np.ndarray, graph: np.ndarray, back: int = DEGREE, room: int = 16) -> np.ndarray:
+    """Pruning can leave nodes without an edge from those near them, in dense clusters above all: all of a cluster
+    keep its centre, and the centre keeps few. So each node is added to the lists of its ``back`` nearest
+    neighbours; where the ``room`` there is used up, to the list of the node added last, and so on."""
     n = len(graph)
     sims = np.where(graph >= 0, np.einsum("nd,nkd->nk", x, x[graph]), -np.inf)
-    nearest = graph[np.arange(n), sims.argmax(axis=1)]
-    missing = (nearest >= 0) & ~(graph[np.maximum(nearest, 0)] == np.arange(n)[:, None]).any(axis=1)
+    order = np.argsort(-sims, axis=1, kind="stable")[:, :back]
     extra, used, last = np.full((n, room), -1), np.zeros(n, np.int64), {}
-    for c in np.flatnonzero(missing).tolist():
-        u = top = int(nearest[c])
-        if used[u] == room:
-            u = last[top]
-        if u == c or used[u] == room:
-            continue
-        extra[u, used[u]] = c
-        used[u] += 1
-        if used[u] == room:
-            last[top] = c
+    for j in range(order.shape[1]):
+        near = graph[np.arange(n), order[:, j]]
+        missing = (near >= 0) & ~(graph[np.maximum(near, 0)] == np.arange(n)[:, None]).any(axis=1)
+        for c in np.flatnonzero(missing).tolist():
+            top = int(near[c])
+            u = last[top] if used[top] == room else top
+            while used[u] == room and u in last:
+                u = last[u]
+            if u == c or used[u] == room:
+                continue
+            extra[u, used[u]] = c
+            used[u] += 1
+            if used[u] == room:
+                last[u] = last[top] = c
     return np.concatenate([graph, extra[:, : int(used.max(initial=0))]], 1)
 
 
@@ -171,7 +174,8 @@ def _links_of_shard(least: float, beam: int):
         if not len(base) or not len(home):
             return pd.DataFrame({"node": [], "n": [], "root": []}).astype("int64")
         raw = np.array(base["vector"].tolist(), np.float64)
-        x = raw / np.sqrt((raw * raw).sum(axis=1))[:, None]
+        # Graphs are built and searched in single precision; the cosines that count are double.
+        x = (raw / np.sqrt((raw * raw).sum(axis=1))[:, None]).astype(np.float32)
         ids, copies = base["node"].to_numpy(), base["copies"].to_numpy()
         place = {v: i for i, v in enumerate(ids.tolist())}
         graph, medoid = build(x)
@@ -191,7 +195,7 @@ def _links_of_shard(least: float, beam: int):
             own = np.array([place.get(v, -1) for v in q_ids[some].tolist()])
             starts = np.stack([np.full(len(own), medoid), own], 1)
             # The graph is searched a little below the threshold; the exact cosine decides.
-            _, hits = search(x, graph, q_raw[some] / q_norm[some, None], starts, least - 1e-6, beam)
+            _, hits = search(x, graph, (q_raw[some] / q_norm[some, None]).astype(np.float32), starts, least - 1e-5, beam)
             qi, bi = np.nonzero(hits)
             cos = (q_raw[at + qi] * raw[bi]).sum(axis=1) / (q_norm[at + qi] * norms[bi])
             good = (cos >= least) & (bi != own[qi])
@@ -213,9 +217,9 @@ def near_vectors(
     vec_id: str = "vec_id",
     vector: str = "embedding",
     label: str = "label",
-    shard_rows: int = 2048,
+    shard_rows: int = 1024,
     max_centroids: int = 4096,
-    overlap: int = 4,
+    overlap: int = 3,
     audit_rows: int = 512,
     beam: int = BEAM,
 ) -> DataFrame:
