@@ -125,8 +125,8 @@ def similarity(a: tuple, b: tuple, counted: bool) -> float:
     return same / (a[1].sum() + b[1].sum() - same)
 
 
-def _signatures(bands: int, rows: int, shingle: int, counted: bool, batch: int = 4_000_000):
-    k = bands * rows
+def _signatures(bands: int, rows: int, extra: int, shingle: int, counted: bool, elements_held: int = 200_000, sets_held: int = 64):
+    k = bands * rows + extra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(shingle)
@@ -139,7 +139,7 @@ def _signatures(bands: int, rows: int, shingle: int, counted: bool, batch: int =
             sig = dart_minhash(sets, elements, weights, len(parts), k)
             band = np.repeat(np.arange(bands, dtype=np.uint64)[None], len(parts), 0)
             for j in range(rows):
-                band = mix(band * _C + sig.reshape(len(parts), bands, rows)[:, :, j])
+                band = mix(band * _C + sig[:, : bands * rows].reshape(len(parts), bands, rows)[:, :, j])
             nibbles = (sig & np.uint64(15)).reshape(len(parts), k // 16, 16)
             sketch = (nibbles << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64)
             size = np.array([p[1].sum() if counted else len(p[0]) for p in parts], np.int64)
@@ -156,7 +156,8 @@ def _signatures(bands: int, rows: int, shingle: int, counted: bool, batch: int =
                 keys.append(m)
                 parts.append(shingler(text.as_py()))
                 held += len(parts[-1][0])
-                if held > batch // 8:
+                # Short texts get thousands of darts as well, so both numbers bound the memory.
+                if held > elements_held or len(parts) == sets_held:
                     yield flush(ids, keys, parts)
                     ids, keys, parts, held = [], [], [], 0
             if parts:
@@ -199,28 +200,33 @@ def near_duplicates(
     shingle: int = 5,
     bands: int = 32,
     rows: int = 4,
+    extra: int = 128,
     counted: bool = False,
+    turns: int = 1,
+    offers: int = 4,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``class_id`` (smallest id of its group), ``kept``.
 
     Documents are linked if their sets of ``shingle``-word windows (with ``counted``: the windows' counts)
     have a Jaccard similarity of ``threshold`` or more; a group is what links reach. A pair at 0.8 shares one
     of 32 bands of 4 coordinates with probability 1 - 5e-8. Exact copies are one node from the start.
-    Each node is first checked against one leader it shares bands with. Within a band, links are then sought
-    only between nodes that are not in one group yet, by sketches, and checked on whole texts. So a large
+    Each node is first checked against one leader it shares bands with, and in ``turns`` more turns against the
+    closest of some members of the groups it meets. Within a band, links are then sought only between nodes that
+    are not in one group yet, by sketches, and checked on whole texts. So a large
     group of near copies costs about one check for each member, and no link between groups is lost.
 
     Null and empty texts are copies of each other. Rows that share an id are one document; a null id is
     replaced by a hash of the text within the work and ``class_id`` is null where only such rows are in a
     group. An empty table gives an empty one; columns of other names are not read.
     """
-    spread_bits = 4.5 * (bands * rows * (threshold * (1 - threshold))) ** 0.5
-    most = int((1 - threshold) * 15 / 16 * bands * rows + spread_bits)
+    k = bands * rows + extra
+    # Two sets at the threshold differ in more coordinates of their sketches with a probability of about 3e-6.
+    most = int((1 - threshold) * 15 / 16 * k + 4.5 * (k * threshold * (1 - threshold)) ** 0.5)
     key = F.coalesce(F.col(text), F.lit(""))
     own = F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(key).bitwiseOR(F.lit(-(2**63))))
     source = docs.select(own.alias("id"), F.md5(key).alias("m"), key.alias("text"), F.col(doc_id).isNull().alias("anonymous"))
     sigs = source.select("id", "m", "text").mapInArrow(
-        _signatures(bands, rows, shingle, counted), "id long, m string, n long, bands array<long>, sketch array<long>"
+        _signatures(bands, rows, extra, shingle, counted), "id long, m string, n long, bands array<long>, sketch array<long>"
     )
     sigs = cut(sigs, "signatures")
     classes = cut(sigs.groupBy("m").agg(F.min("id").alias("node")), "classes")
@@ -228,11 +234,11 @@ def near_duplicates(
     reps = cut(reps.withColumnRenamed("id", "node"), "nodes")
 
     # Bands with two nodes or more.
-    banded = reps.select("node", F.explode("bands").alias("band"))
+    banded = reps.select("node", F.posexplode("bands").alias("pos", "band"))
     buckets = banded.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("_last")).where("leader < _last")
     members = cut(banded.join(buckets.drop("_last"), "band"), "members")
-    sketches = reps.select("node", "n", *[F.col("sketch")[j].alias(f"s{j}") for j in range(bands * rows // 16)])
-    marks = [f"s{j}" for j in range(bands * rows // 16)]
+    sketches = reps.select("node", "n", *[F.col("sketch")[j].alias(f"s{j}") for j in range(k // 16)])
+    marks = [f"s{j}" for j in range(k // 16)]
 
     def side(suffix: str) -> DataFrame:
         return sketches.select([F.col(c).alias(c + suffix) for c in sketches.columns])
@@ -246,28 +252,52 @@ def near_duplicates(
     joined = source.select("id", "text").join(near.withColumnRenamed("node", "id"), "id").dropDuplicates(["id"])
     texts = cut(joined.withColumnRenamed("id", "node"), "texts")
 
+    def closest(offered: DataFrame) -> DataFrame:
+        """Of pairs ``node, leader`` the closest by their sketches for each node, if it may be linked: ``a, b``."""
+        both = offered.join(sketches, "node").join(side("_l").withColumnRenamed("node_l", "leader"), "leader")
+        differ = sum((_differing(F.col(c), F.col(c + "_l")) for c in marks), F.lit(0))
+        best = both.where(close("", "_l")).groupBy("node").agg(F.min_by("leader", F.struct(differ, F.col("leader"))).alias("b"))
+        return best.withColumnRenamed("node", "a")
+
     # One leader each: the closest of those it shares a band with.
-    stars = members.where("node <> leader").select("node", "leader").distinct()
-    stars = stars.join(sketches, "node").join(side("_l").withColumnRenamed("node_l", "leader"), "leader")
-    differ = sum((_differing(F.col(c), F.col(c + "_l")) for c in marks), F.lit(0))
-    stars = stars.where(close("", "_l")).groupBy("node").agg(F.min_by("leader", F.struct(differ, F.col("leader"))).alias("b"))
-    links = cut(_verified(stars.withColumnRenamed("node", "a"), texts, shingle, counted, threshold), "links")
+    stars = closest(members.where("node <> leader").select("node", "leader").distinct())
+    links = cut(_verified(stars, texts, shingle, counted, threshold), "links")
     groups = cut(components(links), "groups")
 
-    # Bands that still hold more than one group: all of one group but the most frequent against the rest.
-    here = members.select("band", "node").join(groups, "node", "left")
-    here = here.select("band", "node", F.coalesce("component", "node").alias("group"))
-    mixed = here.groupBy("band").agg(F.min("group").alias("_a"), F.max("group").alias("_b")).where("_a < _b").select("band")
-    here = cut(here.join(mixed, "band"), "mixed")
-    top = here.groupBy("band", "group").count().groupBy("band").agg(F.max_by("group", F.struct("count", "group")).alias("top"))
+    def mixed_bands() -> tuple[DataFrame, DataFrame]:
+        """Members of bands that still hold more than one group, and each such band's most frequent group."""
+        here = members.select("band", "pos", "node").join(groups, "node", "left")
+        here = here.select("band", "pos", "node", F.coalesce("component", "node").alias("group"))
+        mixed = here.groupBy("band").agg(F.min("group").alias("_a"), F.max("group").alias("_b")).where("_a < _b").select("band")
+        here = cut(here.join(mixed, "band"), "mixed")
+        top = here.groupBy("band", "group").count().groupBy("band").agg(F.max_by("group", F.struct("count", "group")).alias("top"))
+        return here, cut(top, "tops")
+
+    # In a large group many are near to some, but not to one leader. So a few members of each band's largest group,
+    # other ones each time, are offered to the nodes outside it, and each node is checked against the closest.
+    for turn in range(turns):
+        here, top = mixed_bands()
+        picks = [F.min_by("node", F.xxhash64("node", F.lit(turn), F.lit(j))) for j in range(offers)]
+        picked = here.join(top, "band").where("group = top").groupBy("band").agg(F.array(*picks).alias("reps"))
+        offered = here.join(top, "band").where("group <> top").join(picked, "band")
+        offered = offered.select("node", F.explode("reps").alias("leader")).distinct()
+        links = links.unionAll(cut(_verified(closest(offered), texts, shingle, counted, threshold), "links"))
+        groups = cut(components(links), "groups")
+
+    # What is left: all of one group but the most frequent against the rest of the band.
+    here, top = mixed_bands()
     # Sizes of linked sets differ by less than one class of this width, so neighbouring classes do.
     width = float(np.log(1 / threshold) + 1e-9)
-    here = here.join(sketches, "node").withColumn("size", F.floor(F.log(F.col("n") + F.lit(1e-9)) / width))
+    here = here.join(sketches.join(reps.select("node", "bands"), "node"), "node").withColumn("size", F.floor(F.log(F.col("n") + F.lit(1e-9)) / width))
     few = here.join(top, "band").where("group <> top")
     few = few.withColumn("size", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)))
-    few = few.select("band", "size", "top", *[F.col(c).alias(c + "_x") for c in ["node", "group", "n", *marks]])
+    few = few.select("band", "size", "top", *[F.col(c).alias(c + "_x") for c in ["node", "group", "n", "bands", *marks]])
     both_few = (F.col("group") == F.col("top")) | (F.col("node") > F.col("node_x"))
-    pairs = few.join(here, ["band", "size"]).where((F.col("group") != F.col("group_x")) & both_few & close("", "_x"))
+    # A pair that shares several bands is made in the first of them.
+    first = F.lit(True)
+    for j in range(bands - 1):
+        first = first & ((F.col("pos") <= j) | (F.col("bands")[j] != F.col("bands_x")[j]))
+    pairs = few.join(here, ["band", "size"]).where((F.col("group") != F.col("group_x")) & both_few & close("", "_x") & first)
     pairs = pairs.select(F.least("node", "node_x").alias("a"), F.greatest("node", "node_x").alias("b")).distinct()
     more = _verified(cut(pairs, "pairs"), texts, shingle, counted, threshold)
     groups = cut(components(links.unionAll(cut(more, "links"))), "groups")
