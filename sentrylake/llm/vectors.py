@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -12,6 +14,7 @@ from pyspark.sql import types as T
 from sentrylake.llm.common import components, cut
 
 DEGREE, BEAM, ALPHA, STEP = 16, 24, 1.2, 8
+PAIRS = 65_536  # exact cosines that are computed side by side
 
 
 def _pruned(x: np.ndarray, own: np.ndarray, candidates: np.ndarray, degree: int) -> np.ndarray:
@@ -165,52 +168,105 @@ def build(x: np.ndarray, degree: int = DEGREE) -> tuple[np.ndarray, int]:
     return _reachable(x, graph), medoid
 
 
-def _links_of_shard(least: float, beam: int):
-    """For one shard part: per home vector the number of vectors it links with, and what it is linked to."""
+def exact_cosines(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Cosines of rows ``i`` of ``a`` with rows ``j`` of ``b`` in double precision, the same in either order."""
+    out = np.empty(len(i))
+    norms = [np.sqrt((m * m).sum(axis=1)) for m in (a, b)]
+    for at in range(0, len(i), PAIRS):
+        x, y = i[at : at + PAIRS], j[at : at + PAIRS]
+        out[at : at + PAIRS] = (a[x] * b[y]).sum(axis=1) / (norms[0][x] * norms[1][y])
+    return out
+
+
+def _lowest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of each of ``n`` places the smallest that links lead to."""
+    low = np.arange(n)
+    while True:
+        before = low.copy()
+        least = np.minimum(low[a], low[b])
+        # The places that two linked ones point at are linked as well.
+        for x in (a, b, before[a], before[b]):
+            np.minimum.at(low, x, least)
+        low = low[low]
+        if (low == before).all():
+            return low
+
+
+def _links_of_shard(least: float, beam: int, dtype):
+    """For one shard, or two parts of one: per vector the number of vectors it links with, and what it is linked to.
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        base = rows[rows["role"] == 0].drop_duplicates("node")
-        home = rows[rows["role"] == 1].drop_duplicates("node")
-        if not len(base) or not len(home):
-            return pd.DataFrame({"node": [], "n": [], "root": []}).astype("int64")
-        raw = np.array(base["vector"].tolist(), np.float64)
+    A pair that meets in several shards counts in the one with the smallest number.
+    """
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        label, shard, _, parts, part, block = key
+        rows = rows.drop_duplicates("node").sort_values("node", ignore_index=True)
+        raw, copies, ids = np.array(rows["vector"].tolist(), np.float64), rows["copies"].to_numpy(), rows["node"].to_numpy()
         # Graphs are built and searched in single precision; the cosines that count are double.
         x = (raw / np.sqrt((raw * raw).sum(axis=1))[:, None]).astype(np.float32)
-        ids, copies = base["node"].to_numpy(), base["copies"].to_numpy()
-        place = {v: i for i, v in enumerate(ids.tolist())}
-        graph, medoid = build(x)
-        q_raw, q_ids = np.array(home["vector"].tolist(), np.float64), home["node"].to_numpy()
-        q_norm = np.sqrt((q_raw * q_raw).sum(axis=1))
-        norms = np.sqrt((raw * raw).sum(axis=1))
-        counts, parent = np.zeros(len(q_ids), np.int64), {}
-
-        def root(v):
-            while parent.setdefault(v, v) != v:
-                parent[v] = parent[parent[v]]
-                v = parent[v]
-            return v
-
-        for at in range(0, len(q_ids), 512):
-            some = slice(at, at + 512)
-            own = np.array([place.get(v, -1) for v in q_ids[some].tolist()])
-            starts = np.stack([np.full(len(own), medoid), own], 1)
-            # The graph is searched a little below the threshold; the exact cosine decides.
-            _, hits = search(x, graph, (q_raw[some] / q_norm[some, None]).astype(np.float32), starts, least - 1e-5, beam)
-            qi, bi = np.nonzero(hits)
-            cos = (q_raw[at + qi] * raw[bi]).sum(axis=1) / (q_norm[at + qi] * norms[bi])
-            good = (cos >= least) & (bi != own[qi])
-            qi, bi = qi[good], bi[good]
-            counts[some] += np.bincount(qi, copies[bi], len(own)).astype(np.int64)
-            for a, b in zip(q_ids[at + qi].tolist(), ids[bi].tolist(), strict=True):
-                a, b = root(a), root(b)
-                parent[max(a, b)] = min(a, b)
-        touched = [v for v in parent if root(v) != v]
-        out = [(v, 0, root(v)) for v in touched] + [(v, int(n), v) for v, n in zip(q_ids.tolist(), counts.tolist(), strict=True)]
-        return pd.DataFrame(out, columns=["node", "n", "root"])
+        wide = max(map(len, rows["shards"]))
+        lists = np.array([[*v, *[-1] * (wide - len(v))] for v in rows["shards"]], np.int32)
+        n, counts, low = len(rows), np.zeros(len(rows), np.int64), np.arange(len(rows))
+
+        def add(i, j):
+            """Count the links of these pairs, each given once."""
+            for k in range(wide):
+                lower = (lists[i, k] >= 0) & (lists[i, k] < shard)
+                both = lower & (lists[j] == lists[i, k][:, None]).any(axis=1) if lower.any() else lower
+                i, j = i[~both], j[~both]
+            counts[:] += (np.bincount(i, copies[j], n) + np.bincount(j, copies[i], n)).astype(np.int64)
+            low[:] = _lowest(n, np.concatenate([i, np.arange(n)]), np.concatenate([j, low]))
+
+        if parts == 1:
+            graph, medoid = build(x)
+            hits = np.zeros((n, n), bool)
+            for at in range(0, n, 512):
+                own = np.arange(at, min(at + 512, n))
+                # The graph is searched a little below the threshold; the exact cosine decides.
+                hits[own] = search(x, graph, x[own], np.stack([np.full(len(own), medoid), own], 1), least - 1e-5, beam)[1]
+            # A link that one of the two has found is in the lists of both.
+            i, j = np.nonzero(np.triu(hits | hits.T, 1))
+            good = exact_cosines(raw, raw, i, j) >= least
+            add(i[good], j[good])
+        else:
+            # Wide shards: every pair of parts is compared whole.
+            role = rows["role"].to_numpy()
+            first = np.flatnonzero(role == 0)
+            second = first if part == block else np.flatnonzero(role == 1)
+            for at in range(0, len(first), 512):
+                mine = first[at : at + 512]
+                sims = x[mine] @ x[second].T
+                i, j = np.nonzero(sims >= least - 1e-5)
+                close, i, j = sims[i, j] < least + 1e-5, mine[i], second[j]
+                if part == block:
+                    close, i, j = (v[i < j] for v in (close, i, j))
+                good = ~close
+                good[close] = exact_cosines(raw, raw, i[close], j[close]) >= least
+                add(i[good], j[good])
+        moved = np.flatnonzero(low != np.arange(n))
+        out = {"label": np.full(n + len(moved), label, dtype), "node": np.concatenate([ids, ids[moved]])}
+        out |= {"n": np.concatenate([counts, np.zeros(len(moved), np.int64)]), "root": np.concatenate([ids, ids[low[moved]]])}
+        return pd.DataFrame(out)
 
     return run
 
 
+def joined(m: np.ndarray, reach: float) -> np.ndarray:
+    """For each unit vector the number of its group; those with a cosine of ``reach`` or more are in one group."""
+    group = np.full(len(m), -1)
+    for first in range(len(m)):
+        if group[first] >= 0:
+            continue
+        new, group[first] = np.array([first]), first
+        while len(new):
+            near = np.zeros(len(m), bool)
+            for at in range(0, len(new), 512):
+                near |= (m[new[at : at + 512]] @ m.T >= reach).any(axis=0)
+            new = np.flatnonzero(near & (group < 0))
+            group[new] = first
+    return group
+
+
 def near_vectors(
     rows: DataFrame,
     least: float = 0.93,
@@ -225,13 +281,14 @@ def near_vectors(
 ) -> DataFrame:
     """One row per row: ``vec_id, n_links, component_id, kept``; links are pairs of one label with cosine >= ``least``.
 
-    Vectors of a label are dealt to clusters around sampled vectors, at most ``max_centroids`` in all; each is
-    at home in the nearest and a guest in the next ones, ``overlap`` in all. A cluster above twice
-    ``shard_rows`` is cut into parts of both its nodes and its queries, so no task holds more. Every part builds a
-    graph and searches it for the cluster's home vectors; adjacency lists of a vector's shards are joined by
-    adding up what its parts give and by uniting their links. Cosines are checked in double precision. Then
-    ``audit_rows`` vectors are compared with all rows by brute force; if any link of theirs is missing, overlap
-    and beam are doubled and the search is run again, at most three times.
+    Vectors of a label are dealt to clusters around sampled vectors, at most ``max_centroids`` in all. Centres that
+    one vector could link with both are one cluster, so a dense group is never dealt apart. Each vector goes to
+    the ``overlap`` nearest clusters, and links with all it meets in any of them, from either side. A cluster up
+    to twice ``shard_rows`` builds one graph and searches it for all of its vectors; a larger one is cut into
+    parts, and every pair of parts is compared whole. Cosines are checked in double precision. Then
+    ``audit_rows`` vectors and all centres are compared with all rows by brute force; labels where any link of
+    theirs is missing are done again with overlap and beam doubled, twice at most, and after that without
+    clusters, by comparing every pair.
 
     Equal vectors are one node that counts as often as it occurs. Vectors that are null, zero, hold null or
     non-finite components, or have a null label link with nothing. Rows that share an id are treated alike:
@@ -265,67 +322,88 @@ def near_vectors(
     for key, own in by_label.items():
         wide = max(len(v) for _, v in own)
         own = [(i, v) for i, v in own if len(v) == wide]
-        m = np.array([v for _, v in own], np.float64)
-        centres[key] = (np.array([i for i, _ in own]), m / np.linalg.norm(m, axis=1, keepdims=True))
+        m = np.array([v for _, v in own], np.float32)
+        m /= np.linalg.norm(m, axis=1, keepdims=True)
+        # Vectors that link with a third one are at most twice the angle apart.
+        group = joined(m, 2 * least * least - 1)
+        order = np.argsort(group, kind="stable")
+        starts = np.flatnonzero(np.diff(group[order], prepend=-1))
+        centres[key] = (np.array([own[i][0] for i in group[order][starts]]), m[order], starts)
     shared = spark.sparkContext.broadcast(centres)  # at most max_centroids vectors
+    none = (np.array([0]), None, None)
 
-    def deal(overlap: int):
+    def deal(overlap: int, whole: bool):
         def run(batches):
             for batch in batches:
                 shards = []
                 for key, v in zip(batch["label"].to_pylist(), batch["vector"].to_pylist(), strict=True):
-                    names, m = shared.value.get(key, (np.array([-1]), None))
-                    if m is None or len(names) == 1 or m.shape[1] != len(v):
+                    names, m, starts = shared.value.get(key, none)
+                    if whole or m is None or len(names) <= overlap or m.shape[1] != len(v):
                         shards.append([int(names[0])])
                         continue
-                    s = m @ np.array(v)
+                    s = np.maximum.reduceat(m @ np.array(v, np.float32), starts)
                     shards.append(names[np.argsort(-s, kind="stable")[:overlap]].tolist())
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shards, pa.list_(pa.int32()))], names=[*batch.schema.names, "shards"])
 
         return run
 
-    def found(overlap: int, beam: int) -> DataFrame:
+    def found(nodes: DataFrame, overlap: int, beam: int, whole: bool) -> DataFrame:
         kinds = T.StructType([*nodes.schema.fields, T.StructField("shards", T.ArrayType(T.IntegerType()))])
         width = F.size("vector")  # vectors of different lengths are never compared
-        dealt = nodes.mapInArrow(deal(overlap), kinds).select("*", F.posexplode("shards").alias("rank", "shard")).drop("shards").withColumn("width", width)
+        dealt = nodes.mapInArrow(deal(overlap, whole), kinds).select("*", F.explode("shards").alias("shard")).withColumn("width", width)
         dealt = cut(dealt, "dealt")
-        parts = dealt.groupBy("label", "shard", "width").agg(F.count("*").alias("n"))
-        parts = parts.select("label", "shard", "width", F.ceil(F.col("n") / (2 * shard_rows)).cast("int").alias("parts"))
-        dealt = dealt.join(parts, ["label", "shard", "width"])
-        own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-        each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-        base = dealt.select("label", "shard", "width", own.alias("part"), each.alias("block"), F.lit(0).alias("role"), "node", "copies", "vector")
-        asks = dealt.where("rank = 0").select("label", "shard", "width", each.alias("part"), own.alias("block"), F.lit(1).alias("role"), "node", "copies", "vector")
-        grouped = base.unionByName(asks).groupBy("label", "shard", "width", "part", "block")
-        return cut(grouped.applyInPandas(_links_of_shard(least, beam), "node long, n long, root long"), "links")
+        sizes = dealt.groupBy("label", "shard", "width").agg(F.count("*").alias("n"))
+        # Two parts at least if every pair is to be compared.
+        parts = F.greatest(F.ceil(F.col("n") / (2 * shard_rows)), F.lit(2 if whole else 1)).cast("int")
+        dealt = dealt.join(sizes.select("label", "shard", "width", parts.alias("parts")), ["label", "shard", "width"])
+        # A part meets each part once, and itself.
+        dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        role = (F.col("own") > F.col("other")).cast("int").alias("role")
+        part, block = F.least("own", "other").alias("part"), F.greatest("own", "other").alias("block")
+        grouped = dealt.select("label", "shard", "width", "parts", part, block, role, "node", "copies", "vector", "shards").groupBy("label", "shard", "width", "parts", "part", "block")
+        kinds = T.StructType([nodes.schema["label"], *(T.StructField(c, T.LongType()) for c in ("node", "n", "root"))])
+        return cut(grouped.applyInPandas(_links_of_shard(least, beam, object), kinds), "links")
 
     def brute(batches):
-        asked = audit.value
-        counts = np.zeros(len(asked), np.int64)
+        by_kind: dict = {}
+        for i, (_, key, v) in enumerate(audit.value):
+            by_kind.setdefault((key, len(v)), []).append(i)
+        asked = {k: (np.array(i), np.array([audit.value[x][0] for x in i]), np.array([audit.value[x][2] for x in i])) for k, i in by_kind.items()}
+        counts = np.zeros(len(audit.value), np.int64)
         for batch in batches:
             by: dict = {}
             for key, v, c, node in zip(*(batch[n].to_pylist() for n in ("label", "vector", "copies", "node")), strict=True):
-                by.setdefault((key, len(v)), []).append((v, c, node))
-            for i, (node, key, v) in enumerate(asked):
-                own = by.get((key, len(v)))
-                if own:
-                    if isinstance(own, list):
-                        m = np.array([x[0] for x in own])
-                        own = by[key, len(v)] = (m, np.sqrt((m * m).sum(axis=1)), np.array([x[1] for x in own]), np.array([x[2] for x in own]))
-                    cos = own[0] @ v / (own[1] * np.sqrt(v @ v))
-                    counts[i] += own[2][(cos >= least) & (own[3] != node)].sum()
-        yield pa.RecordBatch.from_arrays([pa.array([a[0] for a in asked], pa.int64()), pa.array(counts)], names=["node", "n"])
+                if (key, len(v)) in asked:
+                    by.setdefault((key, len(v)), []).append((v, c, node))
+            for k, own in by.items():
+                place, names, q = asked[k]
+                for at in range(0, len(own), 1024):
+                    m, c, node = (np.array([r[f] for r in own[at : at + 1024]]) for f in range(3))
+                    cos = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ (m / np.linalg.norm(m, axis=1, keepdims=True)).T
+                    i, j = np.nonzero((cos >= least - 1e-9) & (names[:, None] != node))
+                    good = exact_cosines(q, m, i, j) >= least
+                    counts[place] += np.bincount(i[good], c[j[good]], len(place)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(counts)), pa.int32()), pa.array(counts)], names=["place", "n"])
 
     sample = nodes.orderBy(F.xxhash64("node", F.lit(2)), "node").limit(audit_rows).select("node", "label", "vector").collect()
+    sample = list({(r["node"], r["label"]): r for r in (*centroids, *sample)}.values())
     audit = spark.sparkContext.broadcast([(r["node"], r["label"], np.array(r["vector"], np.float64)) for r in sample])
-    asked = spark.createDataFrame([(r["node"],) for r in sample], "node long")
-    truth = {r["node"]: r["n"] for r in nodes.mapInArrow(brute, "node long, n long").groupBy("node").agg(F.sum("n").alias("n")).collect()}
-    for _ in range(3):
-        links = found(overlap, beam)
-        seen = links.join(F.broadcast(asked), "node").groupBy("node").agg(F.sum("n").alias("n")).collect()
-        if all(truth[r["node"]] == r["n"] for r in seen):
+    asked = spark.createDataFrame([(r["node"],) for r in sample], "node long").distinct()
+    checked = nodes.mapInArrow(brute, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
+    truth = {(sample[r["place"]]["label"], sample[r["place"]]["node"]): r["n"] for r in checked}
+    left, settled = nodes, []
+    for attempt in range(4):
+        links = found(left, overlap, beam, attempt == 3)
+        seen = links.join(F.broadcast(asked), "node").groupBy("label", "node").agg(F.sum("n").alias("n")).collect()
+        short = list({r["label"] for r in seen if truth.get((r["label"], r["node"]), r["n"]) != r["n"]})
+        if attempt == 3 or not short:
+            settled.append(links)
             break
+        settled.append(links.where(~F.col("label").isin(short)))
+        left = nodes.where(F.col("label").isin(short))
         overlap, beam = 2 * overlap, 2 * beam
+    links = reduce(DataFrame.unionByName, settled).drop("label")
 
     counts = links.groupBy("node").agg(F.sum("n").alias("n"))
     groups = cut(components(links.where("root <> node"), "node", "root"), "groups")

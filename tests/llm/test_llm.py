@@ -502,6 +502,34 @@ def test_near_vectors_dense_cluster(spark):
         assert got.keys() == want.keys() and (got == want if size == 2048 else right >= 0.9)
 
 
+def links_by_product(rows, least=0.93):
+    """As vectors_by_hand, for many rows of one width."""
+    label, x = np.array([r[2] for r in rows]), np.array([r[1] for r in rows], float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = (x @ x.T >= least) & (label[:, None] == label)
+    np.fill_diagonal(near, False)
+    low = np.arange(len(rows))
+    while True:
+        new = np.minimum(low, np.where(near, low, len(rows)).min(axis=1))
+        if (new == low).all():
+            return {r[0]: (int(n), rows[i][0]) for r, n, i in zip(rows, near.sum(axis=1), low, strict=True)}
+        low = new
+
+
+def test_near_vectors_dense_cluster_over_many_centroids(spark):
+    # About 40 sampled centres lie in one cluster whose pairs nearly all link, and 10 among other vectors.
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=64)
+    centre /= np.linalg.norm(centre)
+    dense = [centre + rng.normal(size=64) * 0.031 for _ in range(1600)]
+    rows = [(i, [float(c) for c in np.float32(v)], 0) for i, v in enumerate([*dense, *rng.normal(size=(400, 64))])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    want = links_by_product(rows)
+    assert np.mean([want[i][0] for i in range(1600)]) > 1400
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_vectors(table, shard_rows=40).collect()}
+    assert got == want
+
+
 def test_near_vectors_given_table(spark, sf):
     rows = [(r["vec_id"], r["embedding"], r["label"]) for r in common.table(spark, sf, "embeddings").collect()]
     want = vectors_by_hand(rows)
