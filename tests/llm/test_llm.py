@@ -530,6 +530,23 @@ def test_near_vectors_dense_cluster_over_many_centroids(spark):
     assert got == want
 
 
+def test_near_vectors_small_shards(spark):
+    # Chance decides whether the vectors of a pair are at home in one shard.
+    rng = np.random.default_rng(4)
+    heart = rng.normal(size=(700, 16))
+    noise = rng.normal(size=(2100, 16))
+    rows = [(i, [float(c) for c in np.float32(heart[i % 700] + 0.22 * noise[i])], i % 700 % 2) for i in range(2100)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    want = links_by_product(rows)
+    assert sum(n for n, _ in want.values()) > 1000
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_vectors(table, shard_rows=30).collect()}
+    assert got == want
+    rows = dense_rows()
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_vectors(table, shard_rows=30).collect()}
+    assert got == vectors_by_hand(rows)
+
+
 def test_near_vectors_given_table(spark, sf):
     rows = [(r["vec_id"], r["embedding"], r["label"]) for r in common.table(spark, sf, "embeddings").collect()]
     want = vectors_by_hand(rows)
