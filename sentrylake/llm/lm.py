@@ -67,13 +67,16 @@ class Reader(dict):
         return self._hashes
 
 
-def found_arcs(tokens: np.ndarray, starts: np.ndarray, hashes: np.ndarray, states: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def found_arcs(tokens: np.ndarray, starts: np.ndarray, hashes: np.ndarray, states: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of texts where the automaton may have an arc, and the state and word there, as numbers; -1 is the
-    state at a beginning. Only states follow states; the end follows too, but nothing follows it."""
-    is_state = look_up(states, np.ones(len(states), bool), hashes)
+    state at a beginning. Only states follow states; the end follows too, but nothing follows it. Without a list
+    of states every word is one."""
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
     before[starts] = -1
+    if states is None:
+        return np.arange(len(tokens)), before, tokens
+    is_state = look_up(states, np.ones(len(states), bool), hashes)
     inside = np.flatnonzero(((before < 0) | (is_state[before] & (before > 0))) & is_state[tokens])
     return inside, before[inside], tokens[inside]
 
@@ -82,23 +85,26 @@ def state_hash(hashes: np.ndarray, state: np.ndarray) -> np.ndarray:
     return np.where(state < 0, BEGIN, hashes[state])
 
 
-def counted_arcs(tokens: np.ndarray, starts: np.ndarray, learned: np.ndarray, hashes: np.ndarray, states: np.ndarray):
-    """Arcs found in texts and each state's sum of them: names, counts in the texts to learn from, and whether
-    another text has them."""
-    inside, state, word = found_arcs(tokens, starts, hashes, states)
+def counted_arcs(tokens: np.ndarray, starts: np.ndarray, learned: np.ndarray, hashes: np.ndarray):
+    """Arcs found in texts: names, counts in the texts to learn from, and whether another text has them."""
+    _, state, word = found_arcs(tokens, starts, hashes, None)
     n = len(hashes)
-    codes, at = np.unique((state.astype(np.int64) + 1) * n + word, return_inverse=True)
-    taught = learned[inside]
-    counts = np.bincount(at, taught, len(codes)).astype(np.int64)
-    other = np.bincount(at, ~taught, len(codes)) > 0
-    own, which = np.unique(codes // n - 1, return_inverse=True)
-    sums = np.bincount(which, counts, len(own)).astype(np.int64)
-    of_state = state_hash(hashes, own)
-    names = np.concatenate([arc(of_state[which], hashes[codes % n]), arc(of_state, np.full(len(own), TOTAL))])
-    return names, np.concatenate([counts, sums]), np.concatenate([other, np.ones(len(own), bool)])
-
-
-def _counting(buckets: int, states: np.ndarray | None):
+    codes = (state.astype(np.int64) + 1) * n + word
+    del state
+    # Sorted in two shares, so that no place is held for each token.
+    (taught, counts), (others, _) = (np.unique(codes[share], return_counts=True) for share in (learned, ~learned))
+    only = others[~_in_sorted(taught, others)]
+    other = np.concatenate([_in_sorted(others, taught), np.ones(len(only), bool)])
+    codes = np.concatenate([taught, only])
+    names = arc(state_hash(hashes, codes // n - 1), hashes[codes % n])
+    return names, np.concatenate([counts, np.zeros(len(only), np.int64)]), other
+
+
+def _in_sorted(table: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    return look_up(table, np.ones(len(table), bool), wanted)
+
+
+def _counting(buckets: int, arcs: bool):
     """Per task: keys (tokens, or arcs) with counts, as a row of packed numbers for each bucket of keys. A count
     is doubled, and odd if a text that is not learned from has the key."""
     schema = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -109,12 +115,12 @@ def _counting(buckets: int, states: np.ndarray | None):
         def flush(reader, parts, flags):
             tokens, sizes = np.concatenate(parts), np.array([len(p) for p in parts])
             learned = np.repeat(np.array(flags), sizes)
-            if states is None:
+            if not arcs:
                 keys = reader.hashes
                 counts = np.bincount(tokens[learned], minlength=len(keys))
                 other = np.bincount(tokens[~learned], minlength=len(keys)) > 0
             else:
-                keys, counts, other = counted_arcs(tokens, np.cumsum(sizes) - sizes, learned, reader.hashes, states)
+                keys, counts, other = counted_arcs(tokens, np.cumsum(sizes) - sizes, learned, reader.hashes)
             bucket = (keys % np.uint64(buckets)).astype(np.int64)
             order = np.lexsort((keys, bucket))
             ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -154,12 +160,12 @@ def unpack(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
     return k, np.frombuffer(counts, f"<u{len(counts) // max(len(k), 1) or 1}").astype(np.int64)
 
 
-def _totals(top: int):
+def _totals():
     """Per bucket: sums the counts of all blocks and answers each block with the sums of its keys. A sum of 1 is
     left out where only a text that is learned from has the key: the reader knows that it was seen, so it is 1.
 
     A key is found once for each block that has it, whatever its frequency, so buckets are even. A row of
-    block -1 has the bucket's sum, number of distinct keys, and its ``top`` most frequent keys.
+    block -1 has the bucket's sum and number of distinct keys.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,9 +179,6 @@ def _totals(top: int):
                 found = sums[own]
                 some = (found > 1) | ((found == 1) & (c & 1 == 1))
                 replies.append((block, k[some].tobytes(), packed(found[some])))
-            best = np.lexsort((distinct, -sums))[:top]
-            best = best[sums[best] > 0]
-            head = [(int(k), int(s)) for k, s in zip(distinct[best].view(np.int64), sums[best], strict=True)]
             empty = [None] * len(replies)
             return pa.RecordBatch.from_arrays(
                 [
@@ -184,9 +187,8 @@ def _totals(top: int):
                     pa.array([*[r[2] for r in replies], None], pa.binary()),
                     pa.array([*empty, int(sums.sum())], pa.int64()),
                     pa.array([*empty, int((sums > 0).sum())], pa.int64()),
-                    pa.array([*empty, [{"k": k, "c": c} for k, c in head]], pa.list_(pa.struct([("k", pa.int64()), ("c", pa.int64())]))),
                 ],
-                names=["block", "keys", "counts", "total", "distinct", "top"],
+                names=["block", "keys", "counts", "total", "distinct"],
             )
 
         last, blocks, keys, counts = None, [], [], []
@@ -203,16 +205,17 @@ def _totals(top: int):
         if blocks:
             yield answer(blocks, keys, counts)
 
-    return run, "block int, keys binary, counts binary, total long, distinct long, top array<struct<k:long,c:long>>"
+    return run, "block int, keys binary, counts binary, total long, distinct long"
 
 
 class Automaton:
     """A backoff automaton over a block's tokens.
 
-    A state is a frequent word. Its arcs are the words seen after it, with log10 probabilities; its failure arc
+    A state is a word, any or one of a given list. Its arcs are the words seen after it, with log10 probabilities; its failure arc
     leads to the root with a weight, where every word has its base probability, words never seen among them.
     With a count k of an arc, n of its state and r of the state's tokens without an arc of their own,
-    P(w | state) = (k + (strength + r) P(w)) / (n + strength): a Dirichlet prior around the base.
+    P(w | state) = (k + (strength + r) P(w)) / (n + strength): a Dirichlet prior around the base. Where every word
+    is a state, every token after one has an arc and r is 0.
     """
 
     def __init__(self, words, arcs, states, total: int, distinct: int, strength: float):
@@ -231,27 +234,29 @@ class Automaton:
         p = (c + 0.5) / (self.total + 0.5 * (self.distinct + 1))
         q = p.copy()
         # Every token after a state or a beginning: an arc, or the failure arc and the root's.
-        is_state = look_up(self.states, np.ones(len(self.states), bool), hashes)
-        is_state[0] = False
         before = np.empty_like(tokens)
         before[1:] = tokens[:-1]
         before[starts] = -1
-        after = np.flatnonzero((before < 0) | is_state[before])
+        after = np.arange(len(tokens))
+        if self.states is not None:
+            is_state = look_up(self.states, np.ones(len(self.states), bool), hashes)
+            is_state[0] = False
+            after = np.flatnonzero((before < 0) | is_state[before])
         kinds, at = np.unique(before[after], return_inverse=True)
         of_state = state_hash(hashes, kinds)
         n = np.where(kinds < 0, self.texts, look_up(*self.words, of_state))
-        own = look_up(*self.arcs, arc(of_state, np.full(len(kinds), TOTAL)))
+        own = None if self.states is None else look_up(*self.arcs, arc(of_state, np.full(len(kinds), TOTAL)))
         inside, state, word = found_arcs(tokens, starts, hashes, self.states)
         k = np.zeros(len(tokens), np.int64)
         k[inside] = np.maximum(look_up(*self.arcs, arc(state_hash(hashes, state), hashes[word])), learned[inside])
         n = np.maximum(n[at], learned[after])
-        rest = n - own[at]
+        rest = 0 if self.states is None else n - own[at]
         q[after] = (k[after] + (self.strength + rest) * p[after]) / (n + self.strength)
         add = lambda x: np.add.reduceat(x, starts)
         return add((c > 0).astype(np.int64)), add(np.log10(p)), add(np.log10(q))
 
 
-def _scoring(states: np.ndarray, total: int, distinct: int, strength: float, held: int = 400_000):
+def _scoring(total: int, distinct: int, strength: float, held: int = 400_000):
     def table(parts):
         if not parts:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -285,7 +290,7 @@ def _scoring(states: np.ndarray, total: int, distinct: int, strength: float, hel
                     tables[kind].append(unpack(keys.as_py(), counts.as_py()))
                     continue
                 if model is None:
-                    model = Automaton(table(tables[0]), table(tables[1]), states, total, distinct, strength)
+                    model = Automaton(table(tables[0]), table(tables[1]), None, total, distinct, strength)
                     tables = ([], [])
                 texts.append((doc.as_py(), learn.as_py(), reader(text.as_py())))
                 size += len(texts[-1][2])
@@ -315,16 +320,14 @@ def lm_scores(
     learn: Column,
     doc_id: str = "doc_id",
     text: str = "text",
-    max_states: int = 32_768,
     strength: float = 500.0,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_tokens, n_known, train_tokens, base_score, score``.
 
-    The model learns from the rows where ``learn`` holds. Words are counted first; the ``max_states`` most
-    frequent (ties by hash) and the beginning of a text are the states. Then their arcs are counted: every pair
-    of such words in the corpus. Neither table is ever in one place: tasks send packed counts to buckets of
-    keys, and each block of texts gets back the entries it needs, which is what a traversal of its texts can
-    touch. Only the states, a bounded list, are broadcast.
+    The model learns from the rows where ``learn`` holds. Every word and the beginning of a text are the states.
+    Words are counted first, then the arcs: every pair of neighbours in the corpus. Neither table is ever in one
+    place: tasks send packed counts to buckets of keys, and each block of texts gets back the entries it needs,
+    which is what a traversal of its texts can touch. Nothing is broadcast.
 
     ``docs`` must be a scan or another source whose partitions are the same each time, since blocks are its
     partitions. Null texts are empty: their one token is the end. Ids may be null or repeated; every row is a
@@ -337,33 +340,18 @@ def lm_scores(
         blocks = max(1, source.rdd.getNumPartitions())
         buckets = max(2 * blocks, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
-        def tally(states: np.ndarray | None, top: int) -> DataFrame:
-            run, schema = _counting(buckets, states)
+        def tally(arcs: bool) -> DataFrame:
+            run, schema = _counting(buckets, arcs)
             sent = source.select("text", "learn").mapInArrow(run, schema).repartition(buckets, "bucket").sortWithinPartitions("bucket")
-            return cut(sent.mapInArrow(*_totals(top)), "tally")
+            return cut(sent.mapInArrow(*_totals()), "tally")
 
-        words = tally(None, max_states)
+        words, arcs = tally(False), tally(True)
         sizes = words.where("block = -1").agg(F.sum("total").alias("n"), F.sum("distinct").alias("v")).first()
         total, distinct = sizes["n"] or 0, sizes["v"] or 0
-        top = words.where("block = -1").select(F.explode("top").alias("x")).select("x.k", "x.c")
-        # How many keys have a count: the driver learns the count down to which all are states.
-        least, left = None, max_states
-        for r in top.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).limit(max_states).toLocalIterator():
-            if r["n"] >= left:
-                least = r["c"]
-                break
-            left -= r["n"]
-        chosen = top.where(F.col("c") > (least or 0))
-        if least:
-            chosen = chosen.unionByName(top.where(F.col("c") == least).orderBy("k").limit(left))
-        states = np.array([r["k"] for r in chosen.collect()] + [int(BEGIN.view(np.int64))], np.int64).view(np.uint64)
-        # The end is the target of arcs; nothing follows it.
-        targets = np.unique(np.append(states, END))
-        arcs = tally(targets, 0)
         tables = [t.where("block >= 0").select("block", F.lit(kind).alias("kind"), "keys", "counts") for kind, t in enumerate((words, arcs))]
         texts = source.select(F.spark_partition_id().alias("block"), F.lit(2).alias("kind"), "doc_id", "text", "learn")
         every = texts.unionByName(tables[0].unionByName(tables[1]), allowMissingColumns=True)
         every = every.repartition(3 * blocks, "block").sortWithinPartitions("block", "kind")
-        run = _scoring(targets, total, distinct, strength)
+        run = _scoring(total, distinct, strength)
         scores = every.mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
         return cut(scores.withColumn("train_tokens", F.lit(total).cast("long")), "scores")

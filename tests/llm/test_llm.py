@@ -357,6 +357,20 @@ def test_lm_scores_given_table(spark, sf, documents):
     assert sum(r["score"] for r in unseen) > sum(r["base_score"] for r in unseen)
 
 
+def test_lm_every_pair_has_an_arc(spark):
+    from pyspark.sql import functions as F
+
+    # More words than any fixed vocabulary; the pair of rare words comes three times, and in a text to be scored.
+    many = [(i, " ".join(f"w{j} w{j}" for j in range(i * 100, i * 100 + 100)), True) for i in range(400)]
+    rows = [*many, *((1000 + i, "seldom said", True) for i in range(2)), (2000, "Seldom said again", True), (3000, "seldom said", False), (3001, "said unheard", False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learn boolean").repartition(4, "doc_id").localCheckpoint()
+    want = lm_by_hand(rows, len(rows) * 1000)
+    got = {r["doc_id"]: r for r in lm.lm_scores(docs, F.col("learn")).collect()}
+    assert got.keys() == want.keys()
+    for i, w in want.items():
+        assert math.isclose(got[i]["score"], w[4], rel_tol=1e-9) and got[i]["n_known"] == w[1]
+
+
 def test_lm_probabilities_sum_to_one():
     hashes = np.array([int(lm.END), 11, 12, 13, 99], np.uint64)
     words = np.sort(hashes[:4])
