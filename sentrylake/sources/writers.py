@@ -60,10 +60,16 @@ def _stored(spark: SparkSession, path: str, schema) -> DataFrame | None:
         return None
 
 
+def _matched(left: DataFrame, right: DataFrame, columns: tuple[str, ...], how: str) -> DataFrame:
+    """A semi or anti join where null equals null."""
+    right = right.select(*(F.col(c).alias(f"_{c}") for c in columns))
+    return left.join(right, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns], how)
+
+
 def merge(rows: DataFrame, path: str, key: tuple[str, ...], partitions: tuple[str, ...], **options: str) -> str:
     """Put rows into a stored table: rows of a known key replace the stored ones, all others stay.
 
-    ``rows`` has each key once. Only the partition folders that the rows fall into are read and replaced. The
+    ``rows`` has each key once. Nulls in a key or partition column are equal to each other. Only the partition folders that the rows fall into are read and replaced. The
     merged rows are written beside the table first, so a table is never read while it is replaced.
     """
     spark = rows.sparkSession
@@ -72,7 +78,7 @@ def merge(rows: DataFrame, path: str, key: tuple[str, ...], partitions: tuple[st
         return _write(rows, path, *partitions, **options)
     rows = materialize(rows, "arrived")
     touched = rows.select(*partitions).distinct()
-    kept = stored.join(touched, list(partitions), "left_semi").join(rows.select(*key), list(key), "left_anti")
+    kept = _matched(_matched(stored, touched, partitions, "left_semi"), rows.select(*key), key, "left_anti")
     merged = materialize(kept.select(rows.columns).unionByName(rows), "merged")
     return _write(merged, path, *partitions, partitionOverwriteMode="dynamic", **options)
 
@@ -83,6 +89,8 @@ def _key_folder(*key: str) -> Column:
 
 def upsert_events(rows: DataFrame, path: str, *arrival: Column | str) -> str:
     """Store events by type and day; a later copy of a key replaces an earlier one, in these rows or stored."""
+    # An empty type has the folder of null, and is read back as null.
+    rows = rows.withColumn("event_type", F.nullif("event_type", F.lit("")))
     kept = latest_per_key(rows, EVENT_KEY, *arrival).withColumn("event_date", _event_date())
     return merge(kept, path, EVENT_KEY, ("event_type", "event_date"), **_ID_BLOOM)
 

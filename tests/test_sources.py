@@ -120,3 +120,22 @@ def test_writes_merge_into_the_stored_table(spark, events_of):
     assert writers.delete_expired(spark, path, cut_off + 1) == 5
     assert sorted(r.ts_ms for r in spark.read.parquet(path).collect()) == [make_event(i)[2] for i in (4, 5, 40)]
     assert writers.delete_expired(spark, path, cut_off + 1) == 0
+
+
+def test_merges_keep_stored_rows_without_type_or_time(spark, events_of):
+    def of(i, kind="auth_attempt", timed=True, score=0.1):
+        row = list(make_event(i, kind=kind, score=score))
+        return tuple(row if timed else [row[0], None, None, *row[3:]])
+
+    first = [of(0), of(1, kind=None), of(2, kind=""), of(3, timed=False), of(4, kind=None, timed=False)]
+    # Known keys with a null come again, beside a new event of each of their folders.
+    again = [of(1, kind=None, score=0.9), of(3, timed=False, score=0.8), of(4, kind=None, timed=False, score=0.7)]
+    again += [of(5, timed=False), of(6, kind=None, timed=False), ("evt_other", *of(2, kind="")[1:])]
+    for write, want in ((writers.upsert_events, 8), (writers.write_anomalies, 8)):
+        path = scratch_path(spark, "nulls")
+        write(events_of(first), path, "threat_score")
+        write(events_of(again), path, "threat_score")
+        rows = spark.read.parquet(path).collect()
+        stored = {r.event_id: r.threat_score for r in rows}
+        assert len(rows) == len(stored) == want
+        assert [stored[of(i)[0]] for i in range(7)] == [0.1, 0.9, 0.1, 0.8, 0.7, 0.1, 0.1]
