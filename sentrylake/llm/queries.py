@@ -18,6 +18,7 @@ from sentrylake.llm.quality import BOILERPLATE, NAVIGATION, SYMBOLS, quality_rul
 from sentrylake.llm.tokencounts import token_counts
 from sentrylake.llm.tokens import vocabulary_path
 from sentrylake.llm.toxicity import toxicity_scores
+from sentrylake.llm.urls import url_verdicts
 from sentrylake.llm.vectors import near_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,3 +125,27 @@ def op6_embedding_near_dedup(spark, d):
 @query
 def op3_html_main_text(spark, d):
     return main_text(table(spark, d, "pages"))
+
+
+# The rules of the contract.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+_RULE_VALUES = ", ".join(str(r) for r in URL_RULES)
+ORACLES["op13_url_filters"] = rf"""WITH r(verdict, h, p) AS (VALUES {_RULE_VALUES}),
+a AS (SELECT page_id, row_number() OVER () AS i, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+u AS (SELECT page_id, i, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM a),
+f AS (SELECT i, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict FROM u JOIN r
+  ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY i)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN f USING (i)"""
+
+
+@query
+def op13_url_filters(spark, d):
+    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    return url_verdicts(table(spark, d, "pages"), rules)
