@@ -18,6 +18,7 @@ from sentrylake.llm.quality import BOILERPLATE, NAVIGATION, SYMBOLS, quality_rul
 from sentrylake.llm.tokencounts import token_counts
 from sentrylake.llm.tokens import vocabulary_path
 from sentrylake.llm.toxicity import toxicity_scores
+from sentrylake.llm.trie import conversation_trie
 from sentrylake.llm.urls import url_verdicts
 from sentrylake.llm.vectors import near_vectors
 
@@ -149,3 +150,29 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u L
 def op13_url_filters(spark, d):
     rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
     return url_verdicts(table(spark, d, "pages"), rules)
+
+
+# CRC-32 bit by bit, rebuilt conversations, every prefix as a list, and a node's subtree as the prefixes that start with it.
+ORACLES["op11_prefix_trie"] = """WITH RECURSIVE o AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5('t' || length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i,
+    {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS t FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list(t ORDER BY i) AS own FROM o GROUP BY conv_id),
+crc(conv_id, s, i, r) AS (SELECT conv_id, conv_id::VARCHAR, 0, 4294967295::BIGINT FROM c
+  UNION ALL SELECT conv_id, s, i + 1, list_reduce([xor(r, ord(s[i + 1])), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x // 2, (x % 2) * 3988292384))
+  FROM crc WHERE i < length(s)),
+h AS (SELECT conv_id, (4294967295 - r) % 6 AS h FROM crc WHERE i = length(s)),
+b AS (SELECT c.conv_id, coalesce(list_slice(f.own, 1, h), []) || list_slice(c.own, h + 1, len(c.own)) AS seq
+  FROM c JOIN h USING (conv_id) LEFT JOIN c f ON f.conv_id = c.conv_id - c.conv_id % 100),
+p AS (SELECT conv_id, d, list_slice(seq, 1, d) AS k, d = len(seq) AS ends FROM b, unnest(range(0, len(seq) + 1)) AS u(d)),
+n AS (SELECT k, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+  sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256 FROM p GROUP BY k),
+ch AS (SELECT list_slice(k, 1, depth - 1) AS k, count(*) AS n FROM n WHERE depth > 0 GROUP BY 1),
+v AS (SELECT n.*, coalesce(ch.n, 0) AS n_children, CASE WHEN depth > 0 THEN (n_convs - 1) * length(n.k[depth].text) ELSE 0 END AS saved FROM n LEFT JOIN ch ON ch.k = n.k),
+s AS (SELECT list_slice(k, 1, a) AS k, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM v, unnest(range(0, depth + 1)) AS u(a) GROUP BY 1)
+SELECT v.conv_id, v.depth, q.conv_id AS parent_conv_id, v.n_convs::BIGINT AS n_convs, v.n_children, n_leaves, saved_tokens, v.ends_sha256
+FROM v JOIN s ON s.k = v.k LEFT JOIN v q ON v.depth > 0 AND q.k = list_slice(v.k, 1, v.depth - 1)"""
+
+
+@query
+def op11_prefix_trie(spark, d):
+    return conversation_trie(table(spark, d, "conversations"))
