@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sentrylake.llm.alignment import tokenizer_alignment
 from sentrylake.llm.common import table
 from sentrylake.llm.html import main_text
 from sentrylake.llm.linededup import line_dedup
@@ -176,3 +177,8 @@ FROM v JOIN s ON s.k = v.k LEFT JOIN v q ON v.depth > 0 AND q.k = list_slice(v.k
 @query
 def op11_prefix_trie(spark, d):
     return conversation_trie(table(spark, d, "conversations"))
+
+
+@query
+def op12_tokenizer_alignment(spark, d):
+    return tokenizer_alignment(table(spark, d, "documents"), vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model"))
