@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from sentrylake.session import checkpoint_root, materialize
+from sentrylake.session import materialize
 
 # White space as the contracts have it: the blank and the characters 9 to 13.
 SPACE = "[\\x20\\x09-\\x0D]+"
@@ -31,9 +31,25 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
-def shared_checkpoint(df: DataFrame) -> DataFrame:
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint()
+def watched(df: DataFrame, name: str, *metrics: Column) -> tuple[DataFrame, dict]:
+    """``cut`` with metrics of the rows, counted by the job that writes them."""
+    seen = Observation()
+    df = cut(df.observe(seen, *metrics), name)
+    return df, seen.get
+
+
+def roots(parents: DataFrame) -> DataFrame:
+    """``node, component`` of a forest given as ``node, parent`` with one row per node that has a parent.
+
+    Each round links every node to its parent's parent, so it takes as many rounds as the depth has binary digits.
+    """
+    while True:
+        above = parents.select(F.col("node").alias("parent"), F.col("parent").alias("above")).hint("merge")
+        step = parents.join(above, "parent", "left").select("node", F.coalesce("above", "parent").alias("parent"), "above")
+        step, seen = watched(step, "roots", F.count("above").alias("moved"))
+        parents = step.drop("above")
+        if not seen["moved"]:
+            return parents.withColumnRenamed("parent", "component")
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -51,21 +67,19 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # Large star: both directions; every larger neighbour goes to the smallest of the neighbourhood.
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(low.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: each node's smallest neighbour takes the node and its other smaller neighbours.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        rest = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        rest = large.join(low.hint("merge"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         return rest.unionAll(low.select("u", F.col("m").alias("v"))).distinct()
 
     mark = None
     while True:
-        edges = cut(stars(edges), "links")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        digest = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("digest")
+        edges, state = watched(stars(edges), "links", F.count(F.lit(1)).alias("n"), digest)
         if state == mark:
             break
         mark = state
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.unionAll(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
-
-__all__ = ["SPACE", "SPACES", "DataFrame", "SparkSession", "components", "cut", "let", "shared_checkpoint", "table", "words"]

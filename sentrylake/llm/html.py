@@ -362,20 +362,21 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
     # The ids are picked first, so tasks send short rows; there are train_pages of them.
     ids = source.where("html IS NOT NULL").select(F.xxhash64("page_id").alias("_pick")).distinct().orderBy("_pick").limit(train_pages)
     sample = source.where("html IS NOT NULL").join(F.broadcast(ids), F.xxhash64("page_id") == F.col("_pick"))
-    sample = sample.select("html").limit(train_pages)
+    sample = sample.orderBy(F.xxhash64("page_id"), F.xxhash64("html")).select("html").limit(train_pages)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = learn_labeller([h.as_py() for b in batches for h in b["html"]])
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model.p)], pa.binary())], names=["model"])
 
     # One task fits the model to the sample, of at most train_pages pages.
-    fitted = Labeller(PATH_DIMS + WORD_DIMS + DENSE)
-    for row in sample.coalesce(1).mapInArrow(learn, "model binary").collect():
-        fitted.p = pickle.loads(row["model"])
-    model = spark.sparkContext.broadcast(fitted)
+    fitted = Labeller(PATH_DIMS + WORD_DIMS + DENSE).p
+    for row in sample.mapInArrow(learn, "model binary").collect():
+        fitted = pickle.loads(row["model"])
+    model = spark.sparkContext.broadcast(fitted)  # plain arrays: broadcasts name classes instead of sending them
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller, features = model.value, Features()
+        labeller, features = Labeller(PATH_DIMS + WORD_DIMS + DENSE), Features()
+        labeller.p = model.value
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentrylake.llm.common import components, cut
+from sentrylake.llm.common import components, cut, roots
 
 _A, _B, _C = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 # Ends of the rank ranges in which darts are thrown; the same for all sets.
@@ -192,7 +192,35 @@ def _differing(x: Column, y: Column) -> Column:
     return F.bit_count(d.bitwiseAND(F.lit(0x1111111111111111)))
 
 
-def near_duplicates(
+def _wide_sketches(texts: DataFrame, shingle: int, counted: bool, width: int) -> DataFrame:
+    """Sketches of ``width`` coordinates, four bits each, of the texts that narrow ones leave open: ``node, wide``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        inner = _signatures(1, 16, width - 16, shingle, counted, sets_held=16)
+        for batch in batches:
+            named = pa.RecordBatch.from_arrays([batch["node"], pa.nulls(batch.num_rows, pa.string()), batch["text"]], names=["id", "m", "text"])
+            for out in inner(iter([named])):
+                yield pa.RecordBatch.from_arrays([out["id"], out["sketch"]], names=["node", "wide"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, wide array<long>")
+
+
+def _most_differing(k: int, threshold: float) -> int:
+    """Two sets at the threshold differ in more of ``k`` coordinates of four bits with a probability of about 3e-6."""
+    return int((1 - threshold) * 15 / 16 * k + 4.5 * (k * threshold * (1 - threshold)) ** 0.5)
+
+
+# Ids made from texts, for rows that have none or share one with another text: above all real ids.
+MADE_ID = 1 << 62
+# Rows of a band and size that one task compares with those of another group.
+SPLIT_ROWS = 4_096
+
+
+def made_id(text: Column) -> Column:
+    return F.xxhash64(text).bitwiseAND(F.lit(MADE_ID - 1)).bitwiseOR(F.lit(MADE_ID))
+
+
+def near_groups(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
@@ -204,39 +232,32 @@ def near_duplicates(
     counted: bool = False,
     turns: int = 1,
     offers: int = 4,
+    wide: int = 1024,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``class_id`` (smallest id of its group), ``kept``.
+    """The groups of :func:`near_duplicates` by distinct text: ``m`` (MD5), ``first`` (smallest id), ``node``, ``component``.
 
-    Documents are linked if their sets of ``shingle``-word windows (with ``counted``: the windows' counts)
-    have a Jaccard similarity of ``threshold`` or more; a group is what links reach. A pair at 0.8 shares one
-    of 32 bands of 4 coordinates with probability 1 - 5e-8. Exact copies are one node from the start.
-    Each node is first checked against one leader it shares bands with, and in ``turns`` more turns against the
-    closest of some members of the groups it meets. Within a band, links are then sought only between nodes that
-    are not in one group yet, by sketches, and checked on whole texts. So a large
-    group of near copies costs about one check for each member, and no link between groups is lost.
-
-    Null and empty texts are copies of each other. Rows that share an id are one document; a null id is
-    replaced by a hash of the text within the work and ``class_id`` is null where only such rows are in a
-    group. An empty table gives an empty one; columns of other names are not read.
+    A text's node is its smallest id, or a number made from the text if it has none or another text has that id too; a
+    component is its smallest node.
     """
     k = bands * rows + extra
-    # Two sets at the threshold differ in more coordinates of their sketches with a probability of about 3e-6.
-    most = int((1 - threshold) * 15 / 16 * k + 4.5 * (k * threshold * (1 - threshold)) ** 0.5)
+    most, most_wide = _most_differing(k, threshold), _most_differing(wide, threshold)
     key = F.coalesce(F.col(text), F.lit(""))
-    own = F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(key).bitwiseOR(F.lit(-(2**63))))
-    source = docs.select(own.alias("id"), F.md5(key).alias("m"), key.alias("text"), F.col(doc_id).isNull().alias("anonymous"))
-    sigs = source.select("id", "m", "text").mapInArrow(
-        _signatures(bands, rows, extra, shingle, counted), "id long, m string, n long, bands array<long>, sketch array<long>"
-    )
+    source = docs.select(F.col(doc_id).cast("long").alias("id"), F.md5(key).alias("m"), key.alias("text"))
+    sigs = source.mapInArrow(_signatures(bands, rows, extra, shingle, counted), "id long, m string, n long, bands array<long>, sketch array<long>")
     sigs = cut(sigs, "signatures")
-    classes = cut(sigs.groupBy("m").agg(F.min("id").alias("node")), "classes")
-    reps = sigs.join(classes.select("m", F.col("node").alias("id")), ["m", "id"]).dropDuplicates(["id", "m"])
-    reps = cut(reps.withColumnRenamed("id", "node"), "nodes")
+    firsts = sigs.groupBy("m").agg(F.min("id").alias("first"))
+    # Of several texts with one smallest id one has it as its node.
+    shared = firsts.groupBy("first").agg(F.min("m").alias("holder"), F.count("*").alias("n")).where("first IS NOT NULL AND n > 1")
+    classes = firsts.join(shared.hint("merge"), "first", "left")
+    own = F.when(F.col("first").isNotNull() & (F.col("holder").isNull() | (F.col("m") == F.col("holder"))), F.col("first"))
+    classes = cut(classes.select("m", "first", F.coalesce(own, made_id(F.col("m"))).alias("node")), "classes")
+    reps = sigs.groupBy("m").agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    reps = cut(reps.join(classes.select("m", "node").hint("merge"), "m"), "nodes")
 
     # Bands with two nodes or more.
     banded = reps.select("node", F.posexplode("bands").alias("pos", "band"))
     buckets = banded.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("_last")).where("leader < _last")
-    members = cut(banded.join(buckets.drop("_last"), "band"), "members")
+    members = cut(banded.join(buckets.drop("_last").hint("merge"), "band"), "members")
     sketches = reps.select("node", "n", *[F.col("sketch")[j].alias(f"s{j}") for j in range(k // 16)])
     marks = [f"s{j}" for j in range(k // 16)]
 
@@ -249,64 +270,119 @@ def near_duplicates(
         return (differ <= most) & sizes
 
     near = members.select("node").distinct()
-    joined = source.select("id", "text").join(near.withColumnRenamed("node", "id"), "id").dropDuplicates(["id"])
-    texts = cut(joined.withColumnRenamed("id", "node"), "texts")
+    wanted = reps.select("m", "node").join(near.hint("merge"), "node")
+    texts = source.select("m", "text").join(wanted.hint("merge"), "m").groupBy("node").agg(F.first("text").alias("text"))
+    texts = cut(texts, "texts")
 
     def closest(offered: DataFrame) -> DataFrame:
         """Of pairs ``node, leader`` the closest by their sketches for each node, if it may be linked: ``a, b``."""
-        both = offered.join(sketches, "node").join(side("_l").withColumnRenamed("node_l", "leader"), "leader")
+        both = offered.join(sketches.hint("merge"), "node").join(side("_l").withColumnRenamed("node_l", "leader").hint("merge"), "leader")
         differ = sum((_differing(F.col(c), F.col(c + "_l")) for c in marks), F.lit(0))
         best = both.where(close("", "_l")).groupBy("node").agg(F.min_by("leader", F.struct(differ, F.col("leader"))).alias("b"))
         return best.withColumnRenamed("node", "a")
 
-    # One leader each: the closest of those it shares a band with.
+    # One leader each: the closest of those it shares a band with. A leader is smaller, so these links are a forest.
     stars = closest(members.where("node <> leader").select("node", "leader").distinct())
-    links = cut(_verified(stars, texts, shingle, counted, threshold), "links")
-    groups = cut(components(links), "groups")
-
-    def mixed_bands() -> tuple[DataFrame, DataFrame]:
+    found = _verified(stars, texts, shingle, counted, threshold).toDF("node", "parent")
+    groups = near.join(roots(found).hint("merge"), "node", "left")
+    groups = cut(groups.select("node", F.coalesce("component", "node").alias("component")), "groups")
+
+    def merged(groups: DataFrame, links: DataFrame) -> DataFrame:
+        """Groups that the links ``a, b`` join: components are sought among groups, not among nodes."""
+        of_a = groups.select(F.col("node").alias("a"), F.col("component").alias("u")).hint("merge")
+        of_b = groups.select(F.col("node").alias("b"), F.col("component").alias("v")).hint("merge")
+        between = links.join(of_a, "a").join(of_b, "b").where("u <> v").select("u", "v").distinct()
+        new = components(between, "u", "v").toDF("component", "_new").hint("merge")
+        return cut(groups.join(new, "component", "left").select("node", F.coalesce("_new", "component").alias("component")), "groups")
+
+    def mixed_bands(groups: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Members of bands that still hold more than one group, and each such band's most frequent group."""
-        here = members.select("band", "pos", "node").join(groups, "node", "left")
-        here = here.select("band", "pos", "node", F.coalesce("component", "node").alias("group"))
-        mixed = here.groupBy("band").agg(F.min("group").alias("_a"), F.max("group").alias("_b")).where("_a < _b").select("band")
-        here = cut(here.join(mixed, "band"), "mixed")
-        top = here.groupBy("band", "group").count().groupBy("band").agg(F.max_by("group", F.struct("count", "group")).alias("top"))
-        return here, cut(top, "tops")
+        here = members.select("band", "pos", "node").join(groups.withColumnRenamed("component", "group").hint("merge"), "node")
+        counts = here.groupBy("band", "group").count()
+        top = counts.groupBy("band").agg(F.max_by("group", F.struct("count", "group")).alias("top"), F.count("*").alias("_n")).where("_n > 1")
+        top = cut(top.drop("_n"), "tops")
+        return cut(here.join(top.hint("merge"), "band"), "mixed"), top
 
     # In a large group many are near to some, but not to one leader. So a few members of each band's largest group,
     # other ones each time, are offered to the nodes outside it, and each node is checked against the closest.
     for turn in range(turns):
-        here, top = mixed_bands()
+        here, _ = mixed_bands(groups)
         picks = [F.min_by("node", F.xxhash64("node", F.lit(turn), F.lit(j))) for j in range(offers)]
-        picked = here.join(top, "band").where("group = top").groupBy("band").agg(F.array(*picks).alias("reps"))
-        offered = here.join(top, "band").where("group <> top").join(picked, "band")
+        picked = here.where("group = top").groupBy("band").agg(F.array(*picks).alias("reps"))
+        offered = here.where("group <> top").join(picked.hint("merge"), "band")
         offered = offered.select("node", F.explode("reps").alias("leader")).distinct()
-        links = links.unionAll(cut(_verified(closest(offered), texts, shingle, counted, threshold), "links"))
-        groups = cut(components(links), "groups")
-
-    # What is left: all of one group but the most frequent against the rest of the band.
-    here, top = mixed_bands()
+        groups = merged(groups, _verified(closest(offered), texts, shingle, counted, threshold))
+
+    # What is left: all of one group but the most frequent against the rest of the band. Groups whose members are alike
+    # but not near enough would leave many pairs open, so these texts get wider sketches.
+    here, _ = mixed_bands(groups)
+    left = here.select("node").distinct()
+    wider = _wide_sketches(texts.join(left.hint("merge"), "node"), shingle, counted, wide)
+    wider = cut(wider.join(reps.select("node", "n", "bands", *[F.col("sketch")[j].alias(f"s{j}") for j in range(k // 16)]).hint("merge"), "node"), "wide")
     # Sizes of linked sets differ by less than one class of this width, so neighbouring classes do.
     width = float(np.log(1 / threshold) + 1e-9)
-    here = here.join(sketches.join(reps.select("node", "bands"), "node"), "node").withColumn("size", F.floor(F.log(F.col("n") + F.lit(1e-9)) / width))
-    few = here.join(top, "band").where("group <> top")
+    here = here.join(wider.hint("merge"), "node").withColumn("size", F.floor(F.log(F.col("n") + F.lit(1e-9)) / width))
+    # A hot band is split into parts that each meet all nodes outside its most frequent group.
+    hottest = here.groupBy("band", "size").count().agg(F.max("count")).first()[0]
+    parts = -(-(hottest or 1) // SPLIT_ROWS)
+    few = here.where("group <> top")
     few = few.withColumn("size", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)))
-    few = few.select("band", "size", "top", *[F.col(c).alias(c + "_x") for c in ["node", "group", "n", "bands", *marks]])
+    few = few.select("band", "size", "top", *[F.col(c).alias(c + "_x") for c in ["node", "group", "n", "bands", "wide", *marks]])
+    few = few.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    rest = here.drop("top").withColumn("part", F.pmod(F.hash("node"), F.lit(parts)))
     both_few = (F.col("group") == F.col("top")) | (F.col("node") > F.col("node_x"))
     # A pair that shares several bands is made in the first of them.
     first = F.lit(True)
     for j in range(bands - 1):
         first = first & ((F.col("pos") <= j) | (F.col("bands")[j] != F.col("bands_x")[j]))
-    pairs = few.join(here, ["band", "size"]).where((F.col("group") != F.col("group_x")) & both_few & close("", "_x") & first)
-    pairs = pairs.select(F.least("node", "node_x").alias("a"), F.greatest("node", "node_x").alias("b")).distinct()
-    more = _verified(cut(pairs, "pairs"), texts, shingle, counted, threshold)
-    groups = cut(components(links.unionAll(cut(more, "links"))), "groups")
-
-    out = source.select("id", "m", "anonymous").join(classes, "m").join(groups, "node", "left")
-    out = out.select("id", "anonymous", F.coalesce("component", "node").alias("class_id"))
-    # A negative id may be real; only a row without an id is shown as null.
-    return out.select(
-        F.when(~F.col("anonymous"), F.col("id")).alias("doc_id"),
-        F.when(~F.col("anonymous") | (F.col("class_id") != F.col("id")), F.col("class_id")).alias("class_id"),
-        (F.col("id") == F.col("class_id")).alias("kept"),
+    differ = F.aggregate(F.zip_with("wide", "wide_x", _differing), F.lit(0), lambda a, b: a + b)
+    alike = (F.col("group") != F.col("group_x")) & both_few & close("", "_x") & first & (differ <= most_wide)
+    pairs = few.join(rest.hint("merge"), ["band", "size", "part"]).where(alike)
+    pairs = cut(pairs.select(F.least("node", "node_x").alias("a"), F.greatest("node", "node_x").alias("b")).distinct(), "pairs")
+    groups = merged(groups, _verified(pairs, texts, shingle, counted, threshold))
+    return classes.join(groups.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id``, ``class_id`` (smallest id of its group), ``kept``.
+
+    Documents are linked if their sets of five-word windows (``shingle``; with ``counted``: the windows' counts)
+    have a Jaccard similarity of 0.8 (``threshold``) or more; a group is what links reach. ``options`` are those of
+    :func:`near_groups`. A pair at 0.8 shares one of 32 bands of 4 coordinates with probability 1 - 5e-8. Exact copies
+    are one node from the start. Each node is first checked against the closest of the leaders (smallest nodes) that it
+    shares bands with, and in ``turns`` more turns against the closest of some members of the groups it meets. Within a
+    band, links are then sought only between nodes that are not in one group yet, by sketches, and checked on whole
+    texts. So a large group of near copies costs about one check for each member, and no link between groups is lost.
+    Equally close leaders: the smaller. Texts of any length are compared whole.
+
+    Null and empty texts are copies of each other. Rows that share an id but not the text are documents of their own;
+    their groups may have the same ``class_id``. A row without an id has a ``class_id`` only if a row with one is in its
+    group. ``kept`` rows hold the text that stands for the group, in as many rows as the table repeats it under the
+    same id; of a group without ids all rows of that text are kept. An empty table gives an empty one; columns of other
+    names are not read.
+    """
+    classes = near_groups(docs, doc_id, text, **options)
+    # A text with a made node may have a smaller id than its group's other nodes.
+    made = classes.where(F.col("node") >= MADE_ID).groupBy("component").agg(F.min("first").alias("_least"))
+    classes = classes.join(made.hint("merge"), "component", "left")
+    classes = classes.select(
+        "m",
+        F.least(F.when(F.col("component") < MADE_ID, F.col("component")), "_least").alias("class_id"),
+        F.when(F.col("node") == F.col("component"), F.struct("first")).alias("_stands"),
     )
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("m"))
+    kept = F.col("_stands").isNotNull() & F.col("doc_id").eqNullSafe(F.col("_stands.first"))
+    return rows.join(classes, "m").select("doc_id", "class_id", kept.alias("kept"))
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that stand for their near-duplicate group, one for each group, with all columns.
+
+    Which one of several rows with the same id and text stays is left open where they differ in other columns only.
+    """
+    classes = near_groups(docs, doc_id, text, **options)
+    stands = classes.where("node = component").select(F.col("m").alias("_m"), F.col("first").alias("_first"))
+    key = F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), key.alias("_m"), F.col(f"`{doc_id}`").cast("long").alias("_id"))
+    row = row.join(stands.hint("merge"), "_m").where(F.col("_id").eqNullSafe(F.col("_first")))
+    return row.groupBy("_m").agg(F.first("_row").alias("_row")).select("_row.*")

@@ -289,10 +289,13 @@ def toxicity_scores(
     lexicon, trees = learn(sample)
     weights = {t: lexicon.weight(t) for t in lexicon.toxic}
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast((lexicon, weights, trees))
+    # Plain values: broadcasts name classes instead of sending them.
+    fields = lambda x: x and {f: getattr(x, f) for f in x.__dataclass_fields__}
+    model = spark.sparkContext.broadcast((fields(lexicon), weights, fields(trees)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, weights, trees = model.value
+        parts, weights, grown = model.value
+        lexicon, trees = Lexicon(**parts), grown and Trees(**grown)
         for batch in batches:
             cells = batch.column(batch.schema.get_field_index("_text")).to_pylist()
             if trees is None or not cells:
