@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sentrylake.llm.common import cut, table
 from sentrylake.llm.linededup import line_dedup
-from sentrylake.llm.minhash import near_duplicates
+from sentrylake.llm.minhash import one_of_each
 from sentrylake.llm.packing import pack_documents
 from sentrylake.llm.quality import quality_rules
 from sentrylake.llm.tokens import vocabulary_path
@@ -38,14 +38,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, and one row of each document.
-
-    Rows without an id are told apart by their texts.
-    """
-    own = F.coalesce("doc_id", F.xxhash64("text").bitwiseOR(F.lit(-(2**63))))
-    named = docs.withColumn("_id", own)
-    kept = near_duplicates(named, doc_id="_id").where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return named.join(kept, "_id", "left_semi").dropDuplicates(["_id"]).select(docs.columns)
+    """One document of each near-duplicate group. Rows that share an id but not the text are documents of their own."""
+    return one_of_each(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
