@@ -265,16 +265,17 @@ def _(spark, d):
 
 @query(
     "write_embeddings",
+    # Doubling a float and cutting its product with a power of two are exact, so nothing is rounded.
     """SELECT vec_id, len(embedding) AS dims, array_to_string([
-    CAST(CAST(round(CAST(x AS DOUBLE) * CASE WHEN vec_id % 10 >= 4 THEN 2 ELSE 1 END * 1e6) AS BIGINT) AS VARCHAR) FOR x IN embedding], ' ') AS micros FROM embeddings""",
+    CAST(CAST(trunc(CAST(x AS DOUBLE) * CASE WHEN vec_id % 10 >= 4 THEN 2 ELSE 1 END * 1099511627776) AS BIGINT) AS VARCHAR) FOR x IN embedding], ' ') AS parts FROM embeddings""",
 )
 def _(spark, d):
     rows, path = fixtures.table(spark, d, "embeddings"), scratch_path(spark, "vectors")
     writers.write_embeddings(rows.where("vec_id % 10 <= 6"), path, "vec_id", "label")
     again = rows.where("vec_id % 10 >= 4").withColumn("embedding", F.transform("embedding", lambda x: x * F.lit(2.0).cast("float")))
     writers.write_embeddings(again, path, "vec_id", "label")
-    micros = F.transform("embedding", lambda x: F.rint(x.cast("double") * 1e6).cast("bigint").cast("string"))
-    return spark.read.parquet(path).select("vec_id", F.size("embedding").alias("dims"), F.array_join(micros, " ").alias("micros"))
+    parts = F.transform("embedding", lambda x: (x.cast("double") * F.lit(1099511627776.0)).cast("bigint").cast("string"))
+    return spark.read.parquet(path).select("vec_id", F.size("embedding").alias("dims"), F.array_join(parts, " ").alias("parts"))
 
 
 @query("write_training_data", f"WITH {o.EV}, {o.LABELLED} SELECT {B} FROM lb")

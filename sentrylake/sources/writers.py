@@ -1,15 +1,20 @@
-"""Result tables: upserts by key, partitioned layouts, and the topic sink."""
+"""Result tables: upserts by key, partitioned layouts, and the topic sink.
+
+A change to a stored table is written beside it first, then named in a marker (``<table>.pending``), then carried out;
+the marker goes last. A change that was broken off is carried out again by the next one, or by ``read_stored``.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from sentrylake.session import materialize
-
+from sentrylake.session import materialize, scratch_path
 from sentrylake.sources.parse import serialize_event_json
 
 # Keys under which a later row replaces an earlier one.
@@ -22,8 +27,9 @@ def latest_per_key(rows: DataFrame, key: tuple[str, ...], *arrival: Column | str
     """The last row of each key by ``arrival``.
 
     The rank limit is applied in every task before the shuffle, so however many copies a key has,
-    each task sends at most one of them.
+    each task sends at most one of them. Without ``arrival`` the copy with the greatest JSON text stays.
     """
+    arrival = arrival or (F.to_json(F.struct(*(F.col(f"`{c}`") for c in rows.columns))),)
     order = [F.desc(a) if isinstance(a, str) else a.desc() for a in arrival]
     ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
     return ranked.where("_rank = 1").drop("_rank")
@@ -47,17 +53,74 @@ def _write(rows: DataFrame, path: str, *partitions: str, mode: str = "overwrite"
 _ID_BLOOM = {"parquet.bloom.filter.enabled#event_id": "true"}
 
 
-# Tables without a day are spread over this many folders by their key.
-KEY_FOLDERS = 16
+# A table without a day is spread by its key over a power of two of folders, of up to this many rows each.
+FOLDER_ROWS = 250_000
+FEWEST_FOLDERS = 16
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def _put_note(spark: SparkSession, path: str, note: dict) -> None:
+    files, at = _files(spark, path)
+    out = files.create(at, True)
+    out.write(bytearray(json.dumps(note).encode()))
+    out.close()
+
+
+def _note(spark: SparkSession, path: str) -> dict | None:
+    files, at = _files(spark, path)
+    if not files.exists(at):
+        return None
+    text = spark.read.text(path, wholetext=True).first()
+    return json.loads(text[0]) if text and text[0] else None
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    files, at = _files(spark, path)
+    files.delete(at, True)
+
 
+def finish(spark: SparkSession, path: str) -> None:
+    """Carry out the change that the table's marker names, if there is one; doing so twice changes nothing."""
+    note = _note(spark, f"{path}.pending")
+    if note is None:
+        return
+    staged = spark.read.schema(StructType.fromJson(note["schema"])).parquet(note["staged"])
+    how = {} if note["whole"] else {"partitionOverwriteMode": "dynamic"}
+    _write(staged, path, *note["partitions"], **how, **note["options"])
+    for folder in note["drop"]:
+        _remove(spark, f"{path}/{folder}")
+    if note["folders"]:
+        _put_note(spark, f"{path}.layout", {"folders": note["folders"]})
+    _remove(spark, f"{path}.pending")
 
-def _stored(spark: SparkSession, path: str, schema) -> DataFrame | None:
+
+def _change(rows: DataFrame, path: str, partitions: tuple[str, ...], options: dict, whole=False, drop=(), folders=None) -> str:
+    """Replace the folders of ``rows`` (or the whole table) and drop others, so that it can be taken up again."""
+    spark = rows.sparkSession
+    staged = scratch_path(spark, "staged")
+    rows.write.parquet(staged)
+    note = {"staged": staged, "schema": json.loads(rows.schema.json()), "partitions": partitions, "options": options}
+    _put_note(spark, f"{path}.pending", note | {"whole": whole, "drop": list(drop), "folders": folders})
+    finish(spark, path)
+    return path
+
+
+def read_stored(spark: SparkSession, path: str, types: dict[str, str] | None = None) -> DataFrame | None:
+    """A stored table with the columns of all its files, None if there is none; ``types`` gives those of folder columns."""
+    finish(spark, path)
     try:
-        return spark.read.schema(schema).parquet(path)
+        schema = spark.read.option("mergeSchema", "true").parquet(path).schema
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
+        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
         return None
+    fields = ", ".join(f"`{f.name}` {(types or {}).get(f.name, f.dataType.simpleString())}" for f in schema.fields)
+    return spark.read.schema(fields).parquet(path)
 
 
 def _matched(left: DataFrame, right: DataFrame, columns: tuple[str, ...], how: str) -> DataFrame:
@@ -69,22 +132,50 @@ def _matched(left: DataFrame, right: DataFrame, columns: tuple[str, ...], how: s
 def merge(rows: DataFrame, path: str, key: tuple[str, ...], partitions: tuple[str, ...], **options: str) -> str:
     """Put rows into a stored table: rows of a known key replace the stored ones, all others stay.
 
-    ``rows`` has each key once. Nulls in a key or partition column are equal to each other. Only the partition folders that the rows fall into are read and replaced. The
-    merged rows are written beside the table first, so a table is never read while it is replaced.
+    ``rows`` has each key once. Nulls in a key or partition column are equal to each other. The table has the columns
+    of both, null where a row has none; a column whose type changes is refused. Only the partition folders that the
+    rows fall into are read and replaced.
     """
     spark = rows.sparkSession
-    stored = _stored(spark, path, rows.schema)
+    stored = read_stored(spark, path, {c: rows.schema[c].dataType.simpleString() for c in partitions})
     if stored is None:
         return _write(rows, path, *partitions, **options)
+    _same_types(stored, rows)
     rows = materialize(rows, "arrived")
     touched = rows.select(*partitions).distinct()
     kept = _matched(_matched(stored, touched, partitions, "left_semi"), rows.select(*key), key, "left_anti")
-    merged = materialize(kept.select(rows.columns).unionByName(rows), "merged")
-    return _write(merged, path, *partitions, partitionOverwriteMode="dynamic", **options)
+    return _change(kept.unionByName(rows, allowMissingColumns=True), path, partitions, options)
+
 
+def _same_types(stored: DataFrame, rows: DataFrame) -> None:
+    known = {f.name: f.dataType.simpleString() for f in stored.schema.fields}
+    changed = [f"{f.name}: {known[f.name]} to {f.dataType.simpleString()}" for f in rows.schema.fields if known.get(f.name, f.dataType.simpleString()) != f.dataType.simpleString()]
+    if changed:
+        raise ValueError(f"stored columns would change their type: {', '.join(changed)}")
 
-def _key_folder(*key: str) -> Column:
-    return F.pmod(F.xxhash64(*key), F.lit(KEY_FOLDERS)).cast("int")
+
+def merge_by_key(rows: DataFrame, path: str, key: tuple[str, ...], **options: str) -> str:
+    """``merge`` for a table in folders by a hash of its key.
+
+    Their number follows the table: once they would hold more than ``FOLDER_ROWS`` rows each, all rows are dealt anew
+    over twice as many or more, so a small batch touches a small part of a large table.
+    """
+    spark = rows.sparkSession
+    stored = read_stored(spark, path, {"key_folder": "int"})
+    rows = materialize(rows, "arrived")
+    now = (_note(spark, f"{path}.layout") or {"folders": FEWEST_FOLDERS})["folders"] if stored is not None else 0
+    total = rows.count() + (stored.count() if stored is not None else 0)
+    wanted = max(FEWEST_FOLDERS, 1 << max(0, -(-total // FOLDER_ROWS) - 1).bit_length())
+    folders = max(now, wanted)
+    folder = F.pmod(F.xxhash64(*key), F.lit(folders)).cast("int")
+    rows = rows.withColumn("key_folder", folder)
+    if folders == now:
+        return merge(rows, path, key, ("key_folder",), **options)
+    if stored is not None:
+        _same_types(stored, rows)
+        kept = _matched(stored.withColumn("key_folder", folder), rows.select(*key), key, "left_anti")
+        rows = kept.unionByName(rows, allowMissingColumns=True)
+    return _change(rows, path, ("key_folder",), options, whole=True, folders=folders)
 
 
 def upsert_events(rows: DataFrame, path: str, *arrival: Column | str) -> str:
@@ -101,14 +192,13 @@ def write_anomalies(rows: DataFrame, path: str, *arrival: Column | str) -> str:
 
 
 def write_analyses(rows: DataFrame, path: str, *arrival: Column | str) -> str:
-    kept = latest_per_key(rows, ANALYSIS_KEY, *arrival).withColumn("key_folder", _key_folder(*ANALYSIS_KEY))
-    return merge(kept, path, ANALYSIS_KEY, ("key_folder",), **_ID_BLOOM)
+    return merge_by_key(latest_per_key(rows, ANALYSIS_KEY, *arrival), path, ANALYSIS_KEY, **_ID_BLOOM)
 
 
 def write_embeddings(rows: DataFrame, path: str, key: str, *arrival: Column | str) -> str:
     """Store vectors as arrays of float, the latest per key."""
-    kept = latest_per_key(rows, (key,), *arrival).withColumn("key_folder", _key_folder(key))
-    return merge(kept.withColumn("embedding", F.col("embedding").cast("array<float>")), path, (key,), ("key_folder",))
+    kept = latest_per_key(rows, (key,), *arrival)
+    return merge_by_key(kept.withColumn("embedding", F.col("embedding").cast("array<float>")), path, (key,))
 
 
 def delete_expired(spark: SparkSession, path: str, cutoff_ms: int) -> int:
@@ -117,20 +207,16 @@ def delete_expired(spark: SparkSession, path: str, cutoff_ms: int) -> int:
     Folders of whole days go as they are; only the day of the cutoff is rewritten. The list of folders has one
     entry per type and day.
     """
-    events = spark.read.parquet(path)
+    events = read_stored(spark, path, {"event_type": "string", "event_date": "date"})
     last = dt.datetime.fromtimestamp(cutoff_ms / 1000, dt.timezone.utc).date()
     old = events.where(F.col("event_date") <= F.lit(last)).where(F.col("ts_ms") < cutoff_ms)
     counts = {(r["event_type"], r["event_date"]): r["n"] for r in old.groupBy("event_type", "event_date").agg(F.count("*").alias("n")).collect()}
     day = events.where(F.col("event_date") == F.lit(last)).where(F.col("ts_ms") >= cutoff_ms)
-    day = materialize(day, "staying")
     staying = {r["event_type"] for r in day.select("event_type").distinct().collect()}
-    _write(day, path, "event_type", "event_date", partitionOverwriteMode="dynamic", **_ID_BLOOM)
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for kind, date in counts:
-        if date < last or kind not in staying:
-            name = "__HIVE_DEFAULT_PARTITION__" if kind is None else kind
-            files.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/event_type={name}/event_date={date}"), True)
+    name = lambda kind: "__HIVE_DEFAULT_PARTITION__" if kind is None else kind
+    drop = [f"event_type={name(kind)}/event_date={date}" for kind, date in counts if date < last or kind not in staying]
+    if counts:
+        _change(day, path, ("event_type", "event_date"), _ID_BLOOM, drop=drop)
     return sum(counts.values())
 
 
@@ -147,7 +233,7 @@ def write_anomaly_report(report: DataFrame, path: str) -> str:
 
 def write_threat_intel(entries: DataFrame, path: str) -> str:
     """Store threat intelligence entries; a known id's entry is replaced."""
-    return merge(entries.withColumn("key_folder", _key_folder("id")), path, ("id",), ("key_folder",))
+    return merge_by_key(entries, path, ("id",))
 
 
 def to_records(events: DataFrame) -> DataFrame:

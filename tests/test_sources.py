@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from sentrylake.session import scratch_path
@@ -139,3 +141,55 @@ def test_merges_keep_stored_rows_without_type_or_time(spark, events_of):
         stored = {r.event_id: r.threat_score for r in rows}
         assert len(rows) == len(stored) == want
         assert [stored[of(i)[0]] for i in range(7)] == [0.1, 0.9, 0.1, 0.8, 0.7, 0.1, 0.1]
+
+
+def test_merge_keeps_columns_and_refuses_other_types(spark, events_of):
+    path = scratch_path(spark, "columns")
+    first = events_of([make_event(i) for i in range(6)]).withColumn("note", F.lit("kept"))
+    writers.upsert_events(first, path)
+    writers.upsert_events(events_of([make_event(i, score=0.9) for i in range(4, 8)]).withColumn("extra", F.lit(1)), path)
+    rows = {r["event_id"]: (r["note"], r["extra"], r["threat_score"]) for r in writers.read_stored(spark, path).collect()}
+    assert len(rows) == 8 and sorted(rows.values(), key=repr) == sorted([("kept", None, 0.1)] * 4 + [(None, 1, 0.9)] * 4, key=repr)
+    with pytest.raises(ValueError, match="threat_score"):
+        writers.upsert_events(events_of([make_event(9)]).withColumn("threat_score", F.lit("high")), path)
+    assert writers.read_stored(spark, path).count() == 8
+
+
+@pytest.mark.parametrize("broken_at", ["before", "half way"])
+def test_broken_off_changes_are_taken_up_again(spark, events_of, monkeypatch, broken_at):
+    path, real = scratch_path(spark, "broken"), writers._write
+    writers.upsert_events(events_of([make_event(i) for i in range(6)]), path, "ts_ms")
+
+    def broken(rows, at, *partitions, **options):
+        if broken_at == "half way":
+            files, folder = writers._files(spark, at)
+            for status in files.globStatus(writers._files(spark, f"{at}/event_type=*/event_date=2024-01-0[56]")[1]):
+                files.delete(status.getPath(), True)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(writers, "_write", broken)
+    with pytest.raises(RuntimeError):
+        writers.upsert_events(events_of([make_event(i, score=0.9) for i in range(4, 8)]), path, "ts_ms")
+    monkeypatch.setattr(writers, "_write", real)
+    rows = {r["event_id"]: r["threat_score"] for r in writers.read_stored(spark, path).collect()}
+    assert sorted(rows.values()) == [0.1] * 4 + [0.9] * 4
+    cut_off = make_event(3)[2]
+    monkeypatch.setattr(writers, "_remove", lambda spark, at: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        writers.delete_expired(spark, path, cut_off)
+    monkeypatch.undo()
+    assert writers.read_stored(spark, path).count() == 5
+    assert writers.delete_expired(spark, path, cut_off) == 0
+
+
+def test_folders_follow_the_table(spark, monkeypatch):
+    monkeypatch.setattr(writers, "FOLDER_ROWS", 10)
+    path = scratch_path(spark, "folders")
+    rows = spark.range(2000).selectExpr("cast(id as string) AS event_id", "id AS confidence")
+    for low, high, folders in ((0, 100, 16), (50, 400, 64), (390, 2000, 256), (7, 8, 256)):
+        writers.write_analyses(rows.where(f"confidence >= {low} AND confidence < {high}").withColumn("round", F.lit(low)), path)
+        stored = writers.read_stored(spark, path)
+        assert stored.count() == stored.select("event_id").distinct().count() == max(high, stored.count())
+        assert stored.agg(F.max("key_folder")).first()[0] < folders
+    assert {r["round"]: r["count"] for r in stored.groupBy("round").count().collect()} == {0: 49, 50: 340, 390: 1610, 7: 1}
+    assert stored.select("key_folder").distinct().count() > 200
