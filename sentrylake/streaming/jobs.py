@@ -11,7 +11,7 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -224,36 +224,63 @@ def tumbling_rates(
 def sliding_features(events: DataFrame, window_hours: int = 24, slide_hours: int = 1) -> DataFrame:
     """Per-user features of overlapping windows, for a stored table.
 
-    Events are first reduced to panes of one slide, so each event is counted once and only the
-    much smaller pane rows are repeated for the windows that cover them. The types seen travel as
-    a set, which leaves one distinct count.
+    Events are reduced to panes of one slide. What a window holds changes only where a pane enters or leaves it, so a
+    user's time line has at most three points for each pane, and between two points all windows are alike. An
+    address or type enters the windows with its first pane out of reach of the one before, and leaves after its pane:
+    +1 and -1, whose running sum is the exact distinct count. Other measures are taken over the panes in reach of
+    a point. A pane's row is never repeated for the windows that cover it; windows are listed at the end only.
     """
-    slide_s = slide_hours * 3600
-    pane = F.floor(F.unix_seconds("ts") / slide_s)
-    hour = hour_of_day("ts")
-    panes = events.groupBy("user", pane.alias("pane"), "source_ip").agg(
-        F.collect_set("event_type").alias("kinds"),
+    slide_s, width = slide_hours * 3600, window_hours // slide_hours
+    measures = ["n", "score", "scored", "top_score", "failed", "unusual"]
+    cells = events.groupBy("user", F.floor(F.unix_seconds("ts") / slide_s).alias("pane"), "source_ip", "event_type").agg(
         F.count("*").alias("n"),
         F.sum("threat_score").alias("score"),
         F.count("threat_score").alias("scored"),
         F.max("threat_score").alias("top_score"),
         F.count_if(F.col("status") == "failed").alias("failed"),
-        F.count_if(hour.between(*UNUSUAL_HOURS)).alias("unusual"),
+        F.count_if(hour_of_day("ts").between(*UNUSUAL_HOURS)).alias("unusual"),
     )
-    covering = F.explode(F.sequence(F.col("pane") - (window_hours // slide_hours - 1), F.col("pane")))
-    return (
-        panes.withColumn("first_pane", covering)
-        .groupBy((F.col("first_pane") * slide_s * 1000).alias("window_start_ms"), "user")
-        .agg(
-            F.sum("n").alias("total_events"),
-            F.countDistinct("source_ip").alias("unique_ips"),
-            F.size(F.array_distinct(F.flatten(F.collect_set("kinds")))).cast("bigint").alias("unique_event_types"),
-            ratio(F.sum("score"), F.sum("scored")).alias("avg_threat_score"),
-            F.max("top_score").alias("max_threat_score"),
-            F.sum("failed").alias("failed_events"),
-            F.sum("unusual").alias("unusual_hour_events"),
-        )
+    # A cell names an address, with its measures, and a type.
+    named = F.array(
+        F.struct(F.lit("ip").alias("kind"), F.col("source_ip").alias("value"), *measures),
+        F.struct(F.lit("type").alias("kind"), F.col("event_type").alias("value"), *[F.lit(None).cast(t).alias(c) for c, t in zip(measures, ["bigint", "double", "bigint", "double", "bigint", "bigint"], strict=True)]),
+    )
+    values = cells.where("pane IS NOT NULL").select("user", "pane", F.explode(named).alias("v")).select("user", "pane", "v.*")
+    totals = {c: F.max(c) if c == "top_score" else F.sum(c) for c in measures}
+    values = values.repartition("user", "kind", "value").groupBy("user", "kind", "value", "pane").agg(*[f.alias(c) for c, f in totals.items()])
+    before = F.lag("pane").over(Window.partitionBy("user", "kind", "value").orderBy("pane"))
+    enters = F.greatest(F.col("pane") - (width - 1), before + 1)
+    values = values.withColumn("enters", enters)
+
+    def point(at: Column, change: int, measured: bool) -> Column:
+        one = lambda kind: F.when((F.col("kind") == kind) & F.col("value").isNotNull(), change).otherwise(0)
+        return F.struct(
+            at.alias("x"), one("ip").alias("ips"), one("type").alias("types"),
+            *[(F.col(c) if measured else F.lit(None)).cast("double" if "score" in c and c != "scored" else "bigint").alias(c) for c in measures],
+        )
+
+    points = F.array(point(F.col("enters"), 1, False), point(F.col("pane"), 0, True), point(F.col("pane") + 1, -1, False))
+    # The first window that holds a pane starts at a point, whatever its addresses have been before.
+    points = F.array_append(points, point(F.col("pane") - (width - 1), 0, False))
+    line = values.select("user", F.explode(points).alias("p")).select("user", "p.*")
+    line = line.groupBy("user", "x").agg(F.sum("ips").alias("ips"), F.sum("types").alias("types"), *[f.alias(c) for c, f in totals.items()])
+    along = Window.partitionBy("user").orderBy("x")
+    upto, reach = along.rowsBetween(Window.unboundedPreceding, 0), along.rangeBetween(0, width - 1)
+    line = line.select(
+        "user",
+        F.col("x").alias("start"),
+        F.lead("x").over(along).alias("end"),
+        F.sum("n").over(reach).alias("total_events"),
+        F.sum("ips").over(upto).alias("unique_ips"),
+        F.sum("types").over(upto).alias("unique_event_types"),
+        ratio(F.sum("score").over(reach), F.sum("scored").over(reach)).alias("avg_threat_score"),
+        F.max("top_score").over(reach).alias("max_threat_score"),
+        F.sum("failed").over(reach).alias("failed_events"),
+        F.sum("unusual").over(reach).alias("unusual_hour_events"),
     )
+    step = slide_s * 1000
+    starts = F.explode(F.sequence(F.col("start") * step, (F.col("end") - 1) * step, F.lit(step)))
+    return line.where("total_events > 0").withColumn("window_start_ms", starts).select("window_start_ms", *[c for c in line.columns if c not in ("start", "end")])
 
 
 def sliding_feature_stream(

@@ -1,3 +1,6 @@
+import datetime as dt
+import random
+
 from pyspark.sql import functions as F
 
 from sentrylake.operators.baseline import baseline_anomaly_detector
@@ -70,3 +73,32 @@ def test_late_events_are_set_aside(spark, sf):
     jobs.late_data(arriving(spark, second, first), out, scratch_path(spark, "progress"), available_now=True).awaitTermination()
     late, on_time = (spark.read.parquet(f"{out}/{t}").count() for t in ("late", "on_time"))
     assert late == first.count() and on_time == second.count()
+
+
+def test_sliding_windows_by_hand(spark):
+    """Gaps longer and shorter than a window, one value in several panes, nulls, and windows of other sizes."""
+    rng, rows = random.Random(6), []
+    for i in range(400):
+        hour = rng.choice([0, 1, 2, 5, 9, 30, 31, 80]) + rng.randint(0, 3)
+        ts = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc) + dt.timedelta(hours=hour, minutes=rng.randint(0, 59))
+        ip, kind = rng.choice([None, "a", "b", "c"]), rng.choice([None, "x", "y"])
+        rows.append((rng.choice(["u", "v", None]), ts, ip, kind, rng.choice([None, 0.25, 0.5]), rng.choice(["failed", "success", None])))
+    events = spark.createDataFrame(rows, "user string, ts timestamp, source_ip string, event_type string, threat_score double, status string")
+    for size, slide in ((6, 1), (24, 2), (1, 1)):
+        want = {}
+        for user, ts, ip, kind, score, status in rows:
+            pane = int(ts.timestamp()) // 3600 // slide
+            for first in range(pane - size // slide + 1, pane + 1):
+                want.setdefault((first * slide * 3_600_000, user), []).append((ip, kind, score, status == "failed", ts.hour <= 6))
+        expected = {}
+        for key, found in want.items():
+            ips, kinds, scores, failed, unusual = zip(*found, strict=True)
+            known = [x for x in scores if x is not None]
+            mean = round(sum(known) / len(known), 9) if known else None
+            expected[key] = (len(found), len(set(ips) - {None}), len(set(kinds) - {None}), mean, max(known, default=None), sum(failed), sum(unusual))
+        got = jobs.sliding_features(events, size, slide).collect()
+        assert len(got) == len(expected)
+        for r in got:
+            mean = None if r["avg_threat_score"] is None else round(r["avg_threat_score"], 9)
+            found = (r["total_events"], r["unique_ips"], r["unique_event_types"], mean, r["max_threat_score"], r["failed_events"], r["unusual_hour_events"])
+            assert expected[r["window_start_ms"], r["user"]] == found
