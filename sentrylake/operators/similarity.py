@@ -31,17 +31,17 @@ def similar_events(
     return scored.orderBy(F.desc("similarity"), F.asc(key)).limit(k)
 
 
-def _words(text: Column) -> Column:
+def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({WORD})"), F.lit(1))
 
 
-def _damped(n: Column) -> Column:
+def damped(n: Column) -> Column:
     return 1 + F.log(n.cast("double"))
 
 
-def _length(words: Column) -> Column:
+def vector_length(words: Column) -> Column:
     """Norm of the damped word counts: sorted words are counted run by run in one pass."""
-    closed = lambda a: a["sum"] + F.when(a["run"] > 0, F.pow(_damped(a["run"]), 2)).otherwise(0.0)
+    closed = lambda a: a["sum"] + F.when(a["run"] > 0, F.pow(damped(a["run"]), 2)).otherwise(0.0)
     start = F.struct(F.lit("").alias("word"), F.lit(0).alias("run"), F.lit(0.0).alias("sum"))
 
     def count(a: Column, word: Column) -> Column:
@@ -69,7 +69,7 @@ def match_threat_intel(intel: DataFrame, query: str, top_k: int = DEFAULT_MATCHE
     top_k = max(1, min(MAX_MATCHES, top_k))
     asked = Counter(re.findall(WORD, query.lower()))
     terms = sorted(asked)
-    words = intel.withColumn("_words", _words(F.col("description")))
+    words = intel.withColumn("_words", words_of(F.col("description")))
     # The query's words within the text, with repeats.
     words = words.withColumn("_hits", F.filter("_words", lambda x: x.isin(terms)))
     seen_in = [F.count_if(F.array_contains("_hits", t)).alias(f"t{i}") for i, t in enumerate(terms)]
@@ -80,8 +80,8 @@ def match_threat_intel(intel: DataFrame, query: str, top_k: int = DEFAULT_MATCHE
     if norm:
         for t, w in weights.items():
             times = _times("_hits", t)
-            score = score + F.when(times > 0, _damped(times) * (w / norm)).otherwise(0.0)
-        score = F.coalesce(F.try_divide(score, _length(F.col("_words"))), F.lit(0.0))
+            score = score + F.when(times > 0, damped(times) * (w / norm)).otherwise(0.0)
+        score = F.coalesce(F.try_divide(score, vector_length(F.col("_words"))), F.lit(0.0))
     return (
         words.select(
             F.col("id").alias("threat_id"),

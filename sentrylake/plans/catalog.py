@@ -21,7 +21,7 @@ from sentrylake.operators import (
 from sentrylake.plans import fixtures, training
 from sentrylake.plans import oracle as o
 from sentrylake.session import scratch_path
-from sentrylake.sources import parse, readers, writers
+from sentrylake.sources import intel_index, parse, readers, writers
 from sentrylake.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -960,6 +960,24 @@ def _(spark, d):
     return rounded(similarity.similar_events(vectors, _query_vector(spark, d), 10, key="vec_id"), 6)
 
 
+_STORED: dict[tuple, str] = {}
+
+
+def _stored_intel(spark, d) -> str:
+    """The intelligence table with its index, stored once for an application; a part of it comes as a second merge."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _STORED:
+        entries, path = readers.load_threat_intel(fixtures.intel(spark, d)), scratch_path(spark, "intel")
+        late = F.pmod(F.xxhash64("id"), F.lit(5)) == 0
+        intel_index.index_intel(entries.where(~late | (F.length("id") == 2)).withColumn("description", F.when(late, F.lit("an older report of the system")).otherwise(F.col("description"))), path)
+        _STORED[key] = intel_index.index_intel(entries.where(late), path)
+    return _STORED[key]
+
+
+def _matches(spark, d) -> DataFrame:
+    return intel_index.match_indexed_intel(spark, _stored_intel(spark, d), QUESTION)
+
+
 @query(
     "match_threat_intel",
     f"""WITH {_INTEL}, qt AS (SELECT unnest(regexp_extract_all('{QUESTION}', '[a-z0-9]+')) AS t),
@@ -973,10 +991,38 @@ def _(spark, d):
     LEFT JOIN dot ON it.id = dot.id LEFT JOIN norm ON it.id = norm.id ORDER BY similarity DESC, threat_id LIMIT 5""",
 )
 def _(spark, d):
+    return _matches(spark, d).select("threat_id", "similarity", "category", "severity")
+
+
+@query(
+    "match_threat_intel_scan",
+    ORACLES["match_threat_intel"],
+)
+def _(spark, d):
+    """The form for a table without an index."""
     intel = readers.load_threat_intel(fixtures.intel(spark, d))
     return similarity.match_threat_intel(intel, QUESTION).select("threat_id", "similarity", "category", "severity")
 
 
+_MATCHED = ORACLES["match_threat_intel"].rsplit("SELECT it.id AS threat_id", 1)[0]
+
+
+@query(
+    "intel_listing",
+    f"""{_MATCHED}, m AS (SELECT description, round(coalesce(s / n, 0), 4) AS similarity, category, it.id AS id FROM it
+      LEFT JOIN dot ON it.id = dot.id LEFT JOIN norm ON it.id = norm.id ORDER BY similarity DESC, it.id LIMIT 5),
+    r AS (SELECT *, row_number() OVER (ORDER BY similarity DESC, id) AS i FROM m)
+    SELECT count(*) AS matches, round(sum(similarity), 4) AS relevance,
+      string_agg(i || '. [' || category || '] (Relevance)' || chr(10) || '   ' || substr(description, 1, 500), chr(10) ORDER BY i) AS listing FROM r""",
+)
+def _(spark, d):
+    # The figures within the listing are checked as a sum: engines round a half in print differently.
+    found = similarity.intel_records(_matches(spark, d))
+    top = F.collect_list(F.struct("source", "summary", "relevance_score"))
+    listed = found.coalesce(1).agg(F.count("*").alias("matches"), F.round(F.sum("relevance_score"), 4).alias("relevance"), text.format_intel(top).alias("listing"))
+    return listed.withColumn("listing", F.regexp_replace("listing", r"\(Relevance: [0-9.]+\)", "(Relevance)"))
+
+
 # --- E: ordered and windowed -------------------------------------------------------------------
 
 

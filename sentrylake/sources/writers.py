@@ -64,14 +64,14 @@ def _files(spark: SparkSession, path: str):
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
 
 
-def _put_note(spark: SparkSession, path: str, note: dict) -> None:
+def write_note(spark: SparkSession, path: str, note: dict) -> None:
     files, at = _files(spark, path)
     out = files.create(at, True)
     out.write(bytearray(json.dumps(note).encode()))
     out.close()
 
 
-def _note(spark: SparkSession, path: str) -> dict | None:
+def read_note(spark: SparkSession, path: str) -> dict | None:
     files, at = _files(spark, path)
     if not files.exists(at):
         return None
@@ -79,24 +79,24 @@ def _note(spark: SparkSession, path: str) -> dict | None:
     return json.loads(text[0]) if text and text[0] else None
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove_path(spark: SparkSession, path: str) -> None:
     files, at = _files(spark, path)
     files.delete(at, True)
 
 
 def finish(spark: SparkSession, path: str) -> None:
     """Carry out the change that the table's marker names, if there is one; doing so twice changes nothing."""
-    note = _note(spark, f"{path}.pending")
+    note = read_note(spark, f"{path}.pending")
     if note is None:
         return
     staged = spark.read.schema(StructType.fromJson(note["schema"])).parquet(note["staged"])
     how = {} if note["whole"] else {"partitionOverwriteMode": "dynamic"}
     _write(staged, path, *note["partitions"], **how, **note["options"])
     for folder in note["drop"]:
-        _remove(spark, f"{path}/{folder}")
+        remove_path(spark, f"{path}/{folder}")
     if note["folders"]:
-        _put_note(spark, f"{path}.layout", {"folders": note["folders"]})
-    _remove(spark, f"{path}.pending")
+        write_note(spark, f"{path}.layout", {"folders": note["folders"]})
+    remove_path(spark, f"{path}.pending")
 
 
 def _change(rows: DataFrame, path: str, partitions: tuple[str, ...], options: dict, whole=False, drop=(), folders=None) -> str:
@@ -105,7 +105,7 @@ def _change(rows: DataFrame, path: str, partitions: tuple[str, ...], options: di
     staged = scratch_path(spark, "staged")
     rows.write.parquet(staged)
     note = {"staged": staged, "schema": json.loads(rows.schema.json()), "partitions": partitions, "options": options}
-    _put_note(spark, f"{path}.pending", note | {"whole": whole, "drop": list(drop), "folders": folders})
+    write_note(spark, f"{path}.pending", note | {"whole": whole, "drop": list(drop), "folders": folders})
     finish(spark, path)
     return path
 
@@ -163,7 +163,7 @@ def merge_by_key(rows: DataFrame, path: str, key: tuple[str, ...], **options: st
     spark = rows.sparkSession
     stored = read_stored(spark, path, {"key_folder": "int"})
     rows = materialize(rows, "arrived")
-    now = (_note(spark, f"{path}.layout") or {"folders": FEWEST_FOLDERS})["folders"] if stored is not None else 0
+    now = (read_note(spark, f"{path}.layout") or {"folders": FEWEST_FOLDERS})["folders"] if stored is not None else 0
     total = rows.count() + (stored.count() if stored is not None else 0)
     wanted = max(FEWEST_FOLDERS, 1 << max(0, -(-total // FOLDER_ROWS) - 1).bit_length())
     folders = max(now, wanted)

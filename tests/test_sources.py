@@ -174,7 +174,7 @@ def test_broken_off_changes_are_taken_up_again(spark, events_of, monkeypatch, br
     rows = {r["event_id"]: r["threat_score"] for r in writers.read_stored(spark, path).collect()}
     assert sorted(rows.values()) == [0.1] * 4 + [0.9] * 4
     cut_off = make_event(3)[2]
-    monkeypatch.setattr(writers, "_remove", lambda spark, at: (_ for _ in ()).throw(RuntimeError("lost")))
+    monkeypatch.setattr(writers, "remove_path", lambda spark, at: (_ for _ in ()).throw(RuntimeError("lost")))
     with pytest.raises(RuntimeError):
         writers.delete_expired(spark, path, cut_off)
     monkeypatch.undo()
