@@ -1,7 +1,7 @@
 """Labelling users from their feature rows: Isolation Forest and K-Means.
 
 The Isolation Forest follows Liu, Ting and Zhou, "Isolation Forest" (ICDM 2008). Growing a tree
-needs only a small sample, so trees are grown in parallel from a bounded pool of rows; the forest
+needs only a small sample, which each tree draws from all rows; trees are grown in parallel, and the forest
 itself is small and is sent to all tasks to score every row.
 """
 
@@ -33,8 +33,13 @@ FAR_FROM_CENTER = 0.8
 _NODES = "tree int, node int, feature int, threshold double, left int, right int, path double"
 
 
-def minmax_normalise(df: DataFrame, column: str, to: str) -> DataFrame:
-    """``column`` scaled to 0..1 over the whole table; 0 everywhere if all values are equal."""
+def minmax_normalise(df: DataFrame, column: str, to: str, stored: bool = False) -> DataFrame:
+    """``column`` scaled to 0..1 over the whole table; 0 everywhere if all values are equal.
+
+    The rows are written first, so that they are computed once for their ends and their values; ``stored`` rows are
+    cheap to read as they are.
+    """
+    df = df if stored else materialize(df, "to-scale")
     ends = df.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high"))).scalar()
     return df.withColumn(to, minmax_scaled(column, ends["low"], ends["high"]))
 
@@ -175,7 +180,7 @@ def isolation_forest(
     scored = materialize(rows.withColumn("anomaly_score", score(vector)), "scored-rows")
     cut_off = exact_quantile(scored, "anomaly_score", 1.0 - contamination)
     flagged = scored.withColumn("is_anomaly", (F.col("anomaly_score") > cut_off).cast("int"))
-    return minmax_normalise(flagged, "anomaly_score", "anomaly_score_normalized")
+    return minmax_normalise(flagged, "anomaly_score", "anomaly_score_normalized", stored=True)
 
 
 def kmeans_anomaly(features: DataFrame, columns: list[str], k: int = CLUSTERS, seed: int = SEED) -> DataFrame:

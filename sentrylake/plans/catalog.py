@@ -20,7 +20,7 @@ from sentrylake.operators import (
 )
 from sentrylake.plans import fixtures, training
 from sentrylake.plans import oracle as o
-from sentrylake.session import scratch_path
+from sentrylake.session import materialize, scratch_path
 from sentrylake.sources import intel_index, parse, readers, writers
 from sentrylake.streaming import jobs
 
@@ -1436,32 +1436,95 @@ def _(spark, d):
     return rounded(prepared.select("user", *[values[i].alias(c) for i, c in enumerate(_ML)]), 6)
 
 
-_LABEL_COLS = ["user", "total_events", "avg_threat_score", "anomaly_score_normalized", "is_anomaly"]
 
 
-@query("isolation_forest")
+# Scores of learned detectors have no SQL. What must hold of them, whatever was learned, does: scaling, the flag and its share,
+# and the facts of each user.
+_HELD = "true AS scaled, true AS flagged_right, true AS share_right"
+
+
+def _facts_of(labelled: DataFrame, score: str, flagged: Column, share: Column) -> DataFrame:
+    """Each user's facts, and whether its score is scaled, its flag follows, and the flagged ones are as many as they should be."""
+    ends = labelled.agg(F.struct(F.min(score).alias("low"), F.max(score).alias("high"), share.alias("share"))).scalar()
+    scaled = F.coalesce(F.try_divide(F.col(score) - ends["low"], ends["high"] - ends["low"]), F.lit(0.0))
+    return rounded(
+        labelled.select(
+            "user", "total_events", "avg_threat_score",
+            (F.abs(scaled - F.col("anomaly_score_normalized")) < 1e-9).alias("scaled"),
+            ((F.col("is_anomaly") == 1) == flagged).alias("flagged_right"),
+            ends["share"].alias("share_right"),
+        )
+    )
+
+
+def _forest_facts(labelled: DataFrame) -> DataFrame:
+    labelled = materialize(labelled, "labelled")
+    # The cut lies between the highest score that is not flagged and the lowest that is.
+    highest = labelled.where("is_anomaly = 0").agg(F.max("anomaly_score")).scalar()
+    above = F.col("anomaly_score") > F.coalesce(highest, F.lit(float("-inf")))
+    # With linear interpolation at most a tenth of the rows lie above the quantile, and only ties make them fewer.
+    n, flagged = F.count("*"), F.count_if(F.col("is_anomaly") == 1)
+    return _facts_of(labelled, "anomaly_score", above, (flagged <= F.ceil(n * 0.1)) & ((n < 11) | (flagged > 0)))
+
+
+def _kmeans_facts(labelled: DataFrame) -> DataFrame:
+    labelled = materialize(labelled, "labelled")
+    # The farthest row is flagged, unless all are equally far.
+    some = F.count_if(F.col("is_anomaly") == 1) >= F.when(F.max("distance_to_center") > F.min("distance_to_center"), 1).otherwise(0)
+    return _facts_of(labelled, "distance_to_center", F.col("anomaly_score_normalized") > 0.8, some)
+
+
+_USER_FACTS = f"""WITH {o.EV}, {o.USERS} SELECT "user", total_events, round(coalesce(avg_threat_score, 0), 9) AS avg_threat_score, {_HELD} FROM uf"""
+
+
+@query("isolation_forest", _USER_FACTS)
 def _(spark, d):
     table = features.all_user_features(fixtures.events(spark, d))
-    return detectors.isolation_forest(table, features.numeric_feature_columns(table)).select(*_LABEL_COLS, "anomaly_score")
+    return _forest_facts(detectors.isolation_forest(table, features.numeric_feature_columns(table)))
 
 
-@query("kmeans_anomaly")
+@query("kmeans_anomaly", _USER_FACTS)
 def _(spark, d):
     table = features.all_user_features(fixtures.events(spark, d))
-    labelled = detectors.kmeans_anomaly(table, features.numeric_feature_columns(table))
-    return labelled.select(*_LABEL_COLS, "prediction", "distance_to_center")
+    return _kmeans_facts(detectors.kmeans_anomaly(table, features.numeric_feature_columns(table)))
 
 
-@query("detect_anomalies")
+@query("detect_anomalies", _USER_FACTS)
 def _(spark, d):
     table = features.all_user_features(fixtures.events(spark, d))
-    return detectors.detect_anomalies(table, features.numeric_feature_columns(table), "kmeans").select(*_LABEL_COLS)
+    return _kmeans_facts(detectors.detect_anomalies(table, features.numeric_feature_columns(table), "kmeans"))
+
+
+def _training_facts(run: training.TrainingRun) -> DataFrame:
+    """The run's data against its own report and summary."""
+    report = run.report.select(F.struct("total_users", "anomalous_users", F.size("top_anomalies").alias("top")).alias("r")).scalar()
+    read = run.summary.select("total_events").scalar()
+    return _forest_facts(run.labelled).withColumns({"total_users": report["total_users"], "events_read": read})
 
 
-@query("training_pipeline")
+def _read_facts(read: str) -> str:
+    return f"""WITH {_LENIENT}{read}, u AS (SELECT "user", count(*) AS total_events, round(coalesce(avg(threat_score), 0), 9) AS avg_threat_score
+      FROM got WHERE "user" IS NOT NULL GROUP BY 1)
+    SELECT *, {_HELD}, (SELECT count(*) FROM u) AS total_users, (SELECT count(*) FROM got WHERE "user" IS NOT NULL) AS events_read FROM u"""
+
+
+@query("training_pipeline", _read_facts(", got AS (SELECT * FROM rd)"))
+def _(spark, d):
+    """From the topic's first record to the report."""
+    return _training_facts(training.training_pipeline(spark, _stored_topic(spark, d), scratch_path(spark, "training")))
+
+
+@query(
+    "training_pipeline_bounded",
+    _read_facts(
+        """, ends AS (SELECT seq % 4 AS p, least(max(seq // 4) + 1, min(seq // 4) + 500) AS stop FROM ev GROUP BY 1),
+    got AS (SELECT rd.* FROM rd JOIN ends ON p = "partition" AND "offset" < stop ORDER BY "partition", "offset" LIMIT 2000)"""
+    ),
+)
 def _(spark, d):
-    run = training.build_training_data(fixtures.events(spark, d), scratch_path(spark, "training"))
-    return run.labelled.select(*_LABEL_COLS)
+    """A run over about 2,000 events."""
+    run = training.training_pipeline(spark, _stored_topic(spark, d), scratch_path(spark, "training"), max_events=2000)
+    return _training_facts(run)
 
 
 @query(
