@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sentrylake.session import materialize
@@ -35,10 +35,13 @@ def attach_by_key(
     ``spread`` over as many parts as its share asks for, and its table row is repeated once per
     part. Nulls match nulls. All rows meet their table row; nothing is sampled or dropped.
     """
-    # Counted once and stored: both sides must see the same part numbers even if the input moves meanwhile.
-    sizes = materialize((table if sizes is None else sizes).select(*keys, weight), "sizes")
-    share = F.col(weight) * shares / sizes.agg(F.sum(weight)).scalar()
-    part_count = F.when((F.col(weight) > min_split_rows) & (share > 1), F.ceil(share).cast("int")).otherwise(1)
+    # The keys that may be heavy are stored, and all rows counted, in one pass: both sides must see the same part numbers
+    # even if the input moves meanwhile. At most one key per ``min_split_rows`` rows is stored.
+    seen = Observation()
+    sizes = (table if sizes is None else sizes).select(*keys, weight).observe(seen, F.sum(weight).alias("total"))
+    sizes = materialize(sizes.where(F.col(weight) > min_split_rows), "sizes")
+    share = F.col(weight) * shares / F.lit(seen.get["total"] or 1)
+    part_count = F.when(share > 1, F.ceil(share).cast("int")).otherwise(1)
     values = [c for c in table.columns if c not in keys]
     names = {k: f"_key{i}" for i, k in enumerate(keys)}
 

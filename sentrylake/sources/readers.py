@@ -84,11 +84,15 @@ def bounded_read(
 
 
 def _within(end_offsets: str, topic: str, column: str = "offset", below: bool = True) -> Column:
-    """Records before (or from) the offsets of a Kafka-style offsets JSON."""
-    entries = json.loads(end_offsets)[topic]
-    pairs = [F.lit(part) for item in entries.items() for part in (int(item[0]), int(item[1]))]
-    bound = F.try_element_at(F.create_map(*pairs), F.col("partition"))
-    return F.coalesce(F.col(column) < bound if below else F.col(column) >= bound, F.lit(not below))
+    """Records before (or from) the offsets of a Kafka-style offsets JSON; plain comparisons, which reach the scan.
+
+    Partitions that are not named have no end, and no start.
+    """
+    ends = {int(part): at for part, at in json.loads(end_offsets)[topic].items()}
+    inside = ~F.col("partition").isin(list(ends)) if ends else F.lit(True)
+    for part, at in ends.items():
+        inside = inside | ((F.col("partition") == part) & (F.col(column) < at if below else F.col(column) >= at))
+    return inside
 
 
 def read_records(
@@ -169,12 +173,71 @@ def read_events_stream(
     return project_events(reader.schema(RECORD_SCHEMA).load(topic.path))
 
 
+# Offsets of a partition that share an entry of the time map.
+ZONE_RECORDS = 10_000
+_ZONE = "partition int, zone bigint, low bigint, high bigint, low_ms bigint, high_ms bigint, timeless bigint"
+
+
+def map_times(spark: SparkSession, topic: Topic, path: str) -> DataFrame:
+    """Bring the time map of a topic below ``path`` up to its end, and return it.
+
+    For each stretch of offsets of a partition it has the lowest and highest event time. Only records beyond the ones
+    mapped so far are read, and of their payloads only the time.
+    """
+    known = _load_or_empty(spark, "parquet", path, _ZONE)
+    # One row per topic partition.
+    ends = {str(r["partition"]): r["high"] for r in known.groupBy("partition").agg(F.max("high").alias("high")).collect()}
+    start = json.dumps({topic.name: ends}) if ends else "earliest"
+    if ends and topic.is_kafka:
+        # The source wants every partition named; -2 is its first offset.
+        marks = kafka_watermarks(spark, topic).select("partition").collect()
+        start = json.dumps({topic.name: {str(r["partition"]): ends.get(str(r["partition"]), -2) for r in marks}})
+    at = F.get_json_object(F.col("value").cast("string"), "$.timestamp").try_cast("double").try_cast("bigint")
+    new = read_records(spark, topic, start).select("partition", "offset", at.alias("ms"))
+    zones = new.groupBy("partition", F.floor(F.col("offset") / ZONE_RECORDS).alias("zone")).agg(
+        F.min("offset").alias("low"),
+        (F.max("offset") + 1).alias("high"),
+        F.min("ms").alias("low_ms"),
+        F.max("ms").alias("high_ms"),
+        F.count_if(F.col("ms").isNull()).alias("timeless"),
+    )
+    zones.write.mode("append").parquet(path)
+    return _load_or_empty(spark, "parquet", path, _ZONE)
+
+
+def offsets_between(zones: DataFrame, topic: str, start_ms: int, end_ms: int | None) -> tuple[str, str] | None:
+    """First and end offsets (as JSON) of the mapped stretches that hold some event time between two; None if none does."""
+    inside = F.col("high_ms") >= start_ms
+    if end_ms is not None:
+        inside = inside & (F.col("low_ms") <= end_ms)
+    spans = zones.groupBy("partition").agg(
+        F.coalesce(F.min(F.when(inside, F.col("low"))), F.max("high")).alias("low"),
+        F.coalesce(F.max(F.when(inside, F.col("high"))), F.max("high")).alias("high"),
+    )
+    rows = spans.collect()  # one row per topic partition
+    if not rows:
+        return None
+    return tuple(json.dumps({topic: {str(r["partition"]): r[side] for r in rows}}) for side in ("low", "high"))
+
+
 def read_time_range(
-    spark: SparkSession, topic: Topic, start_time: str, end_time: str | None = None
+    spark: SparkSession, topic: Topic, start_time: str, end_time: str | None = None, time_map: str | None = None
 ) -> DataFrame:
-    """Events from ``start_time`` to ``end_time``, both inclusive, by event time."""
-    events = read_events_batch(spark, topic)
-    return time_range(events, start_time, end_time)
+    """Events from ``start_time`` to ``end_time``, both inclusive, by event time.
+
+    With ``time_map``, a path where :func:`map_times` keeps the event times of the topic's offsets, the map is brought
+    up to date and the read starts and ends at the offsets that can hold such events; those that came late are found
+    as well. Without it the whole topic is read.
+    """
+    if time_map is None:
+        return time_range(read_events_batch(spark, topic), start_time, end_time)
+    prepare(spark)
+    bounds = spark.range(1).select(F.unix_millis(F.lit(start_time).cast("timestamp")), F.unix_millis(F.lit(end_time).cast("timestamp"))).first()
+    # A bound between two milliseconds takes the one before into the read; the events are compared exactly.
+    spans = offsets_between(map_times(spark, topic, time_map), topic.name, *bounds)
+    if spans is None:
+        return time_range(read_events_batch(spark, topic), start_time, end_time).limit(0)
+    return time_range(read_events_batch(spark, topic, *spans), start_time, end_time)
 
 
 def time_range(events: DataFrame, start_time: str, end_time: str | None = None) -> DataFrame:

@@ -193,3 +193,34 @@ def test_folders_follow_the_table(spark, monkeypatch):
         assert stored.agg(F.max("key_folder")).first()[0] < folders
     assert {r["round"]: r["count"] for r in stored.groupBy("round").count().collect()} == {0: 49, 50: 340, 390: 1610, 7: 1}
     assert stored.select("key_folder").distinct().count() > 200
+
+
+def test_time_map_bounds_the_read(spark, monkeypatch):
+    monkeypatch.setattr(readers, "ZONE_RECORDS", 10)
+    path, times = scratch_path(spark, "topic"), scratch_path(spark, "times")
+    topic = readers.Topic(format="parquet", path=path)
+    start = 1_717_200_000_000
+
+    def put(rows):
+        payload = lambda i, ms: json.dumps({**GOOD, "event_id": f"evt_{i:012d}", "timestamp": ms})
+        table = [(str(i), payload(i, ms), "security-events", i % 2, i // 2, None) for i, ms in rows]
+        spark.createDataFrame(table, readers.RECORD_SCHEMA).write.mode("append").parquet(path)
+
+    def found(low, high):
+        rows = readers.read_time_range(spark, topic, low, high, times)
+        return sorted(r["event_id"] for r in rows.collect()), rows
+
+    # One event a minute, and one that came very late.
+    put([(i, start + 60_000 * i) for i in range(400)])
+    ids, rows = found("2024-06-01T01:00:00", "2024-06-01T01:30:00")
+    assert ids == [f"evt_{i:012d}" for i in range(60, 91)]
+    read = readers.read_records(spark, topic, *readers.offsets_between(spark.read.parquet(times), topic.name, start + 3_600_000, start + 5_400_000)).count()
+    assert 31 <= read <= 60
+    assert "GreaterThanOrEqual(offset" in rows._jdf.queryExecution().executedPlan().toString()
+    put([(i, start + 60_000 * (i if i != 450 else 70)) for i in range(400, 500)])
+    ids, _ = found("2024-06-01T01:00:00", "2024-06-01T01:30:00")
+    assert ids == [f"evt_{i:012d}" for i in [*range(60, 91), 450]]
+    assert found("2024-06-01T07:00:00", None)[0] == [f"evt_{i:012d}" for i in range(420, 500) if i != 450]
+    assert found("2030-06-01T07:00:00", None)[0] == []
+    zones = spark.read.parquet(times)
+    assert zones.agg(F.sum(F.col("high") - F.col("low"))).first()[0] == 500
