@@ -13,6 +13,7 @@ from sentrylake.llm import common, html, lm, minhash, packing, pieces, tokencoun
 from sentrylake.llm.linededup import line_dedup
 from sentrylake.llm.quality import quality_rules
 from sentrylake.llm.queries import QUERIES
+from sentrylake.session import checkpoint_root
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 BYTE_BPE, WORD_BPE = tokens.vocabulary_path("byte_bpe_50k.json"), tokens.vocabulary_path("word_bpe_49k.json")
@@ -363,7 +364,8 @@ def test_lm_every_pair_has_an_arc(spark):
     # More words than any fixed vocabulary; the pair of rare words comes three times, and in a text to be scored.
     many = [(i, " ".join(f"w{j} w{j}" for j in range(i * 100, i * 100 + 100)), True) for i in range(400)]
     rows = [*many, *((1000 + i, "seldom said", True) for i in range(2)), (2000, "Seldom said again", True), (3000, "seldom said", False), (3001, "said unheard", False)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, learn boolean").repartition(4, "doc_id").localCheckpoint()
+    checkpoint_root(spark)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learn boolean").repartition(4, "doc_id").checkpoint()
     want = lm_by_hand(rows, len(rows) * 1000)
     got = {r["doc_id"]: r for r in lm.lm_scores(docs, F.col("learn")).collect()}
     assert got.keys() == want.keys()
