@@ -800,6 +800,31 @@ def _(spark, d):
     return rounded(metrics.consumer_rate(messages, F.col("error").isNull()))
 
 
+@query(
+    "live_consumer_rate",
+    f"""WITH {o.EV} SELECT count(*) AS messages, count(*) FILTER (WHERE k BETWEEN 90 AND 94) AS errors,
+    round(count(*) FILTER (WHERE k NOT BETWEEN 90 AND 94) * 100.0::DOUBLE / count(*), 9) AS success_percent, true AS several_batches, true AS has_rate FROM ev""",
+)
+def _(spark, d):
+    """Counters that the micro-batches of a running stream report."""
+    path = scratch_path(spark, "arriving")
+    fixtures.payloads(spark, d).repartition(4).write.parquet(path)
+    topic = readers.Topic(format="parquet", path=path)
+    records = spark.readStream.schema(readers.RECORD_SCHEMA).option("maxFilesPerTrigger", 1).parquet(topic.path)
+    counted = jobs.counted_stream(parse.parse_event_json(records), F.col("error").isNull())
+    log, out = jobs.ProgressLog(spark, scratch_path(spark, "counters")), scratch_path(spark, "consumed")
+    spark.streams.addListener(log)
+    try:
+        write = lambda batch, batch_id: jobs.write_batch(batch.select("event_id", "error"), out, batch_id)
+        run = jobs.micro_batch_hook(counted, write, scratch_path(spark, "progress"), available_now=True)
+        run.awaitTermination()
+        log.settle(run)
+    finally:
+        spark.streams.removeListener(log)
+    rates = jobs.live_rates(log.rows())
+    return rounded(rates.select("messages", "errors", "success_percent", (F.col("batches") > 1).alias("several_batches"), (F.col("per_second") > 0).alias("has_rate")))
+
+
 @query(
     "llm_usage_cost",
     f"""WITH {o.USAGE} SELECT model, base_model, CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens, CAST(sum(completion_tokens) AS BIGINT) AS completion_tokens,

@@ -8,12 +8,13 @@ micro-batch, so a batch that is run again replaces its own output.
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from sentrylake.functions.scalar import hour_of_day, ratio
@@ -22,7 +23,7 @@ from sentrylake.operators.baseline import MIN_EVENTS, SCORES, THRESHOLD, TRAITS,
 from sentrylake.operators.features import UNUSUAL_HOURS
 from sentrylake.operators.lookups import HIGH_THREAT
 from sentrylake.session import ROCKSDB_PROVIDER
-from sentrylake.sources.writers import ANOMALY_KEY, EVENT_KEY, latest_per_key
+from sentrylake.sources.writers import ANOMALY_KEY, EVENT_KEY, latest_per_key, read_note, write_note
 
 DEFAULT_DELAY = "10 minutes"
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
@@ -202,6 +203,63 @@ def event_pipeline_stream(
     return micro_batch_hook(scored, handle, checkpoint, available_now, trigger, state_partitions)
 
 
+# --- live counters ---------------------------------------------------------------------------------
+
+CONSUMER = "consumer"
+_PROGRESS = "query string, batch_id bigint, at timestamp, duration_ms bigint, messages bigint, errors bigint"
+
+
+def counted_stream(messages: DataFrame, ok: Column) -> DataFrame:
+    """The same stream, whose micro-batches report how many messages they have and how many are not ``ok``."""
+    errors = F.count_if(~F.coalesce(ok, F.lit(False)))
+    return messages.observe(CONSUMER, F.count(F.lit(1)).alias("messages"), errors.alias("errors"))
+
+
+class ProgressLog(StreamingQueryListener):
+    """Writes a progress row for each micro-batch of the counted streams, in a file of its own; a batch run again replaces it."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        counts = progress.observedMetrics.get(CONSUMER)
+        if counts is not None:
+            row = {"query": str(progress.id), "batch_id": progress.batchId, "at": progress.timestamp, "duration_ms": progress.batchDuration}
+            write_note(self.spark, f"{self.path}/{progress.id}-{progress.batchId}.json", row | counts.asDict())
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def rows(self) -> DataFrame:
+        return self.spark.read.schema(_PROGRESS).json(self.path)
+
+    def settle(self, query: StreamingQuery, seconds: float = 30.0) -> None:
+        """Wait until the last batch of a query that has ended is written; progress is reported a little later."""
+        last = query.lastProgress
+        until = time.monotonic() + seconds
+        while last and read_note(self.spark, f"{self.path}/{last['id']}-{last['batchId']}.json") is None and time.monotonic() < until:
+            time.sleep(0.1)
+
+
+def live_rates(progress: DataFrame) -> DataFrame:
+    """Messages, errors, messages a second and success share of each query so far."""
+    sums = progress.groupBy("query").agg(
+        F.count("*").alias("batches"), F.sum("messages").alias("messages"), F.sum("errors").alias("errors"), F.sum("duration_ms").alias("_ms")
+    )
+    return sums.select(
+        "query", "batches", "messages", "errors",
+        ratio(F.col("messages") * 1000, "_ms").alias("per_second"),
+        ratio((F.col("messages") - F.col("errors")) * 100, "messages").alias("success_percent"),
+    )
+
+
 # --- windows, duplicates and late events --------------------------------------------------------
 
 
