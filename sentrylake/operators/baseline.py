@@ -8,8 +8,11 @@ the first events only and is plain relational algebra.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,9 +36,11 @@ LOW_FAILURE_RATE = 0.1
 MIN_EVENTS = 100
 THRESHOLD = 0.5
 
-# A user with more events than this is scored in parts of about PART_ROWS events.
-SINGLE_TASK_ROWS = 5_000_000
+# A user's time line is scored in parts of about this many events, of more where all events make over MOST_PARTS parts.
 PART_ROWS = 1_000_000
+MOST_PARTS = 10_000
+# Rounds after which the settled events of a run are taken and the rest starts anew.
+ROUNDS = 64
 
 DIMENSIONS = ("hour", "source_ip", "geo_location", "event_type")
 
@@ -246,32 +251,175 @@ _FLAGGED = (
 _ACCEPTED = "user string, part int, dimension string, value string, accepted bigint"
 
 
-def _records(batch: pa.RecordBatch, names: list[str]) -> Iterator[tuple]:
-    return zip(*[batch.column(name).to_pylist() for name in names])
+def _owners(rows: pa.RecordBatch) -> np.ndarray:
+    """Numbers of the (user, part) of each row, counted up from 0 wherever it changes."""
+    user = rows["user"].dictionary_encode().indices.fill_null(-1).to_numpy()
+    part = rows["part"].to_numpy()
+    return np.cumsum(np.concatenate([[False], (user[1:] != user[:-1]) | (part[1:] != part[:-1])]))
+
+
+class _Groups:
+    """Rows by key: for flags of the rows, how many flagged rows of the same key come before each."""
+
+    def __init__(self, key: np.ndarray):
+        self.order = np.argsort(key, kind="stable")
+        ordered = key[self.order]
+        first = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+        self.head = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
+
+    def before(self, flags: np.ndarray) -> np.ndarray:
+        flags = flags[self.order].astype(np.int64)
+        running = np.cumsum(flags) - flags
+        out = np.empty(len(flags), np.int64)
+        out[self.order] = running - running[self.head]
+        return out
+
+
+def _carried_counts(key: np.ndarray, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Counts of ``key`` in a list of known keys, 0 where it has none."""
+    if not len(known):
+        return np.zeros(len(key), np.int64)
+    order = np.argsort(known)
+    known, counts = known[order], counts[order]
+    at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+    return np.where(known[at] == key, counts[at], 0)
+
+
+class _Run:
+    """Consecutive rows of one or more (user, part), earlier counts first, decided together.
+
+    The decision on an event follows from those on earlier events of its owner. All are first taken as accepted;
+    counts of accepted events by key, running sums, then give new decisions for all rows at once. Each round makes
+    at least the first open decision right, and decisions that repeat are those of one pass in order.
+    """
+
+    def __init__(self, rows: pa.RecordBatch, state: Baseline):
+        self.state = state
+        self.size = rows.num_rows
+        self.owner = _owners(rows)
+        seed = rows["dimension"].is_valid().to_numpy(zero_copy_only=False)
+        self.events, self.seeds = np.flatnonzero(~seed), np.flatnonzero(seed)
+        self.own = self.owner[self.events]
+        self.failed = rows["failed"].fill_null(False).to_numpy(zero_copy_only=False)[self.events]
+        earlier = rows.take(pa.array(self.seeds))
+        self.kinds, self.seed_values = earlier["dimension"].to_pylist(), earlier["value"]
+        self.carried = earlier["carried"].to_numpy() if len(self.seeds) else np.zeros(0, np.int64)
+        self.total = self._start("total", state.total)
+        self.failures = self._start("failed", state.failed)
+        self.vocabulary, self.codes, self.start, self.groups = [], [], [], []
+        for dimension, seen in zip(DIMENSIONS, state.counts):
+            self._read(rows[dimension].dictionary_encode(), dimension, seen)
+        self.by_owner = _Groups(self.own) if len(self.own) else None
+
+    def _of(self, dimension: str) -> np.ndarray:
+        return np.array([i for i, kind in enumerate(self.kinds) if kind == dimension], np.int64)
+
+    def _start(self, name: str, held: int) -> np.ndarray:
+        counts = np.zeros(self.owner[-1] + 1, np.int64)
+        counts[0] = held
+        mine = self._of(name)
+        counts[self.owner[self.seeds[mine]]] = self.carried[mine]
+        return counts[self.own]
+
+    def _read(self, values: pa.DictionaryArray, dimension: str, seen: dict) -> None:
+        words = values.dictionary
+        codes = values.indices.fill_null(-1).to_numpy()[self.events].astype(np.int64)
+        names = words.to_pylist()
+        held = np.array([seen.get(v, 0) for v in names] + [0], np.int64)  # a null has code -1, the last place
+        width = len(names) + 1
+        key = self.own * width + codes + 1
+        mine = self._of(dimension)
+        place = pc.index_in(self.seed_values.take(pa.array(mine)), value_set=words.cast(pa.string()))
+        found = place.is_valid().to_numpy(zero_copy_only=False)
+        known = self.owner[self.seeds[mine[found]]] * width + place.drop_null().to_numpy() + 1
+        self.start.append(np.where(self.own == 0, held[codes], 0) + _carried_counts(key, known, self.carried[mine[found]]))
+        self.vocabulary.append(names)
+        self.codes.append(codes)
+        self.groups.append(_Groups(key) if len(key) else None)
+
+    def _scores(self, accepted: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        total = self.total + self.by_owner.before(accepted)
+        some = np.maximum(total, 1)
+        p = []
+        for codes, start, group in zip(self.codes, self.start, self.groups):
+            seen = start + group.before(accepted)
+            rate = np.where(seen > 0, seen / some, UNSEEN_PROBABILITY)
+            p.append(np.where((total == 0) | (codes < 0), NEUTRAL_PROBABILITY, rate))
+        failures = self.failures + self.by_owner.before(accepted & self.failed)
+        failure = np.where(self.failed & (failures / some < LOW_FAILURE_RATE), FAILURE_PART, 0.0)
+        weighted = (
+            (1 - p[0]) * WEIGHTS["time"]
+            + (1 - p[1]) * WEIGHTS["ip"]
+            + (1 - p[2]) * WEIGHTS["location"]
+            + (1 - p[3]) * WEIGHTS["type"]
+            + failure * WEIGHTS["failure"]
+        )
+        return total, [*p, failure, np.clip(weighted, 0.0, 1.0)]
+
+    def settle(self, min_events: int, threshold: float) -> tuple[int, np.ndarray, list[np.ndarray]]:
+        """How many rows are decided, which of them are anomalies, and the scores of these."""
+        n = len(self.events)
+        accepted, done, scores = np.ones(n, bool), n, [np.zeros(0)] * len(SCORES)
+        for _ in range(ROUNDS if n else 0):
+            total, scores = self._scores(accepted)
+            now = (total < min_events) | (scores[-1] < threshold)
+            changed = np.flatnonzero(now != accepted)
+            accepted = now
+            # Scores up to the first change, that one included, were taken from final decisions.
+            done = changed[0] + 1 if len(changed) else n
+            if done == n:
+                break
+        hits = np.flatnonzero(~accepted[:done])
+        self.accepted = accepted[:done]
+        self.decided = int(self.events[done]) if done < n else self.size
+        return self.decided, self.events[hits], [s[hits] for s in scores]
+
+    def last_state(self) -> Baseline:
+        """Counts of the last owner after the decided rows."""
+        last = self.owner[self.decided - 1]
+        state = self.state if last == 0 else Baseline()
+        at = self.seeds[self.seeds < self.decided]
+        for i in np.flatnonzero(self.owner[at] == last):
+            state.carry(self.kinds[i], self.seed_values[int(i)].as_py(), int(self.carried[i]))
+        learned = np.flatnonzero(self.accepted & (self.own[: len(self.accepted)] == last))
+        for seen, names, codes in zip(state.counts, self.vocabulary, self.codes):
+            mine = codes[learned]
+            found, counts = np.unique(mine[mine >= 0], return_counts=True)
+            for code, count in zip(found.tolist(), counts.tolist()):
+                seen[names[code]] = seen.get(names[code], 0) + count
+        state.total += len(learned)
+        state.failed += int(self.failed[learned].sum())
+        return state
+
+
+def _runs(
+    batches: Iterator[pa.RecordBatch], min_events: int, threshold: float, single: bool = False
+) -> Iterator[tuple[tuple, pa.RecordBatch, np.ndarray, list[np.ndarray], Baseline, int]]:
+    """Decided runs of a partition: the last owner, the rows, places and scores of anomalies, the last owner's counts, and
+    how many of the rows are decided. With ``single`` a run has one owner. A run that does not settle is halved."""
+    owner, state, most = None, Baseline(), 1 << 30
+    for batch in batches:
+        while batch.num_rows:
+            rows = batch.slice(0, most)
+            if single:
+                rows = rows.slice(0, int(np.searchsorted(_owners(rows), 1)))
+            first = (rows["user"][0].as_py(), rows["part"][0].as_py())
+            run = _Run(rows, state if first == owner else Baseline())
+            done, hits, scores = run.settle(min_events, threshold)
+            most = min(1 << 30, 2 * most) if done == rows.num_rows else max(ROUNDS, rows.num_rows // 2)
+            owner, state = (rows["user"][done - 1].as_py(), rows["part"][done - 1].as_py()), run.last_state()
+            yield owner, rows, hits, scores, state, done
+            batch = batch.slice(done)
 
 
 def _flagging(min_events: int, threshold: float):
     """Per partition: emit the anomalous events. A user's state outlives the Arrow batch."""
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        owner, state = None, Baseline()
-        for batch in batches:
-            hits, found = [], []
-            keys = _records(batch, ["user", "part"])
-            carried = _records(batch, ["dimension", "value", "carried"])
-            for i, (key, seed, traits) in enumerate(zip(keys, carried, _records(batch, TRAITS))):
-                if key != owner:
-                    owner, state = key, Baseline()
-                if seed[0] is not None:
-                    state.carry(*seed)
-                    continue
-                scores = state.step(traits, min_events, threshold)
-                if scores is not None:
-                    hits.append(i)
-                    found.append(scores)
-            if hits:
-                events = batch.select(_EVENT).take(pa.array(hits))
-                scores = [pa.array(column, pa.float64()) for column in zip(*found)]
+        for _, rows, hits, scores, _, _ in _runs(batches, min_events, threshold):
+            if len(hits):
+                events = rows.select(_EVENT).take(pa.array(hits))
+                scores = [pa.array(column, pa.float64()) for column in scores]
                 yield pa.RecordBatch.from_arrays([*events.columns, *scores], names=[*_EVENT, *SCORES])
 
     return fold
@@ -287,22 +435,17 @@ def _accepting(min_events: int, threshold: float):
         return pa.RecordBatch.from_arrays(columns, names=["user", "part", "dimension", "value", "accepted"])
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        owner, before, state = None, {}, Baseline()
-        for batch in batches:
-            keys = _records(batch, ["user", "part"])
-            carried = _records(batch, ["dimension", "value", "carried"])
-            for key, seed, traits in zip(keys, carried, _records(batch, TRAITS)):
-                if key != owner:
-                    if owner is not None:
-                        yield gains(owner, before, state)
-                    owner, before, state = key, {}, Baseline()
-                if seed[0] is not None:
-                    state.carry(*seed)
-                    before[seed[:2]] = seed[2]
-                else:
-                    state.step(traits, min_events, threshold)
-        if owner is not None:
-            yield gains(owner, before, state)
+        key, before, state = None, {}, Baseline()
+        for owner, rows, _, _, after, done in _runs(batches, min_events, threshold, single=True):
+            if owner != key:
+                if key is not None:
+                    yield gains(key, before, state)
+                key, before = owner, {}
+            state = after
+            seeds = rows.slice(0, done).filter(rows.slice(0, done)["dimension"].is_valid())
+            before.update(zip(zip(seeds["dimension"].to_pylist(), seeds["value"].to_pylist()), seeds["carried"].to_pylist()))
+        if key is not None:
+            yield gains(key, before, state)
 
     return fold
 
@@ -387,19 +530,33 @@ def _settled_start(rows: DataFrame, min_events: int, threshold: float) -> DataFr
     """
     touched = materialize(_additions(rows), "additions")
     start = materialize(_carried(touched, touched), "start")
+    part = ["user", "part"]
+    key = [*part, "dimension", "value"]
+    same = lambda one, other, names: reduce(
+        Column.__and__, [F.col(f"{one}.{c}").eqNullSafe(F.col(f"{other}.{c}")) for c in names]
+    )
+    gains, changed = None, None
     while True:
-        gains = _ordered(rows, start).mapInArrow(_accepting(min_events, threshold), _ACCEPTED)
+        # Only parts whose starting counts are new are folded again; the others add what they did.
+        again, seeds, kept = rows, start, None
+        if changed is not None:
+            listed = changed.select(*part).distinct()
+            of = lambda table, how: table.alias("t").join(listed.alias("c"), same("t", "c", part), how)
+            again, seeds, kept = of(rows, "left_semi"), of(start, "left_semi"), of(gains, "left_anti")
+        folded = _ordered(again, seeds).mapInArrow(_accepting(min_events, threshold), _ACCEPTED)
+        gains = materialize(folded if kept is None else folded.unionByName(kept), "gains")
         following = materialize(_carried(touched, gains), "start")
-        if following.exceptAll(start).isEmpty():
-            return start
+        changed = following.alias("n").join(start.alias("o"), same("n", "o", [*key, "carried"]), "left_anti")
         start = following
+        if changed.isEmpty():
+            return start
 
 
 def baseline_anomaly_detector(
     events: DataFrame,
     min_events: int = MIN_EVENTS,
     threshold: float = THRESHOLD,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    single_task_rows: int = PART_ROWS,
     part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """Anomalies of every user by a baseline that goes on learning from accepted events.
@@ -407,19 +564,21 @@ def baseline_anomaly_detector(
     A user's events are taken in (time, id) order. Until ``min_events`` are learned nothing is
     reported; after that an event that scores ``threshold`` or more is reported and not learned.
 
-    Ordinary users are folded one after another in their partition, with only the current user's
-    counts in memory. Users with more than ``single_task_rows`` events are cut into parts that are
-    folded in parallel until their starting counts settle; the result is the same.
+    Runs of events are decided together, so users are folded one after another in their partition at
+    the speed of array sums, with only the current user's counts in memory. The time line of a user with more than
+    ``single_task_rows`` events is cut into parts that are folded in parallel until their starting counts settle; the
+    result is the same. There are at most about ``MOST_PARTS`` parts, so the list of such users is short.
     """
     threshold = min(1.0, max(0.0, threshold))
     facts = _facts(events)
-    # At most (all events / single_task_rows) users, a short list by construction.
-    sizes = facts.groupBy("user").agg(F.count("*").alias("n"))
-    large_users = materialize(sizes.where(F.col("n") > single_task_rows), "large-users")
+    sizes = materialize(facts.groupBy("user").agg(F.count("*").alias("n")), "user-sizes")
+    most, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    single_task_rows, part_rows = (max(rows, (total or 0) // MOST_PARTS) for rows in (single_task_rows, part_rows))
     fold = _flagging(min_events, threshold)
-    if large_users.isEmpty():
+    if (most or 0) <= single_task_rows:
         flagged = _ordered(facts.withColumn("part", F.lit(0))).mapInArrow(fold, _FLAGGED)
         return flagged.select(*_anomaly_row())
+    large_users = sizes.where(F.col("n") > single_task_rows)
     ordinary = _of_users(facts, large_users, "left_anti").withColumn("part", F.lit(0))
     cut = materialize(_parts(facts, large_users, part_rows), "parts")
     start = _settled_start(cut, min_events, threshold)
