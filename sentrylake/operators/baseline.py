@@ -612,6 +612,14 @@ def baseline_profiles(events: DataFrame) -> DataFrame:
     )
 
 
+def baseline_snapshot(accepted: DataFrame) -> DataFrame:
+    """The counts that a stream starts from: the profiles of the accepted events, and each user's totals."""
+    totals = accepted.groupBy("user").agg(F.count("*").alias("total"), F.count_if(F.col("status") == "failed").alias("failed"))
+    long = totals.unpivot("user", ["total", "failed"], "dimension", "events")
+    profiles = baseline_profiles(accepted)
+    return profiles.unionByName(long.select("user", "dimension", F.lit(None).cast("string").alias("value"), "events"))
+
+
 def baseline_totals(events: DataFrame, min_events: int = MIN_EVENTS) -> DataFrame:
     """Totals of each tracked user and whether its baseline is ready."""
     return events.groupBy("user").agg(

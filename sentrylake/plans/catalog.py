@@ -1327,6 +1327,27 @@ def _(spark, d):
     return _joined(_run_stream(jobs.baseline_stream(_event_stream(spark, d), LEARN, CUT)), "reasons")
 
 
+_MIDDLE = "(min(ts_ms) + max(ts_ms)) // 2"
+
+
+@query("baseline_stream_from_snapshot", f"{o.FOLD} AND ts_ms >= (SELECT {_MIDDLE} FROM ev)")
+def _(spark, d):
+    """The batch detector takes the earlier half of the time, a stream of several micro-batches goes on from its counts."""
+    ev = fixtures.events(spark, d).drop("k", "seq")
+    middle = ev.agg(F.expr(_MIDDLE.replace("//", "div")).alias("middle"))
+    half = lambda late: ev.crossJoin(F.broadcast(middle)).where((F.col("ts_ms") >= F.col("middle")) == late).drop("middle")
+    start = materialize(baseline.baseline_snapshot(baseline.accepted_events(half(False), LEARN, CUT)), "snapshot")
+    later, path = half(True), scratch_path(spark, "arriving")
+    bounds = later.agg(F.min("ts_ms"), F.max("ts_ms")).first()
+    step = (bounds[1] - bounds[0]) // 3 + 1 if bounds[0] is not None else 1
+    for i in range(3):
+        # Files of later events are written later, and a micro-batch takes one of them.
+        part = later.where(F.floor((F.col("ts_ms") - F.lit(bounds[0])) / step) == i)
+        part.coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(later.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return _joined(_run_stream(jobs.baseline_stream(stream, LEARN, CUT, start)), "reasons")
+
+
 @query("frozen_baseline_detector", f"WITH {o.EV}, {o.AN} SELECT {A} FROM an")
 def _(spark, d):
     return _joined(_anomalies(spark, d), "reasons")

@@ -7,10 +7,11 @@ micro-batch, so a batch that is run again replaces its own output.
 
 from __future__ import annotations
 
-import json
+import heapq
 import time
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from sentrylake.functions.scalar import hour_of_day, ratio
 from sentrylake.functions.text import anomaly_reasons
-from sentrylake.operators.baseline import MIN_EVENTS, SCORES, THRESHOLD, TRAITS, Baseline
+from sentrylake.operators.baseline import DIMENSIONS, MIN_EVENTS, SCORES, THRESHOLD, TRAITS, Baseline
 from sentrylake.operators.features import UNUSUAL_HOURS
 from sentrylake.operators.lookups import HIGH_THREAT
 from sentrylake.session import ROCKSDB_PROVIDER
@@ -41,7 +42,10 @@ _SCORED = (
 
 
 class _BaselineProcessor(StatefulProcessor):
-    """Scores one user's events of a micro-batch in time order and keeps the learned counts."""
+    """Scores one user's events of a micro-batch in time order and keeps the learned counts.
+
+    Totals and the counts of the 24 hours are one value of fixed size; every other value has an entry of its own.
+    """
 
     def __init__(self, min_events: int, threshold: float, only_anomalies: bool):
         self.min_events = min_events
@@ -49,38 +53,107 @@ class _BaselineProcessor(StatefulProcessor):
         self.only_anomalies = only_anomalies
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("baseline", "counts string")
+        self.totals = handle.getValueState("totals", "total bigint, failed bigint, hours array<bigint>")
+        self.counts = handle.getMapState("counts", "dimension string, value string", "n bigint")
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        baseline = self._totals()
+        rows = initialState[["dimension", "value", "events"]]
+        for dimension, value, n in rows.astype(object).where(rows.notna(), None).itertuples(index=False):
+            baseline.carry(dimension, value, int(n))
+        self._store(baseline, {})
 
-    def _load(self) -> Baseline:
+    def _totals(self) -> Baseline:
         baseline = Baseline()
-        if self.state.exists():
-            for dimension, value, count in json.loads(self.state.get()[0]):
-                baseline.carry(dimension, value, count)
+        found = self.totals.get()
+        if found is not None:
+            baseline.total, baseline.failed, hours = found
+            baseline.counts[0].update({hour: n for hour, n in enumerate(hours) if n})
+        return baseline
+
+    def _load(self, frames: list[pd.DataFrame]) -> Baseline:
+        """The user's totals, and the counts of the values that these events have."""
+        baseline = self._totals()
+        if not baseline.total:
+            return baseline
+        for dimension in DIMENSIONS[1:]:
+            for value in {v for frame in frames for v in frame[dimension].dropna().unique()}:
+                found = self.counts.getValue((dimension, value))
+                if found is not None:
+                    baseline.carry(dimension, value, int(found[0]))
         return baseline
 
+    def _store(self, baseline: Baseline, before: dict[tuple, int]) -> None:
+        """Totals, and the counts that are not as ``before``."""
+        hours = [baseline.counts[0].get(hour, 0) for hour in range(24)]
+        self.totals.update((baseline.total, baseline.failed, hours))
+        for key, n in baseline.entries().items():
+            if key[0] in DIMENSIONS[1:] and before.get(key) != n:
+                self.counts.updateValue(key, (n,))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # One user's share of one micro-batch; the trigger's size limit bounds it.
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["ts_ms", "event_id", "arrival"])
-        baseline = self._load()
-        traits = [batch[c].astype(object).where(batch[c].notna(), None).tolist() for c in TRAITS]
-        results = [baseline.step(t, self.min_events, self.threshold) for t in zip(*traits)]
-        self.state.update((json.dumps([[*k, n] for k, n in baseline.entries().items()]),))
-        none = (None,) * len(SCORES)
-        scores = pd.DataFrame([r or none for r in results], columns=SCORES, index=batch.index, dtype="float64")
-        out = pd.concat([batch[[*EVENT_COLUMNS, "arrival", "hour"]], scores], axis=1)
-        yield out[out["anomaly_score"].notna()] if self.only_anomalies else out
+        # The frames are one user's share of one micro-batch, which the trigger's limit bounds. Each is put in order by
+        # itself, and the fold takes their events as they come by time; no frame of all of them is made.
+        order = ["ts_ms", "event_id", "arrival"]
+        frames = [frame.sort_values(order, ignore_index=True) for frame in rows]
+        baseline = self._load(frames)
+        before = baseline.entries()
+        hits = [([], []) for _ in frames]
+        for number, at, traits in heapq.merge(*map(_events_of, range(len(frames)), frames), key=_time_of):
+            scores = baseline.step(traits, self.min_events, self.threshold)
+            if scores is not None:
+                hits[number][0].append(at)
+                hits[number][1].append(scores)
+        self._store(baseline, before)
+        for frame, (places, scores) in zip(frames, hits):
+            out = frame[[*EVENT_COLUMNS, "arrival", "hour"]]
+            found = np.array(scores, "float64").reshape(-1, len(SCORES))
+            if self.only_anomalies:
+                out, filled = out.take(places), found
+            else:
+                filled = np.full((len(out), len(SCORES)), np.nan)
+                filled[places] = found
+            yield pd.concat([out, pd.DataFrame(filled, columns=SCORES, index=out.index)], axis=1)
 
     def close(self) -> None:
         pass
 
 
+def _events_of(number: int, frame: pd.DataFrame) -> Iterator[tuple]:
+    """Events of an ordered frame: its number, their place, their traits and, last, what orders them."""
+    lists = (frame[c].tolist() for c in [*TRAITS, "ts_ms", "event_id", "arrival"])
+    columns = [[None if v != v else v for v in values] for values in lists]
+    for at, (*traits, ts_ms, event_id, arrival) in enumerate(zip(*columns)):
+        # Without a time an event comes last, as when a frame is sorted.
+        yield _Event(number, at, traits, ((ts_ms is None, ts_ms or 0), (event_id is None, event_id or ""), arrival))
+
+
+class _Event(tuple):
+    """(frame, place, traits), with the event's position in time beside it."""
+
+    def __new__(cls, number, at, traits, time):
+        self = super().__new__(cls, (number, at, traits))
+        self.time = time
+        return self
+
+
+def _time_of(event: _Event) -> tuple:
+    return event.time
+
+
 def score_stream(
-    events: DataFrame, min_events: int = MIN_EVENTS, threshold: float = THRESHOLD, only_anomalies: bool = False
+    events: DataFrame,
+    min_events: int = MIN_EVENTS,
+    threshold: float = THRESHOLD,
+    only_anomalies: bool = False,
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """Every event with its scores, null unless it is an anomaly.
 
-    State is keyed by user, so one user's events of a micro-batch are scored by one task; the
-    source's limit per trigger (offsets or files) is what bounds that task.
+    State is keyed by user and holds a count for each value, so an event reads and writes the few that are its own; one
+    user's events of a micro-batch are scored by one task, and the source's limit per trigger (offsets or files) is
+    what bounds that task. ``start`` has counts that users begin with (``baseline_snapshot``); they are read with the
+    first micro-batch only.
     """
     # Copies of a key come from one partition of a topic, where the offset tells which is later. A source without
     # positions cannot tell; of its copies in one micro-batch the one with the highest score counts as the last.
@@ -97,6 +170,7 @@ def score_stream(
         outputStructType=_SCORED,
         outputMode="Append",
         timeMode="None",
+        initialState=None if start is None else start.select("user", "dimension", "value", "events").groupBy("user"),
     )
 
 
@@ -116,13 +190,16 @@ def _as_anomalies(scored: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def baseline_stream(events: DataFrame, min_events: int = MIN_EVENTS, threshold: float = THRESHOLD) -> DataFrame:
+def baseline_stream(
+    events: DataFrame, min_events: int = MIN_EVENTS, threshold: float = THRESHOLD, start: DataFrame | None = None
+) -> DataFrame:
     """Anomalies of an event stream, by the same rule as the batch detector.
 
     Within a micro-batch a user's events are taken in time order; an event that arrives in a later
-    micro-batch is scored then, as arrival order decides between batches.
+    micro-batch is scored then, as arrival order decides between batches. With ``start``, the counts of a batch
+    snapshot, the stream goes on where the batch detector ended.
     """
-    return _as_anomalies(score_stream(events, min_events, threshold, only_anomalies=True))
+    return _as_anomalies(score_stream(events, min_events, threshold, True, start))
 
 
 # --- sinks -----------------------------------------------------------------------------------

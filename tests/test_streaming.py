@@ -3,10 +3,10 @@ import random
 
 from pyspark.sql import functions as F
 
-from sentrylake.operators.baseline import baseline_anomaly_detector
+from sentrylake.operators.baseline import accepted_events, baseline_anomaly_detector, baseline_snapshot
 from sentrylake.plans import fixtures
 from sentrylake.plans.catalog import _run_stream
-from sentrylake.session import scratch_path
+from sentrylake.session import materialize, scratch_path
 from sentrylake.sources import writers
 from sentrylake.streaming import jobs
 
@@ -32,6 +32,34 @@ def test_state_carries_over_micro_batches(spark, sf):
     assert streamed.select(batch.columns).exceptAll(batch).isEmpty()
 
 
+def test_stream_goes_on_from_a_snapshot(spark, sf):
+    first, second = halves(spark, sf)
+    start = materialize(baseline_snapshot(accepted_events(first, 20, 0.7)), "snapshot")
+    # Later micro-batches and users without a snapshot start from what the stream has learned.
+    middle = second.agg(F.percentile("ts_ms", F.lit(0.5))).first()[0]
+    parts = second.where(F.col("ts_ms") < middle), second.where(F.col("ts_ms") >= middle)
+    streamed = _run_stream(jobs.baseline_stream(arriving(spark, *parts), 20, 0.7, start))
+    batch = baseline_anomaly_detector(first.unionByName(second), 20, 0.7).join(second.select("event_id"), "event_id", "left_semi")
+    assert streamed.count() == batch.count() > 0
+    assert streamed.select(batch.columns).exceptAll(batch).isEmpty()
+
+
+def test_share_of_a_user_in_several_frames(spark, sf):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "7")
+    try:
+        ev = fixtures.events(spark, sf).withColumn("user", F.lit("only"))
+        batch = baseline_anomaly_detector(ev, 20, 0.6)
+        streamed = _run_stream(jobs.baseline_stream(arriving(spark, ev.orderBy(F.rand(1))), 20, 0.6))
+        scored = _run_stream(jobs.score_stream(arriving(spark, ev), 20, 0.6))
+        assert streamed.count() == batch.count() > 0
+        assert streamed.select(batch.columns).exceptAll(batch).isEmpty()
+        assert scored.count() == ev.count() and scored.where("anomaly_score is not null").count() == batch.count()
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_job_writes_all_tables_once(spark, sf):
     first, second = halves(spark, sf)
     path = scratch_path(spark, "job")
