@@ -21,7 +21,7 @@ from sentrylake.operators import (
 from sentrylake.plans import fixtures, training
 from sentrylake.plans import oracle as o
 from sentrylake.session import materialize, scratch_path
-from sentrylake.sources import intel_index, parse, readers, writers
+from sentrylake.sources import intel_index, parse, readers, vector_index, writers
 from sentrylake.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -982,17 +982,44 @@ def _query_vector(spark: SparkSession, d: str) -> list[float]:
     return fixtures.table(spark, d, "embeddings").where("vec_id = 0").first()["embedding"]
 
 
-@query(
-    "similar_events",
-    """WITH q AS (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id = 0)
+_SIMILAR_SQL = """WITH q AS (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id = 0)
     SELECT vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT v FROM q)), 6) AS similarity
-    FROM embeddings ORDER BY list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT v FROM q)) DESC, vec_id LIMIT 10""",
-)
+    FROM embeddings ORDER BY list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT v FROM q)) DESC, vec_id LIMIT 10"""
+
+
+@query("similar_events", _SIMILAR_SQL)
 def _(spark, d):
     vectors = fixtures.table(spark, d, "embeddings")
     return rounded(similarity.similar_events(vectors, _query_vector(spark, d), 10, key="vec_id"), 6)
 
 
+def _stored_vectors(spark, d) -> str:
+    """The cell index of the vectors, stored once for an application."""
+    key = (spark.sparkContext.applicationId, d, "vectors")
+    if key not in _STORED:
+        vectors = fixtures.table(spark, d, "embeddings")
+        _STORED[key] = vector_index.index_vectors(vectors, scratch_path(spark, "cells"), "vec_id")
+    return _STORED[key]
+
+
+@query("similar_events_indexed", _SIMILAR_SQL)
+def _(spark, d):
+    return rounded(vector_index.similar_indexed(spark, _stored_vectors(spark, d), _query_vector(spark, d), 10), 6)
+
+
+@query(
+    "similar_events_many",
+    """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+    s AS (SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(v.v, q.v) AS s FROM v, v AS q WHERE q.vec_id % 50 = 0)
+    SELECT query_id, vec_id, round(s, 6) AS similarity FROM s
+    QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) <= 10""",
+)
+def _(spark, d):
+    asked = fixtures.table(spark, d, "embeddings").where("vec_id % 50 = 0")
+    asked = asked.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    return rounded(vector_index.similar_many(spark, _stored_vectors(spark, d), asked, 10), 6)
+
+
 def _stored_intel(spark, d) -> str:
     """The intelligence table with its index, stored once for an application; a part of it comes as a second merge."""
     key = (spark.sparkContext.applicationId, d)
