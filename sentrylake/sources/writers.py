@@ -95,17 +95,17 @@ def finish(spark: SparkSession, path: str) -> None:
     for folder in note["drop"]:
         remove_path(spark, f"{path}/{folder}")
     if note["folders"]:
-        write_note(spark, f"{path}.layout", {"folders": note["folders"]})
+        write_note(spark, f"{path}.layout", {"folders": note["folders"], "by": note.get("by")})
     remove_path(spark, f"{path}.pending")
 
 
-def _change(rows: DataFrame, path: str, partitions: tuple[str, ...], options: dict, whole=False, drop=(), folders=None) -> str:
+def _change(rows: DataFrame, path: str, partitions: tuple[str, ...], options: dict, whole=False, drop=(), folders=None, by=None) -> str:
     """Replace the folders of ``rows`` (or the whole table) and drop others, so that it can be taken up again."""
     spark = rows.sparkSession
     staged = scratch_path(spark, "staged")
     rows.write.parquet(staged)
     note = {"staged": staged, "schema": json.loads(rows.schema.json()), "partitions": partitions, "options": options}
-    write_note(spark, f"{path}.pending", note | {"whole": whole, "drop": list(drop), "folders": folders})
+    write_note(spark, f"{path}.pending", note | {"whole": whole, "drop": list(drop), "folders": folders, "by": by})
     finish(spark, path)
     return path
 
@@ -154,28 +154,36 @@ def _same_types(stored: DataFrame, rows: DataFrame) -> None:
         raise ValueError(f"stored columns would change their type: {', '.join(changed)}")
 
 
-def merge_by_key(rows: DataFrame, path: str, key: tuple[str, ...], **options: str) -> str:
-    """``merge`` for a table in folders by a hash of its key.
+def key_folder(by: tuple[str, ...] | list[Column], folders: int) -> Column:
+    return F.pmod(F.xxhash64(*by), F.lit(folders)).cast("int")
+
+
+def merge_by_key(
+    rows: DataFrame, path: str, key: tuple[str, ...], by: tuple[str, ...] = (), then: tuple[str, ...] = (), **options: str
+) -> str:
+    """``merge`` for a table in folders by a hash of its key, or of the columns ``by`` of its key; folders may be divided
+    further by the values of ``then``, so that a batch touches only a part of a frequent value's rows.
 
     Their number follows the table: once they would hold more than ``FOLDER_ROWS`` rows each, all rows are dealt anew
     over twice as many or more, so a small batch touches a small part of a large table.
     """
     spark = rows.sparkSession
-    stored = read_stored(spark, path, {"key_folder": "int"})
+    partitions = ("key_folder", *then)
+    stored = read_stored(spark, path, {"key_folder": "int"} | {c: rows.schema[c].dataType.simpleString() for c in then})
     rows = materialize(rows, "arrived")
     now = (read_note(spark, f"{path}.layout") or {"folders": FEWEST_FOLDERS})["folders"] if stored is not None else 0
     total = rows.count() + (stored.count() if stored is not None else 0)
     wanted = max(FEWEST_FOLDERS, 1 << max(0, -(-total // FOLDER_ROWS) - 1).bit_length())
     folders = max(now, wanted)
-    folder = F.pmod(F.xxhash64(*key), F.lit(folders)).cast("int")
+    folder = key_folder(by or key, folders)
     rows = rows.withColumn("key_folder", folder)
     if folders == now:
-        return merge(rows, path, key, ("key_folder",), **options)
+        return merge(rows, path, key, partitions, **options)
     if stored is not None:
         _same_types(stored, rows)
         kept = _matched(stored.withColumn("key_folder", folder), rows.select(*key), key, "left_anti")
         rows = kept.unionByName(rows, allowMissingColumns=True)
-    return _change(rows, path, ("key_folder",), options, whole=True, folders=folders)
+    return _change(rows, path, partitions, options, whole=True, folders=folders, by=list(by or key))
 
 
 def upsert_events(rows: DataFrame, path: str, *arrival: Column | str) -> str:
