@@ -85,7 +85,8 @@ def _grow(tree: int, rows: np.ndarray, seed: int) -> pd.DataFrame:
             nodes.append([tree, here, -1, 0.0, here, here, depth + average_path(len(members))])
             continue
         feature = int(rng.choice(splittable))
-        cut = rng.uniform(low[feature], high[feature])
+        # Between neighbouring doubles the draw is rounded to one of them; the highest value always goes right.
+        cut = min(rng.uniform(low[feature], high[feature]), np.nextafter(high[feature], low[feature]))
         goes_left = values[:, feature] <= cut
         nodes.append([tree, here, feature, cut, -1, -1, 0.0])
         open_nodes.append((members[~goes_left], depth + 1, (here, 5)))

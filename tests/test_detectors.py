@@ -44,6 +44,13 @@ def test_trees_draw_from_all_rows_at_any_size(spark, n):
     assert abs(low / sum(sizes) - 0.5) < 0.05
 
 
+def test_trees_split_neighbouring_doubles():
+    rows = np.array([[0.1], [np.nextafter(0.1, 1)]])
+    for tree in range(40):
+        nodes = detectors._grow(tree, rows, 42)
+        assert len(nodes) == 3 and (nodes["feature"] == 0).sum() == 1
+
+
 def test_kmeans_distance_and_flag(table):
     rows = detectors.kmeans_anomaly(table, COLUMNS, k=2).orderBy(F.desc("anomaly_score_normalized")).collect()
     assert len(rows) == 302 and rows[0].anomaly_score_normalized == 1.0 and rows[0].is_anomaly == 1
