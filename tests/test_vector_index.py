@@ -73,3 +73,17 @@ def test_empty_table(spark):
     assert vector_index.similar_indexed(spark, path, [1.0] * 16, 3).count() == 0
     queries = made(spark).limit(2).select(F.col("event_id").alias("query_id"), F.col("embedding").alias("query"))
     assert vector_index.similar_many(spark, path, queries, 3).count() == 0
+
+
+def test_many_queries_meet_in_bounded_parts(spark, stored, monkeypatch):
+    """Bins and parts are bounded and dealt over tasks, and equal vectors come in the order of their keys."""
+    monkeypatch.setattr(vector_index, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(vector_index, "QUERY_ROWS", 8)
+    bins, n = vector_index._bins((np.array([0, 1, 2, 3]), np.eye(4), None, None), [-1], {0: 30, 1: 200, 2: 30, 3: 30, -1: 70})
+    assert bins[1][1] == 4 and bins[-1][1] == 2 and n == 8 and len({bins[c] for c in (0, 2, 3)}) == 2
+    rows, path = stored
+    queries = rows.where("event_id < 40").select(F.col("event_id").alias("query_id"), F.col("embedding").alias("query"))
+    got = vector_index.similar_many(spark, path, queries, 2)
+    found = sorted((r["query_id"], -r["similarity"], r["event_id"] is not None, r["event_id"] or 0) for r in got.collect())
+    assert len(found) == 80 and [f[2:] for f in found if f[0] == 2] == [(True, 2), (True, 902)] and [f[2:] for f in found if f[0] == 3] == [(False, 0), (True, 3)]
+    assert "CoGroup" in got._jdf.queryExecution().toString()
