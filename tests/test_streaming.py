@@ -130,3 +130,52 @@ def test_sliding_windows_by_hand(spark):
             mean = None if r["avg_threat_score"] is None else round(r["avg_threat_score"], 9)
             found = (r["total_events"], r["unique_ips"], r["unique_event_types"], mean, r["max_threat_score"], r["failed_events"], r["unusual_hour_events"])
             assert expected[r["window_start_ms"], r["user"]] == found
+
+
+def test_a_user_with_few_values_has_one_row_of_state(spark, sf, monkeypatch):
+    """One read and one write of state for a user's micro-batch, entries only beyond; both give the detector's results."""
+    calls = {"values": 0, "entries": 0}
+
+    class Value:
+        held = None
+
+        def get(self):
+            calls["values"] += 1
+            return self.held
+
+        def update(self, row):
+            calls["values"] += 1
+            self.held = row
+
+    class Entries(dict):
+        def getValue(self, key):
+            calls["entries"] += 1
+            return self.get(key)
+
+        def updateValue(self, key, row):
+            calls["entries"] += 1
+            self[key] = row
+
+    facts = fixtures.events(spark, sf).where("user = 'user_3'").withColumns({"hour": F.hour("ts"), "failed": F.col("status") == "failed"})
+    rows = facts.orderBy("ts_ms", "event_id").select("user", F.to_json(F.struct("*")).alias("event")).collect()
+    found = {}
+    for few in (256, 2):
+        monkeypatch.setattr(jobs, "FEW_VALUES", few)
+        job = jobs._BaselineProcessor(20, 0.7, True)
+        job.totals, job.counts = Value(), Entries()
+        out = [r for at in range(0, len(rows), 10) for r in job.handleInputRows(("user_3",), iter(rows[at : at + 10]), None)]
+        found[few] = sorted((r["event"], r["anomaly_score"]) for r in out)
+        if few == 256:
+            assert calls == {"values": 2 * -(-len(rows) // 10), "entries": 0}
+    assert found[256] == found[2] and len(found[2]) > 0 and calls["entries"] > 0
+
+
+def test_snapshot_of_many_values_comes_in_rows(spark, sf, monkeypatch):
+    monkeypatch.setattr(jobs, "START_VALUES", 3)
+    first, second = halves(spark, sf)
+    start = materialize(baseline_snapshot(accepted_events(first, 20, 0.7)), "snapshot")
+    assert jobs._packed(start).count() > start.select("user").distinct().count()
+    streamed = _run_stream(jobs.baseline_stream(arriving(spark, second), 20, 0.7, start))
+    batch = baseline_anomaly_detector(first.unionByName(second), 20, 0.7).join(second.select("event_id"), "event_id", "left_semi")
+    assert streamed.count() == batch.count() > 0
+    assert streamed.select(batch.columns).exceptAll(batch).isEmpty()
