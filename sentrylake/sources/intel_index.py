@@ -15,7 +15,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentrylake.operators.similarity import DEFAULT_MATCHES, MAX_MATCHES, WORD, damped, vector_length, words_of
+from sentrylake.operators.similarity import DEFAULT_MATCHES, MAX_MATCHES, WORD, damped, words_of
 from sentrylake.session import materialize
 from sentrylake.sources.writers import read_note, read_stored, remove_path, write_note, write_threat_intel
 
@@ -32,13 +32,20 @@ def _folder(term: Column) -> Column:
 
 
 def postings(entries: DataFrame) -> DataFrame:
-    """``term, weight, length, id``: one row per word of an entry. Texts are split where they lie; only words are shuffled."""
-    words = entries.select(F.col("id").cast("string").alias("id"), words_of(F.coalesce("description", F.lit(""))).alias("words"))
+    """``term, weight, length, id``: one row per word of an entry, counted within the entry, so nothing is shuffled."""
+    words = F.array_sort(words_of(F.coalesce("description", F.lit(""))))
+    words = entries.select(F.col("id").cast("string").alias("id"), words.alias("words")).where(F.size("words") > 0)
+    word = lambda at: F.element_at("words", at.cast("int"))
+    # Where a run of equal words starts in the sorted list, and one place beyond the list.
+    first = F.filter(F.sequence(F.lit(1), F.size("words")), lambda at: (at == 1) | (word(at) != word(F.greatest(at - 1, F.lit(1)))))
+    runs = words.withColumn("first", F.array_append(first, F.size("words") + 1))
+    weight = lambda at, i: damped(F.get("first", i + 1) - at)
+    starts = F.slice("first", 1, F.size("first") - 1)
+    runs = runs.select("id", F.transform(starts, lambda at, i: F.struct(word(at).alias("term"), weight(at, i).alias("weight"))).alias("terms"))
     # Before the words are listed: the list would otherwise have it computed for each word.
-    words = words.withColumn("length", vector_length(F.col("words")))
-    words = words.select("id", "length", F.explode("words").alias("term"))
-    counted = words.groupBy("id", "term").agg(F.count("*").alias("n"), F.first("length").alias("length"))
-    return counted.select("term", damped(F.col("n")).alias("weight"), "length", "id")
+    runs = runs.withColumn("length", F.sqrt(F.aggregate("terms", F.lit(0.0), lambda sum_, t: sum_ + F.pow(t["weight"], 2))))
+    # The inner form would have the optimiser filter by the size of the list first, with all of the above computed per word.
+    return runs.select("id", "length", F.explode_outer("terms").alias("t")).select("t.term", "t.weight", "length", "id")
 
 
 def _write_segment(entries: DataFrame, path: str, segment: int) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentrylake.schema import ANOMALY_REPORT, BATCH_ANOMALY
-from sentrylake.session import prepare
+from sentrylake.session import materialize, prepare
 from sentrylake.sources.parse import project_events
 
 RECORD_SCHEMA = (
@@ -286,5 +286,12 @@ def load_threat_intel(entries: DataFrame) -> DataFrame:
         F.coalesce("severity", F.lit("medium")).alias("severity"),
         F.coalesce("mitre_attack", F.lit("")).alias("mitre_attack"),
     )
+    # Only entries whose id is repeated are brought together; all others stay where they are read.
+    repeated = filled.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("_id"))
+    repeated = materialize(repeated, "repeated")
+    if repeated.isEmpty():
+        return filled
     content = F.struct("description", "category", "severity", "mitre_attack")
-    return filled.groupBy("id").agg(F.min(content).alias("entry")).select("id", "entry.*")
+    same = F.col("id").eqNullSafe(F.col("_id"))
+    chosen = filled.join(repeated, same, "left_semi").groupBy("id").agg(F.min(content).alias("entry")).select("id", "entry.*")
+    return filled.join(repeated, same, "left_anti").unionByName(chosen)

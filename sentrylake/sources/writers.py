@@ -141,7 +141,10 @@ def merge(rows: DataFrame, path: str, key: tuple[str, ...], partitions: tuple[st
     if stored is None:
         return _write(rows, path, *partitions, **options)
     _same_types(stored, rows)
-    rows = materialize(rows, "arrived")
+    return _merge_arrived(materialize(rows, "arrived"), stored, path, key, partitions, options)
+
+
+def _merge_arrived(rows: DataFrame, stored: DataFrame, path: str, key: tuple[str, ...], partitions: tuple[str, ...], options: dict) -> str:
     touched = rows.select(*partitions).distinct()
     kept = _matched(_matched(stored, touched, partitions, "left_semi"), rows.select(*key), key, "left_anti")
     return _change(kept.unionByName(rows, allowMissingColumns=True), path, partitions, options)
@@ -170,19 +173,23 @@ def merge_by_key(
     spark = rows.sparkSession
     partitions = ("key_folder", *then)
     stored = read_stored(spark, path, {"key_folder": "int"} | {c: rows.schema[c].dataType.simpleString() for c in then})
-    rows = materialize(rows, "arrived")
+    # A new table is written from the rows as they come; others are read several times for a change.
+    rows = rows if stored is None else materialize(rows, "arrived")
     now = (read_note(spark, f"{path}.layout") or {"folders": FEWEST_FOLDERS})["folders"] if stored is not None else 0
     total = rows.count() + (stored.count() if stored is not None else 0)
     wanted = max(FEWEST_FOLDERS, 1 << max(0, -(-total // FOLDER_ROWS) - 1).bit_length())
     folders = max(now, wanted)
     folder = key_folder(by or key, folders)
     rows = rows.withColumn("key_folder", folder)
+    if stored is None:
+        # There is nothing to lose; the layout without a table says nothing.
+        write_note(spark, f"{path}.layout", {"folders": folders, "by": list(by or key)})
+        return _write(rows, path, *partitions, **options)
+    _same_types(stored, rows)
     if folders == now:
-        return merge(rows, path, key, partitions, **options)
-    if stored is not None:
-        _same_types(stored, rows)
-        kept = _matched(stored.withColumn("key_folder", folder), rows.select(*key), key, "left_anti")
-        rows = kept.unionByName(rows, allowMissingColumns=True)
+        return _merge_arrived(rows, stored, path, key, partitions, options)
+    kept = _matched(stored.withColumn("key_folder", folder), rows.select(*key), key, "left_anti")
+    rows = kept.unionByName(rows, allowMissingColumns=True)
     return _change(rows, path, partitions, options, whole=True, folders=folders, by=list(by or key))
 
 
