@@ -95,6 +95,22 @@ def test_sliding_stream_agrees_on_counts(spark, sf):
     assert streamed.where("user <> 'end'").count() == exact.count()
 
 
+def test_sliding_stream_sends_an_event_once_to_a_group_of_windows(spark):
+    rng, rows = random.Random(7), []
+    for _ in range(300):
+        ts = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc) + dt.timedelta(hours=rng.choice([0, 1, 5, 9, 30, 31, 80]), minutes=rng.randint(0, 300))
+        ip, kind = rng.choice([None, "a", "b", "c"]), rng.choice([None, "x", "y"])
+        rows.append((rng.choice(["u", "v", None]), ts, ip, kind, rng.choice([None, 0.25, 0.5]), rng.choice(["failed", "success", None])))
+    events = spark.createDataFrame(rows, "user string, ts timestamp, source_ip string, event_type string, threat_score double, status string")
+    for size, slide in ((24, 1), (6, 1), (24, 2), (1, 1)):
+        exact = jobs.sliding_features(events, size, slide)
+        got = jobs.sliding_feature_stream(events, f"{size} hours", f"{slide} hours").select(exact.columns)
+        assert got.count() == exact.count() and got.exceptAll(exact).isEmpty()
+    plan = jobs.sliding_feature_stream(events)._jdf.queryExecution().optimizedPlan().toString()
+    expand = next(line for line in plan.splitlines() if "Expand" in line)
+    assert expand.count("], [") + 1 <= 6
+
+
 def test_late_events_are_set_aside(spark, sf):
     first, second = halves(spark, sf)
     out = scratch_path(spark, "late")
