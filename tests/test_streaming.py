@@ -111,6 +111,16 @@ def test_sliding_stream_sends_an_event_once_to_a_group_of_windows(spark):
     assert expand.count("], [") + 1 <= 6
 
 
+def test_sliding_features_take_more_tasks_for_more_events(spark, sf, monkeypatch):
+    ev = fixtures.events(spark, sf)
+    expected = jobs.sliding_features(ev)
+    monkeypatch.setattr(jobs, "SLIDING_BYTES", 1000)
+    got = jobs.sliding_features(ev)
+    assert got.rdd.getNumPartitions() > 2 * spark.sparkContext.defaultParallelism
+    assert got.count() == expected.count()
+    assert got.drop("avg_threat_score").exceptAll(expected.drop("avg_threat_score")).isEmpty()
+
+
 def test_late_events_are_set_aside(spark, sf):
     first, second = halves(spark, sf)
     out = scratch_path(spark, "late")
