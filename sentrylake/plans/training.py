@@ -14,6 +14,10 @@ from sentrylake.sources.readers import Topic, read_events_batch
 from sentrylake.sources.writers import write_anomaly_report, write_training_data
 
 
+# What the features and the summary read of an event.
+USED = ("user", "ts", "ts_ms", "event_type", "source_ip", "geo_location", "status", "threat_score")
+
+
 @dataclass(frozen=True)
 class TrainingRun:
     """What a run wrote, read back from where it was written."""
@@ -50,9 +54,10 @@ def training_pipeline(
 ) -> TrainingRun:
     """The whole batch run: read a topic from an offset, up to about ``max_events``, and build training data below ``path``.
 
-    The events are stored in the scratch folder once, so the topic is read and parsed once however many steps follow.
+    The events' columns in ``USED`` are stored in the scratch folder once, so the topic is read and parsed once however many
+    steps follow.
     Events without a user belong to no feature row.
     """
     events = read_events_batch(spark, topic, start_offset, max_events=max_events)
-    events = materialize(events.where("user IS NOT NULL"), "training-events")
+    events = materialize(events.where("user IS NOT NULL").select(*USED), "training-events")
     return build_training_data(events, path, algorithm, **options)

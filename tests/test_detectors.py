@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from sentrylake.operators import detectors
 from sentrylake.operators.summary import anomaly_report, training_availability, training_stats
+from sentrylake.plans import training
+from sentrylake.plans.catalog import _stored_topic
 
 COLUMNS = ["a", "b", "c"]
 
@@ -80,3 +82,16 @@ def test_report_of_a_labelled_table(spark, table):
     assert training_availability(report.limit(0)).first().stats == "No training data available"
     (empty,) = anomaly_report(labelled.limit(0)).collect()
     assert (empty.total_users, empty.anomaly_rate) == (0, 0.0)
+
+
+def test_training_run_stores_the_columns_that_it_uses(spark, sf, monkeypatch):
+    class Stored(Exception):
+        pass
+
+    def stop(df, name):
+        raise Stored(df.columns)
+
+    monkeypatch.setattr(training, "materialize", stop)
+    with pytest.raises(Stored) as stored:
+        training.training_pipeline(spark, _stored_topic(spark, sf), "unused")
+    assert set(stored.value.args[0]) == set(training.USED)
