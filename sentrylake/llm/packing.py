@@ -247,8 +247,10 @@ def pack(pieces: DataFrame, capacity: int, groups: int = 96) -> DataFrame:
             used[length] += n * times
             offset += length * times
         first += n
-    schema = "length long, low long, high long, first long, times long, base long"
-    places_df = spark.createDataFrame(places, schema)
+    names = ["length", "low", "high", "first", "times", "base"]
+    # An Arrow table becomes a local relation: rows would start plain Python workers beside those for Arrow, on every executor.
+    columns = list(zip(*places, strict=True)) or [()] * len(names)
+    places_df = spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in columns], names=names))
     # At most a few entries for each length, whatever the number of rows.
     parts = 256
     part = F.pmod(F.xxhash64(*[c for c in pieces.columns]), F.lit(parts))

@@ -207,6 +207,14 @@ def test_components(spark):
 # --- packing and tokens -----------------------------------------------------------------------
 
 
+def test_packing_starts_no_plain_python_workers(spark):
+    """The places come as a local relation; rows turned by plain Python would be a scan of an RDD."""
+    pieces = spark.range(40).selectExpr("id AS doc_id", "id % 7 + 1 AS length")
+    packed = packing.pack(pieces, 16)
+    assert "ExistingRDD" not in packed._jdf.queryExecution().executedPlan().toString()
+    assert packed.count() == 40
+
+
 def test_packing_is_whole(spark, sf, documents):
     rows = QUERIES["op10_best_fit_packing"](spark, sf).collect()
     library, by_doc, by_sequence = tokens.tokenizer(WORD_BPE), defaultdict(dict), defaultdict(list)
