@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sentrylake.llm.common import SPACE, cut
+from sentrylake.llm.common import SPACE, cut, watched
 
 PLACE = ["d", "t", "i"]
 
@@ -42,24 +42,25 @@ def _shift(rows: DataFrame, by: Column, **names: str) -> DataFrame:
     return rows.select("d", "t", (F.col("i") - by).alias("i"), *[F.col(k).alias(v) for k, v in names.items()])
 
 
-def suffix_ranks(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Prefix doubling: ``(places, levels)``.
+def suffix_ranks(lines: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Prefix doubling: ``(places, levels, n)``; n is the number of places.
 
     Level k ranks the blocks of 2^k lines that occur twice or more; two places have the same rank there
     just if their suffixes share a prefix of 2^k lines, that is, lie in one longest-common-prefix interval of
     that depth. A rank is the first place of its interval. A level is made from the one before by ranking
     pairs (rank here, rank 2^k lines on), and only repeated blocks go on, so levels shrink quickly.
     """
-    first = cut(_ranked(lines, ["h", "g"]).dropDuplicates(PLACE), "lines")
+    first, seen = watched(_ranked(lines, ["h", "g"]).dropDuplicates(PLACE), "lines", F.count(F.lit(1)).alias("n"))
+    n = seen["n"]
     level, levels, k = first.select(*PLACE, "r"), [], 0
     while not level.isEmpty():
         levels.append(level.withColumn("k", F.lit(k)))
         pairs = level.join(_shift(level, F.lit(1 << k), r="r2"), PLACE).withColumnRenamed("r", "r1")
-        level, k = cut(_ranked(pairs, ["r1", "r2"]), "ranks"), k + 1
+        level, k = cut(_ranked(pairs, ["r1", "r2"]), "ranks", 40 * n), k + 1
     every = levels[0] if levels else level.withColumn("k", F.lit(0))
     for one in levels[1:]:
         every = every.unionByName(one)
-    return first, every
+    return first, every, n
 
 
 def _least_runs(places: DataFrame, min_words: int) -> DataFrame:
@@ -98,14 +99,14 @@ def repeated_lines(docs: DataFrame, text: str = "text", min_words: int = 50) ->
     it, so those are looked up: a run of n lines is named by the ranks of the two blocks of 2^k lines, 2^k <= n,
     at its ends, and is a later copy if its name has an earlier place.
     """
-    places, levels = suffix_ranks(_lines(docs, text))
+    places, levels, count = suffix_ranks(_lines(docs, text))
     runs = _least_runs(places, min_words).withColumn("n", F.col("e") - F.col("i") + 1)
     # n < 2^31, and log2 is exact at powers of two.
     runs = runs.withColumn("k", F.floor(F.log2("n")).cast("int"))
     ranks = levels.select(*PLACE, "k", F.col("r").alias("r1"))
     runs = runs.join(ranks, [*PLACE, "k"])
     ranks = levels.select("d", "t", F.expr("i + shiftleft(1, k) - 1").alias("e"), "k", F.col("r").alias("r2"))
-    runs = cut(runs.join(ranks, ["d", "t", "e", "k"]).select(*PLACE, "e", "n", "r1", "r2"), "runs")
+    runs = cut(runs.join(ranks, ["d", "t", "e", "k"]).select(*PLACE, "e", "n", "r1", "r2"), "runs", 2 * 72 * count)
     later = _ranked(runs, ["n", "r1", "r2"]).where(F.struct(*PLACE) > F.col("r"))
     gone = later.select("d", "t", F.explode(F.sequence("i", "e")).alias("i")).distinct()
     return gone.join(places.select(*PLACE, "i0"), PLACE).select("d", "t", "i0")

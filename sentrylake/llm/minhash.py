@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sentrylake.llm.common import components, cut, roots
+from sentrylake.llm.common import components, cut, roots, watched
 
 _A, _B, _C = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 # Ends of the rank ranges in which darts are thrown; the same for all sets.
@@ -243,21 +243,25 @@ def near_groups(
     most, most_wide = _most_differing(k, threshold), _most_differing(wide, threshold)
     key = F.coalesce(F.col(text), F.lit(""))
     source = docs.select(F.col(doc_id).cast("long").alias("id"), F.md5(key).alias("m"), key.alias("text"))
-    sigs = source.mapInArrow(_signatures(bands, rows, extra, shingle, counted), "id long, m string, n long, bands array<long>, sketch array<long>")
+    sizes = Observation()
+    measured = source.observe(sizes, F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("text")).alias("bytes"))
+    sigs = measured.mapInArrow(_signatures(bands, rows, extra, shingle, counted), "id long, m string, n long, bands array<long>, sketch array<long>")
     sigs = cut(sigs, "signatures")
+    # Tables of one row for each text have at most so many.
+    count, letters = sizes.get["rows"], sizes.get["bytes"] or 0
     firsts = sigs.groupBy("m").agg(F.min("id").alias("first"))
     # Of several texts with one smallest id one has it as its node.
     shared = firsts.groupBy("first").agg(F.min("m").alias("holder"), F.count("*").alias("n")).where("first IS NOT NULL AND n > 1")
     classes = firsts.join(shared.hint("merge"), "first", "left")
     own = F.when(F.col("first").isNotNull() & (F.col("holder").isNull() | (F.col("m") == F.col("holder"))), F.col("first"))
-    classes = cut(classes.select("m", "first", F.coalesce(own, made_id(F.col("m"))).alias("node")), "classes")
+    classes = cut(classes.select("m", "first", F.coalesce(own, made_id(F.col("m"))).alias("node")), "classes", 48 * count)
     reps = sigs.groupBy("m").agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    reps = cut(reps.join(classes.select("m", "node").hint("merge"), "m"), "nodes")
+    reps = cut(reps.join(classes.select("m", "node").hint("merge"), "m"), "nodes", (48 + 8 * bands + k // 2) * count)
 
     # Bands with two nodes or more.
     banded = reps.select("node", F.posexplode("bands").alias("pos", "band"))
     buckets = banded.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("_last")).where("leader < _last")
-    members = cut(banded.join(buckets.drop("_last").hint("merge"), "band"), "members")
+    members = cut(banded.join(buckets.drop("_last").hint("merge"), "band"), "members", 28 * bands * count)
     sketches = reps.select("node", "n", *[F.col("sketch")[j].alias(f"s{j}") for j in range(k // 16)])
     marks = [f"s{j}" for j in range(k // 16)]
 
@@ -272,7 +276,7 @@ def near_groups(
     near = members.select("node").distinct()
     wanted = reps.select("m", "node").join(near.hint("merge"), "node")
     texts = source.select("m", "text").join(wanted.hint("merge"), "m").groupBy("node").agg(F.first("text").alias("text"))
-    texts = cut(texts, "texts")
+    texts = cut(texts, "texts", letters + 16 * count)
 
     def closest(offered: DataFrame) -> DataFrame:
         """Of pairs ``node, leader`` the closest by their sketches for each node, if it may be linked: ``a, b``."""
@@ -284,24 +288,24 @@ def near_groups(
     # One leader each: the closest of those it shares a band with. A leader is smaller, so these links are a forest.
     stars = closest(members.where("node <> leader").select("node", "leader").distinct())
     found = _verified(stars, texts, shingle, counted, threshold).toDF("node", "parent")
-    groups = near.join(roots(found).hint("merge"), "node", "left")
-    groups = cut(groups.select("node", F.coalesce("component", "node").alias("component")), "groups")
+    groups = near.join(roots(found, count).hint("merge"), "node", "left")
+    groups = cut(groups.select("node", F.coalesce("component", "node").alias("component")), "groups", 16 * count)
 
-    def merged(groups: DataFrame, links: DataFrame) -> DataFrame:
-        """Groups that the links ``a, b`` join: components are sought among groups, not among nodes."""
+    def merged(groups: DataFrame, links: DataFrame, most: int) -> DataFrame:
+        """Groups that the links ``a, b``, ``most`` at most, join: components are sought among groups, not among nodes."""
         of_a = groups.select(F.col("node").alias("a"), F.col("component").alias("u")).hint("merge")
         of_b = groups.select(F.col("node").alias("b"), F.col("component").alias("v")).hint("merge")
         between = links.join(of_a, "a").join(of_b, "b").where("u <> v").select("u", "v").distinct()
-        new = components(between, "u", "v").toDF("component", "_new").hint("merge")
-        return cut(groups.join(new, "component", "left").select("node", F.coalesce("_new", "component").alias("component")), "groups")
+        new = components(between, "u", "v", most).toDF("component", "_new").hint("merge")
+        return cut(groups.join(new, "component", "left").select("node", F.coalesce("_new", "component").alias("component")), "groups", 16 * count)
 
     def mixed_bands(groups: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Members of bands that still hold more than one group, and each such band's most frequent group."""
         here = members.select("band", "pos", "node").join(groups.withColumnRenamed("component", "group").hint("merge"), "node")
         counts = here.groupBy("band", "group").count()
         top = counts.groupBy("band").agg(F.max_by("group", F.struct("count", "group")).alias("top"), F.count("*").alias("_n")).where("_n > 1")
-        top = cut(top.drop("_n"), "tops")
-        return cut(here.join(top.hint("merge"), "band"), "mixed"), top
+        top = cut(top.drop("_n"), "tops", 16 * bands * count)
+        return cut(here.join(top.hint("merge"), "band"), "mixed", 36 * bands * count), top
 
     # In a large group many are near to some, but not to one leader. So a few members of each band's largest group,
     # other ones each time, are offered to the nodes outside it, and each node is checked against the closest.
@@ -311,14 +315,14 @@ def near_groups(
         picked = here.where("group = top").groupBy("band").agg(F.array(*picks).alias("reps"))
         offered = here.where("group <> top").join(picked.hint("merge"), "band")
         offered = offered.select("node", F.explode("reps").alias("leader")).distinct()
-        groups = merged(groups, _verified(closest(offered), texts, shingle, counted, threshold))
+        groups = merged(groups, _verified(closest(offered), texts, shingle, counted, threshold), count)
 
     # What is left: all of one group but the most frequent against the rest of the band. Groups whose members are alike
     # but not near enough would leave many pairs open, so these texts get wider sketches.
     here, _ = mixed_bands(groups)
     left = here.select("node").distinct()
     wider = _wide_sketches(texts.join(left.hint("merge"), "node"), shingle, counted, wide)
-    wider = cut(wider.join(reps.select("node", "n", "bands", *[F.col("sketch")[j].alias(f"s{j}") for j in range(k // 16)]).hint("merge"), "node"), "wide")
+    wider = cut(wider.join(reps.select("node", "n", "bands", *[F.col("sketch")[j].alias(f"s{j}") for j in range(k // 16)]).hint("merge"), "node"), "wide", (16 + wide // 2 + 8 * bands + k // 2) * count)
     # Sizes of linked sets differ by less than one class of this width, so neighbouring classes do.
     width = float(np.log(1 / threshold) + 1e-9)
     here = here.join(wider.hint("merge"), "node").withColumn("size", F.floor(F.log(F.col("n") + F.lit(1e-9)) / width))
@@ -338,8 +342,9 @@ def near_groups(
     differ = F.aggregate(F.zip_with("wide", "wide_x", _differing), F.lit(0), lambda a, b: a + b)
     alike = (F.col("group") != F.col("group_x")) & both_few & close("", "_x") & first & (differ <= most_wide)
     pairs = few.join(rest.hint("merge"), ["band", "size", "part"]).where(alike)
-    pairs = cut(pairs.select(F.least("node", "node_x").alias("a"), F.greatest("node", "node_x").alias("b")).distinct(), "pairs")
-    groups = merged(groups, _verified(pairs, texts, shingle, counted, threshold))
+    pairs = pairs.select(F.least("node", "node_x").alias("a"), F.greatest("node", "node_x").alias("b")).distinct()
+    pairs, seen = watched(pairs, "pairs", F.count(F.lit(1)).alias("rows"))
+    groups = merged(groups, _verified(pairs, texts, shingle, counted, threshold), seen["rows"])
     return classes.join(groups.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 

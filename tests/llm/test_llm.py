@@ -204,6 +204,35 @@ def test_components(spark):
     assert got == {x: root(x) for a, b in links for x in (a, b) if a != b or x in got}
 
 
+def test_small_tables_are_written_by_few_tasks(spark):
+    """Rounds of links, forests and ranks of lines write few files, however many partitions a shuffle has."""
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    written, materialize = defaultdict(list), common.materialize
+
+    def counted(df, name):
+        df = materialize(df, name)
+        written[name].append(len(df.inputFiles()))
+        return df
+
+    links = spark.range(1, 600).selectExpr("id AS a", "id - 1 AS b")
+    texts = spark.range(300).selectExpr("id AS doc_id", r"concat_ws('\n', transform(sequence(0, 5), i -> concat('line ', id % 100 + i))) AS text")
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        common.materialize = counted
+        assert {r["component"] for r in common.components(links).collect()} == {0}
+        assert {r["component"] for r in common.roots(links.toDF("node", "parent"), 600).collect()} == {0}
+        line_dedup(texts, min_words=4).collect()
+    finally:
+        common.materialize = materialize
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    few = written["links"][1:] + written["roots"] + written["ranks"] + written["runs"]
+    assert len(few) >= 8 and max(few) <= cores
+
+
 # --- packing and tokens -----------------------------------------------------------------------
 
 
