@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +16,10 @@ from pyspark.sql import functions as F
 from sentrylake.llm.common import cut
 
 WORD = re.compile(r"[^\W\d_]+")
-# A letter, marks or digits, and a letter again, within one run of visible characters.
-DISGUISED = re.compile(r"[^\s]*[^\W\d_][0-9@$!*.|_\-]+[^\W\d_][^\s]*")
+NO_LETTER = re.compile(r"[\W\d_]")
+# What may stand between two letters of a disguised word.
+INNER = re.compile(r"[0-9@$!*.|_\-]+")
+VISIBLE = re.compile(r"\S*")
 STRETCHED = re.compile(r"([^\W\d_])\1\1")
 # Characters that stand for letters, and words for the one spoken to.
 STANDS_FOR = str.maketrans("013457@$!|", "oieastasil")
@@ -35,7 +38,63 @@ def stems(word: str) -> list[str]:
 
 
 def plain(token: str) -> str:
-    return "".join(c for c in token.translate(STANDS_FOR) if c.isalpha())
+    return "".join(filter(str.isalpha, token.translate(STANDS_FOR)))
+
+
+# Bytes of UTF-8; those from 128 on belong to characters beyond ASCII.
+ASCII = bytes(range(128))
+UPPER = bytes(range(65, 91))
+MARKS = b".,;:!?\"'()[]-"
+BLANKED = bytes(i if i > 127 or chr(i).isalpha() else 32 for i in range(256))
+# Kinds of characters that are replaced one by one before the expression for words is the shorter way.
+FEW_KINDS = 8
+
+
+def coded(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass")
+
+
+def uncoded(code: bytes) -> str:
+    return code.decode("utf-8", "surrogatepass")
+
+
+def blanked(text: str) -> str:
+    """The text with blanks for all that is no letter, so that its parts are what ``WORD`` finds.
+
+    ASCII goes by a table of bytes; of the other characters only the kinds that occur are looked at.
+    """
+    if text.isascii():
+        return coded(text).translate(BLANKED).decode("ascii")
+    code = coded(text)
+    kinds = NO_LETTER.findall("".join(set(uncoded(code.translate(None, ASCII)))))
+    if len(kinds) > FEW_KINDS:
+        return " ".join(WORD.findall(text))
+    text = uncoded(code.translate(BLANKED))
+    for c in kinds:
+        text = text.replace(c, " ")
+    return text
+
+
+def stretches(text: str) -> int:
+    """Letters that stand three times in a row, in a text from ``blanked``; most texts have none."""
+    code = coded(text)
+    x = np.frombuffer(code, np.uint8)
+    same = x[1:] == x[:-1]
+    thrice = same[1:] & same[:-1] & (x[2:] != 32)
+    if thrice.any() or (not text.isascii() and STRETCHED.search(uncoded(code.translate(None, ASCII)))):
+        return len(STRETCHED.findall(text))
+    return 0
+
+
+def disguised_words(text: str) -> list[str]:
+    """Runs of visible characters with a letter, marks or digits, and a letter again."""
+    found, end = [], 0
+    for m in INNER.finditer(text):
+        a, z = m.span()
+        if end < a and text[z : z + 1].isalnum() and not NO_LETTER.match(text, z) and not NO_LETTER.match(text, a - 1):
+            first, end = text[end:a].rsplit(None, 1)[-1], VISIBLE.match(text, a).end()
+            found.append(first + text[a:end])
+    return found
 
 
 @dataclass
@@ -58,38 +117,50 @@ class Lexicon:
         w = np.log((t + 0.5) / (n + 1)) - np.log((c + 0.5) / (m + 1))
         return float(w) if w > self.least and t > 0 else 0.0
 
+    def weights(self, label: int | None = None) -> dict[str, float]:
+        """The terms with a weight above 0, for texts with this label or without one."""
+        found = {t: self.weight(t, label) for t in self.toxic}
+        return {t: x for t, x in found.items() if x > 0}
+
+
+def beginnings(weights: dict[str, float]) -> frozenset[str]:
+    """First letters of the stems among the terms; a word that begins otherwise has no such stem."""
+    return frozenset(t[: STEMS[0]] for t in weights if t.endswith("-"))
 
-def features(text: str | None, lexicon: Lexicon, weights: dict[str, float], label: int | None = None) -> list[float]:
-    """The dense features of one text; ``weights`` has the lexicon's weights for texts without a label."""
+
+def features(text: str | None, weights: dict[str, float], begins: frozenset[str]) -> list[float]:
+    """The dense features of one text, by the weights of terms (all above 0) and their ``beginnings``."""
     text = text or ""
     low = text.lower()
-    words = WORD.findall(low)
+    spaced = blanked(low)
+    words = spaced.split()
     n, chars = max(len(words), 1), max(len(text), 1)
     kinds = set(words)
-    get = weights.get if label is None else (lambda t, _=0.0: lexicon.weight(t, label) if t in weights else 0.0)
-    hit = {w: get(w, 0.0) for w in kinds if w in weights}
-    hit = {w: x for w, x in hit.items() if x > 0}
+    hit = {w: weights[w] for w in kinds if w in weights}
     stem_hit = {}
     for w in kinds:
-        if len(w) >= STEMS[0] + 2 and w not in hit:
-            best = max((get(s, 0.0) for s in stems(w) if s in weights), default=0.0)
+        if w[: STEMS[0]] in begins and len(w) >= STEMS[0] + 2 and w not in hit:
+            best = max((weights[s] for s in stems(w) if s in weights), default=0.0)
             if best > 0:
                 stem_hit[w] = best
     marked = hit.keys() | stem_hit.keys()
-    counts = Counter(w for w in words if w in marked) if marked else Counter()
+    counts = Counter(filter(marked.__contains__, words)) if marked else Counter()
     addressed = kinds & SECOND_PERSON
-    at = [i for i, w in enumerate(words) if w in addressed] if addressed else []
+    at = list(compress(range(len(words)), map(addressed.__contains__, words))) if addressed else []
     near = nearest = 0.0
     if at and marked:
-        places = np.array([i for i, w in enumerate(words) if w in marked])
+        places = np.array(list(compress(range(len(words)), map(marked.__contains__, words))))
         spot = np.searchsorted(at, places)
         a = np.array([-(10**6), *at, 10**6])
         gap = np.minimum(places - a[spot], a[spot + 1] - places)
         near, nearest = float((gap <= 5).sum()), 1.0 / (1.0 + float(gap.min()))
-    disguised = DISGUISED.findall(text) if not text.isalpha() else []
-    found = sum(1 for t in disguised if (p := plain(t.lower())) in weights and get(p, 0.0) > 0)
-    capitals = sum(map(str.isupper, text)) if low != text else 0
-    marks = len(text) - len(text.translate(MARKS))
+    disguised = disguised_words(text)
+    found = sum(plain(t.lower()) in weights for t in disguised)
+    code = coded(text)
+    capitals = len(code) - len(code.translate(None, UPPER)) if low != text else 0
+    if low != text and not text.isascii():
+        capitals += sum(map(str.isupper, uncoded(code.translate(None, ASCII))))
+    marks = len(code) - len(code.translate(None, MARKS))
     return [
         np.log1p(len(words)),
         sum(counts[w] * x for w, x in hit.items()) / n,
@@ -112,15 +183,12 @@ def features(text: str | None, lexicon: Lexicon, weights: dict[str, float], labe
         sum(map(text.count, "0123456789")) / chars,
         len(disguised) / n,
         found,
-        len(STRETCHED.findall(low)) / n,
-        sum(map(len, words)) / n,
+        stretches(spaced) / n,
+        (len(spaced) - spaced.count(" ")) / n,
         len(kinds) / n,
     ]
 
 
-MARKS = {ord(c): None for c in ".,;:!?\"'()[]-"}
-
-
 @dataclass
 class Trees:
     """Boosted trees of one depth on binned features; a tree is a heap of (feature, bin) with leaf values."""
@@ -212,7 +280,7 @@ def learn_lexicon(sample: DataFrame, max_terms: int) -> Lexicon:
     """Terms of the labelled rows: counted in tasks, reduced on the cluster, at most ``max_terms`` kept."""
 
     def terms_of(text: str | None) -> set[str]:
-        kinds = set(WORD.findall((text or "").lower()))
+        kinds = set(blanked((text or "").lower()).split())
         return kinds | {s for w in kinds for s in stems(w)}
 
     def count(label: int, wanted: set[str] | None):
@@ -248,12 +316,15 @@ def learn(sample: DataFrame, max_terms: int = 4000) -> tuple[Lexicon, Trees | No
     an unseen row. Every fourth row calibrates trees grown on the others.
     """
     lexicon = learn_lexicon(sample, max_terms)
-    weights = {t: lexicon.weight(t) for t in lexicon.toxic}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = {}
         for batch in batches:
             labels = batch["toxic"].to_pylist()
-            rows = [features(t.as_py(), lexicon, weights, y) for t, y in zip(batch["text"], labels, strict=True)]
+            for y in set(labels) - tables.keys():
+                weights = lexicon.weights(y)
+                tables[y] = weights, beginnings(weights)
+            rows = [features(t.as_py(), *tables[y]) for t, y in zip(batch["text"], labels, strict=True)]
             yield pa.RecordBatch.from_arrays([batch["id"], batch["toxic"], pa.array(rows, pa.list_(pa.float64()))], names=["id", "y", "x"])
 
     # At most as many rows as the sample has, of two dozen numbers each.
@@ -287,21 +358,21 @@ def toxicity_scores(
     # The chosen ids are bounded by max_rows, so they may be broadcast.
     sample = cut(texts.join(F.broadcast(cut(known, "known")), "id").repartition(32, F.xxhash64("id", "text")), "labelled")
     lexicon, trees = learn(sample)
-    weights = {t: lexicon.weight(t) for t in lexicon.toxic}
+    weights = lexicon.weights()
     spark = docs.sparkSession
     # Plain values: broadcasts name classes instead of sending them.
     fields = lambda x: x and {f: getattr(x, f) for f in x.__dataclass_fields__}
-    model = spark.sparkContext.broadcast((fields(lexicon), weights, fields(trees)))
+    model = spark.sparkContext.broadcast((weights, beginnings(weights), fields(trees)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, weights, grown = model.value
-        lexicon, trees = Lexicon(**parts), grown and Trees(**grown)
+        weights, begins, grown = model.value
+        trees = grown and Trees(**grown)
         for batch in batches:
             cells = batch.column(batch.schema.get_field_index("_text")).to_pylist()
             if trees is None or not cells:
                 scores = np.zeros(len(cells))
             else:
-                scores = trees.score(np.array([features(t, lexicon, weights) for t in cells]))
+                scores = trees.score(np.array([features(t, weights, begins) for t in cells]))
             keep = [c for c in batch.schema.names if c != "_text"]
             cols = [batch.column(batch.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(scores)], names=[*keep, "_score"])

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -453,6 +454,74 @@ def test_toxicity_odd_rows(spark):
     assert toxicity.toxicity_scores(empty_documents(spark), labels).count() == 0
 
 
+def plain_features(text, weights):
+    """The features by their definitions: one expression or loop for each, over the whole text."""
+    text, letter = text or "", r"[^\W\d_]"
+    low = text.lower()
+    words = re.findall(letter + "+", low)
+    kinds, n, chars = set(words), max(len(words), 1), max(len(text), 1)
+    hit = {w: weights[w] for w in kinds if w in weights}
+    begun = {w: max((weights.get(s, 0.0) for s in toxicity.stems(w)), default=0.0) for w in kinds if w not in hit}
+    begun = {w: x for w, x in begun.items() if x > 0}
+    at = [i for i, w in enumerate(words) if w in toxicity.SECOND_PERSON]
+    spots = [i for i, w in enumerate(words) if w in hit or w in begun]
+    gaps = [min(abs(i - j) for j in at) for i in spots] if at else []
+    hidden = re.findall(rf"\S*{letter}[0-9@$!*.|_\-]+{letter}\S*", text)
+    shown = ["".join(c for c in t.lower().translate(toxicity.STANDS_FOR) if c.isalpha()) for t in hidden]
+    capitals = sum(c.isupper() for c in text) if low != text else 0
+    large = sum(len(w) > 2 and w.isupper() for w in text.split()) if capitals > 0.1 * chars else 0
+    share = lambda marks: sum(c in marks for c in text) / chars
+    both = []
+    for found in (hit, begun):
+        times = {w: words.count(w) for w in found}
+        both += [sum(times[w] * x for w, x in found.items()) / n, max(found.values(), default=0.0), sum(times.values()), len(found)]
+    return [
+        np.log1p(len(words)), *both, len(at) / n, sum(g <= 5 for g in gaps) / n, 1 / (1 + min(gaps)) if gaps else 0.0,
+        capitals / chars, large / n, share("!"), share("?"), share(".,;:!?\"'()[]-"), share("#*$%&@|"), share("0123456789"),
+        len(hidden) / n, sum(p in weights for p in shown), len(re.findall(rf"({letter})\1\1", low)) / n, sum(map(len, words)) / n, len(kinds) / n,
+    ]
+
+
+def prose_and_terms(spark, sf):
+    texts = [r["text"] for r in common.table(spark, sf, "documents").select("text").collect()]
+    kinds = sorted({w for t in texts for w in toxicity.WORD.findall((t or "").lower())})[::40]
+    terms = kinds + [s for w in kinds[::2] for s in toxicity.stems(w)] + ["you", "idiot", "maß"]
+    return texts, toxicity.Lexicon({t: 2 + i % 5 for i, t in enumerate(terms)}, {t: i % 9 for i, t in enumerate(terms)}, 40, 400)
+
+
+def test_toxicity_features_as_plain(spark, sf):
+    texts, lexicon = prose_and_terms(spark, sf)
+    kinds = "aaaAbßéÉéİıǅⅧ²½٣中日ЖжΣς  .-_!?*@$|0134579\t\n\x1c\x85\u00a0\u2003\u200b\u0301“”«»¿…€😀"
+    rng = np.random.default_rng(3)
+    odd = ["".join(rng.choice(list(kinds[: rng.integers(2, len(kinds))]), rng.integers(1, 60))) for _ in range(3000)]
+    odd += [None, "", "YOU 1d10t!!! Id-io-t you", "x y.z", "you idiooot", "-a-", "éééé 中中中", "a1b\x85c2d", " MASS maß"]
+    for label in (None, 0, 1):
+        weights = lexicon.weights(label)
+        assert weights == {t: x for t in lexicon.toxic if (x := lexicon.weight(t, label)) > 0}
+        begins = toxicity.beginnings(weights)
+        for t in [*texts[:200], *odd]:
+            assert toxicity.features(t, weights, begins) == plain_features(t, weights), t
+
+
+def test_toxicity_features_cost(spark, sf):
+    """Far below one expression for each feature; time in proportion to a run of marks."""
+    texts, lexicon = prose_and_terms(spark, sf)
+    weights = lexicon.weights()
+    begins = toxicity.beginnings(weights)
+
+    def seconds(fn):
+        began = time.process_time()
+        fn()
+        return time.process_time() - began
+
+    # The scans that an earlier version made of every text.
+    hidden, thrice = re.compile(r"[^\s]*[^\W\d_][0-9@$!*.|_\-]+[^\W\d_][^\s]*"), re.compile(r"([^\W\d_])\1\1")
+    earlier = lambda t: (toxicity.WORD.findall(t.lower()), hidden.findall(t), thrice.findall(t.lower()))
+    scans = min(seconds(lambda: [earlier(t) for t in texts if t]) for _ in range(3))
+    assert min(seconds(lambda: [toxicity.features(t, weights, begins) for t in texts]) for _ in range(3)) < 1.2 * scans
+    assert seconds(lambda: toxicity.features("a" + "-" * 200_000, weights, begins)) < 2
+
+
 def test_isotonic_rises():
     rng = np.random.default_rng(0)
     m = rng.normal(size=500)
